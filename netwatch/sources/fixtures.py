@@ -91,6 +91,11 @@ def lookup_fixture(events: DataFrame, enrich: bool = True) -> DataFrame:
     return enrich_lookups(out) if enrich else out
 
 
+# Scheme, then the authority up to the first '/', ':', '?' or '#'.
+URL_HOST_PATTERN = "^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)"
+
+
 def page_hosts(pages: DataFrame) -> DataFrame:
-    """Host part of each page URL (a second, real-string name input)."""
-    return pages.select("page_id", F.expr("parse_url(url, 'HOST')").alias("host"))
+    """Host part of each page URL (a second, real-string name input);
+    empty when the URL has no scheme."""
+    return pages.select("page_id", F.regexp_extract("url", URL_HOST_PATTERN, 1).alias("host"))

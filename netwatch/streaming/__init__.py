@@ -1,0 +1,18 @@
+"""Structured Streaming: sinks, query starters, monitors."""
+
+from netwatch.streaming.runner import (
+    await_any,
+    progress_summary,
+    run_until_drained,
+    start_lookup_monitor,
+    start_query,
+    start_routing_monitor,
+    start_rule,
+)
+from netwatch.streaming.sinks import JdbcBatchSink, ParquetBatchSink
+
+__all__ = [
+    "JdbcBatchSink", "ParquetBatchSink", "await_any", "progress_summary",
+    "run_until_drained", "start_lookup_monitor", "start_query", "start_routing_monitor",
+    "start_rule",
+]
