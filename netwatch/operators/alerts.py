@@ -1,10 +1,12 @@
 """Alert tables: the union of the rules, computed with one scan per source.
 
-Batch form. Rules that read the same events are fused: the routing rules
-share one count per (window, prefix, origin), and the flap count per prefix
-is rolled up from it; the two windowed lookup rules share one count per
-(window, source) with one ``count_if`` each. A union of separately planned
-rules would scan the source once per rule. Streams keep one query per rule
+Batch form. Rules that read the same events are fused into one aggregation:
+the routing rules into one count over two grouping sets, (window, prefix)
+and (window, prefix, origin); the two windowed lookup rules into one count
+per (window, source) with one ``count_if`` each, unpivoted afterwards. A
+union of separately planned rules would scan and shuffle the source once
+per rule (Catalyst prunes each branch to its own count, so the branches
+never share an exchange). Streams keep one query per rule
 (see ``netwatch.streaming``), because fusing changes when a watermark moves.
 """
 
@@ -28,7 +30,7 @@ from netwatch.operators.rules import (
     nxdomain_storm_rule,
     route_flap_rule,
 )
-from netwatch.operators.windows import windowed_counts
+from netwatch.operators.windows import window_column, windowed_counts
 from netwatch.schemas import BGP_ALERT_COLUMNS, DNS_ALERT_COLUMNS
 
 
@@ -58,19 +60,36 @@ def bgp_alerts(
 
     detected_at = clock_as(clock, routing, flap.time_column)
     flap_pred, hijack_pred = flap.predicate(), hijack.predicate()
-    per_origin = windowed_counts(
-        routing.filter(flap_pred | hijack_pred), flap.time_column, ("prefix", "origin_as"),
-        flap.width, counts={"flap_count": flap_pred, "hijack_count": hijack_pred})
-
-    hijacks = per_origin.filter(F.col("hijack_count") > (hijack.threshold or 0))
-    hijacks = hijacks.withColumnRenamed("hijack_count", "event_count")
-    flaps = (per_origin.groupBy("window_start", "window_end", "prefix")
-             .agg(F.sum("flap_count").alias("event_count"))
-             .filter(F.col("event_count") > (flap.threshold or 0)))
-    return union_alerts([
-        alert_projection(flaps, BGP, flap.alert_type, flap.severity, detected_at),
-        alert_projection(hijacks, BGP, hijack.alert_type, hijack.severity, detected_at),
-    ]).select(*BGP_ALERT_COLUMNS)
+    win = window_column(flap.time_column, flap.width, None)
+    rows = routing.filter(flap_pred | hijack_pred).select(
+        win.start.alias("window_start"), win.end.alias("window_end"),
+        "prefix", "origin_as",
+        flap_pred.alias("is_flap"), hijack_pred.alias("is_hijack"))
+    # One aggregation, two grouping sets: per (window, prefix) for flaps and
+    # per (window, prefix, origin) for hijacks. Each row is counted in both
+    # sets before the partial aggregation, and a single exchange carries
+    # both results.
+    per_window = ["window_start", "window_end", "prefix"]
+    counted = rows.groupingSets(
+        [per_window, per_window + ["origin_as"]], *per_window, "origin_as",
+    ).agg(F.count_if("is_flap").alias("flap_count"),
+          F.count_if("is_hijack").alias("hijack_count"),
+          F.grouping("origin_as").alias("per_prefix"))
+    is_flap_row = F.col("per_prefix") == 1
+    alerts = counted.filter(
+        (is_flap_row & (F.col("flap_count") > (flap.threshold or 0)))
+        | (~is_flap_row & (F.col("hijack_count") > (hijack.threshold or 0))))
+    return alerts.select(
+        "window_start", "window_end", "prefix",
+        F.when(is_flap_row, F.lit(None).cast("int")).otherwise(F.col("origin_as")).alias("origin_as"),
+        F.when(is_flap_row, F.col("flap_count")).otherwise(F.col("hijack_count"))
+        .cast("long").alias("event_count"),
+        F.when(is_flap_row, F.lit(flap.alert_type)).otherwise(F.lit(hijack.alert_type))
+        .alias("alert_type"),
+        F.when(is_flap_row, F.lit(flap.severity)).otherwise(F.lit(hijack.severity))
+        .alias("severity"),
+        detected_at.alias("detected_at"),
+    )
 
 
 def dns_alerts(

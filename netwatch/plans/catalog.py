@@ -55,12 +55,17 @@ from netwatch.streaming.sinks import ParquetBatchSink
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _events(spark: SparkSession, root: str) -> DataFrame:
+    return load_table(spark, root, "events",
+                      min_partitions=spark.sparkContext.defaultParallelism)
+
+
 def _routing(spark: SparkSession, root: str) -> DataFrame:
-    return routing_fixture(load_table(spark, root, "events"))
+    return routing_fixture(_events(spark, root))
 
 
 def _lookups(spark: SparkSession, root: str) -> DataFrame:
-    return lookup_fixture(load_table(spark, root, "events"))
+    return lookup_fixture(_events(spark, root))
 
 
 def _wall_clock(df: DataFrame) -> DataFrame:
@@ -142,19 +147,19 @@ def q_decode_dns(spark, root):
 
 
 def q_domain_entropy(spark, root):
-    lookups = lookup_fixture(load_table(spark, root, "events"), enrich=False)
+    lookups = lookup_fixture(_events(spark, root), enrich=False)
     return lookups.select("event_id", "queried_domain",
                           shannon_entropy("queried_domain").alias("entropy"))
 
 
 def q_domain_length(spark, root):
-    lookups = lookup_fixture(load_table(spark, root, "events"), enrich=False)
+    lookups = lookup_fixture(_events(spark, root), enrich=False)
     return lookups.select("event_id", "queried_domain",
                           name_length("queried_domain").alias("domain_length"))
 
 
 def q_pseudonymise_ip(spark, root):
-    events = load_table(spark, root, "events")
+    events = _events(spark, root)
     client = F.expr("concat('192.168.', cast((user_id div 250) % 256 AS string), '.', "
                     "cast(user_id % 250 + 1 AS string))")
     return events.select("event_id", "user_id", pseudonymise(client).alias("source_ip"))

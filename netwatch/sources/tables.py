@@ -7,7 +7,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def load_table(spark: SparkSession, root: str, name: str,
+               min_partitions: int | None = None) -> DataFrame:
     """A parquet table ``<root>/<name>.parquet``; filters and column
-    selection made later reach the scan."""
-    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    selection made later reach the scan.
+
+    ``min_partitions``: if the scan yields fewer splits than that (a small
+    table stored as one row group), spread its rows round-robin so per-row
+    work (hashing, entropy, JSON) uses every core. A large table already has
+    many splits and is returned as it is, without a shuffle.
+    """
+    df = spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    return spread(df, min_partitions) if min_partitions else df
+
+
+def spread(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` partitions if it has fewer."""
+    if df.isStreaming or df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    return df.repartition(min_partitions)
