@@ -9,10 +9,10 @@ from netwatch.streaming.runner import (
     start_routing_monitor,
     start_rule,
 )
-from netwatch.streaming.sinks import JdbcBatchSink, ParquetBatchSink
+from netwatch.streaming.sinks import FanOutSink, JdbcBatchSink, ParquetBatchSink
 
 __all__ = [
-    "JdbcBatchSink", "ParquetBatchSink", "await_any", "progress_summary",
+    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "await_any", "progress_summary",
     "run_until_drained", "start_lookup_monitor", "start_query", "start_routing_monitor",
     "start_rule",
 ]

@@ -1,9 +1,11 @@
 """Start detection queries on a stream.
 
-One streaming query per rule, as in the original deployment: each has its
-own checkpoint and state store, and a rule's watermark moves only with the
-rows it counts. The archive and tunneling queries are stateless. Several
-queries run in one session; ``await_any`` ends the program when one fails.
+One streaming query per windowed rule, as in the original deployment: each
+has its own checkpoint and state store, and a rule's watermark moves only
+with the rows it counts. Everything stateless about one source (archive,
+dead letters, per-event rules) runs as a single query that reads and
+decodes the source once. Several queries run in one session; ``await_any``
+ends the program when one fails.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from netwatch.operators.rules import (
     nxdomain_storm_rule,
     route_flap_rule,
 )
-from netwatch.sources.decode import decode_lookups, decode_routing
-from netwatch.streaming.sinks import BatchWriter, ParquetBatchSink
+from netwatch.sources.decode import decode_lookups, decode_routing, split_rejects
+from netwatch.streaming.sinks import BatchWriter, FanOutSink, ParquetBatchSink
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -50,22 +52,33 @@ def start_rule(decoded: DataFrame, rule: WindowRule | EventRule, sink: BatchWrit
                        rule.name, trigger)
 
 
+def _rejects(decoded: DataFrame) -> DataFrame:
+    return split_rejects(decoded)[1]
+
+
 def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                           clock: str | Column | None = None,
                           trigger: Mapping[str, object] | None = None,
                           rules: list[WindowRule] | None = None) -> list[StreamingQuery]:
-    """Archive + route flap + hijack on a routing wire stream.
+    """Archive (+ dead letters) and the windowed routing rules.
 
-    Tables: ``<table_root>/routing_events`` and ``<table_root>/bgp_alerts``.
+    Tables below ``table_root``: ``routing_events``, ``routing_rejects``
+    (frames without a usable event time, with the raw text) and
+    ``bgp_alerts``. One stateless query writes the archive and the rejects
+    from the same micro-batch; each windowed rule is its own query.
     """
-    decoded = decode_routing(wire)
-    queries = [start_query(
-        routing_events(decoded),
-        ParquetBatchSink(os.path.join(table_root, "routing_events"), "archive"),
-        os.path.join(checkpoint_root, "routing_archive"), "append", "routing_archive", trigger)]
+    decoded = decode_routing(wire, keep_raw=True)
+    fan_out = FanOutSink({
+        "routing_events": (routing_events, ParquetBatchSink(
+            os.path.join(table_root, "routing_events"), "archive")),
+        "routing_rejects": (_rejects, ParquetBatchSink(
+            os.path.join(table_root, "routing_rejects"), "decode")),
+    })
+    queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
+                           "append", "routing_stateless", trigger)]
     for rule in rules or [route_flap_rule(), as_hijack_rule()]:
         sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name)
-        queries.append(start_rule(decoded, rule, sink,
+        queries.append(start_rule(decoded.drop("raw_value"), rule, sink,
                                   os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
@@ -75,19 +88,34 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                          trigger: Mapping[str, object] | None = None,
                          rules: list[WindowRule | EventRule] | None = None
                          ) -> list[StreamingQuery]:
-    """Archive + storm + tunneling + amplification on a lookup wire stream.
+    """Archive (+ dead letters), tunneling, and the windowed lookup rules.
 
-    Tables: ``<table_root>/dns_events`` and ``<table_root>/dns_alerts``.
+    Tables below ``table_root``: ``dns_events``, ``dns_rejects`` and
+    ``dns_alerts``. The stateless outputs (archive, rejects and every
+    per-event rule) share one query and one read of the source; each
+    windowed rule is its own stateful query.
     """
-    decoded = decode_lookups(wire)
-    queries = [start_query(
-        dns_events(decoded),
-        ParquetBatchSink(os.path.join(table_root, "dns_events"), "archive"),
-        os.path.join(checkpoint_root, "dns_archive"), "append", "dns_archive", trigger)]
-    for rule in rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]:
-        sink = ParquetBatchSink(os.path.join(table_root, "dns_alerts"), rule.name)
-        queries.append(start_rule(decoded, rule, sink,
-                                  os.path.join(checkpoint_root, rule.name), clock, trigger))
+    decoded = decode_lookups(wire, keep_raw=True)
+    rules = rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]
+    alerts_path = os.path.join(table_root, "dns_alerts")
+    outputs = {
+        "dns_events": (dns_events, ParquetBatchSink(
+            os.path.join(table_root, "dns_events"), "archive")),
+        "dns_rejects": (_rejects, ParquetBatchSink(
+            os.path.join(table_root, "dns_rejects"), "decode")),
+    }
+    for rule in rules:
+        if isinstance(rule, EventRule):
+            outputs[rule.name] = ((lambda df, r=rule: r.apply(df, clock)),
+                                  ParquetBatchSink(alerts_path, rule.name))
+    queries = [start_query(decoded, FanOutSink(outputs),
+                           os.path.join(checkpoint_root, "dns_stateless"),
+                           "append", "dns_stateless", trigger)]
+    for rule in rules:
+        if isinstance(rule, WindowRule):
+            queries.append(start_rule(decoded.drop("raw_value"), rule,
+                                      ParquetBatchSink(alerts_path, rule.name),
+                                      os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
 

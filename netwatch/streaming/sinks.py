@@ -127,3 +127,26 @@ class JdbcBatchSink:
             frame.write.jdbc(url=self.url, table=self.table, mode="append", properties=options)
 
         _each_nonempty(df, write)
+
+
+class FanOutSink:
+    """One micro-batch, several tables.
+
+    Stateless outputs of one source (archive, per-event rules, dead
+    letters) are written from a single cached batch, so the topic is read
+    and decoded once instead of once per output. ``outputs`` maps a name to
+    (transform, writer); each writer sees ``transform(batch)``.
+    """
+
+    def __init__(self, outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], BatchWriter]]):
+        self.outputs = dict(outputs)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            if df.isEmpty():
+                return
+            for transform, writer in self.outputs.values():
+                writer(transform(df), batch_id)
+        finally:
+            df.unpersist()

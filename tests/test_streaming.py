@@ -143,13 +143,36 @@ def test_monitors_run_all_queries(spark, workdir):
     tables, ck = os.path.join(workdir, "tables"), os.path.join(workdir, "ck")
     qs = start_routing_monitor(wire_file_stream(spark, bgp_wire), tables, ck, CLOCK, ONCE)
     qs += start_lookup_monitor(wire_file_stream(spark, dns_wire), tables, ck, CLOCK, ONCE)
-    assert len(qs) == 7
+    assert len(qs) == 6     # per source: one stateless query + one per windowed rule
     run_until_drained(qs)
     n = events.count()
     assert spark.read.parquet(os.path.join(tables, "routing_events")).count() == n
     assert spark.read.parquet(os.path.join(tables, "dns_events")).count() == n
+    assert not os.path.exists(os.path.join(tables, "dns_rejects"))
     bgp = spark.read.parquet(os.path.join(tables, "bgp_alerts"))
     assert {r.writer for r in bgp.select("writer").distinct().collect()} == {"route_flap", "as_hijack"}
     dns = spark.read.parquet(os.path.join(tables, "dns_alerts"))
     assert {r.alert_type for r in dns.select("alert_type").distinct().collect()} == {
         "DNS_TUNNELING", "AMPLIFICATION"}
+
+
+def test_rejects_go_to_dead_letters_and_stay_archived(spark, workdir):
+    from netwatch.schemas import WIRE_SCHEMA
+    good = '{"timestamp":"2024-01-01T00:00:01+00:00","source_ip":"s","queried_domain":"a.com"}'
+    rows = [(None, v.encode(), "dns_raw_events", 0, i, dt.datetime(2024, 1, 1), 0)
+            for i, v in enumerate([good, "not json", '{"timestamp":"yesterday"}'])]
+    wire_path = os.path.join(workdir, "wire")
+    spark.createDataFrame(rows, WIRE_SCHEMA).coalesce(1).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    qs = start_lookup_monitor(wire_file_stream(spark, wire_path), tables,
+                              os.path.join(workdir, "ck"), CLOCK, ONCE)
+    run_until_drained(qs)
+    assert spark.read.parquet(os.path.join(tables, "dns_events")).count() == 3
+    rejects = spark.read.parquet(os.path.join(tables, "dns_rejects")).collect()
+    assert sorted(r.raw_value for r in rejects) == sorted(['not json', '{"timestamp":"yesterday"}'])
+
+
+def test_cli_arguments():
+    from netwatch.cli import parse_args
+    args = parse_args(["routing", "--bootstrap", "k:1", "--tables", "/t"])
+    assert args.trigger == "10 seconds" and args.starting_offsets == "latest"
