@@ -37,7 +37,7 @@ from netwatch.operators import (
     routing_events,
 )
 from netwatch.plans.oracle import CLOCK
-from netwatch.session import fresh_dir
+from netwatch.session import fresh_dir, path_exists
 from netwatch.sources import (
     decode_lookups,
     decode_routing,
@@ -191,10 +191,12 @@ def _run_stream(spark, root, kind, build) -> DataFrame:
         decoded = decode_lookups(wire_file_stream(spark, wire_path))
     frame, mode, name = build(decoded)
     table = os.path.join(run, "table")
-    sink = ParquetBatchSink(table, name, skip_empty=False)
-    query = start_query(frame, sink, os.path.join(run, "checkpoint", name), mode, None,
-                        {"availableNow": True})
+    query = start_query(frame, ParquetBatchSink(table, name),
+                        os.path.join(run, "checkpoint", name), mode, None, {"availableNow": True})
     run_until_drained([query])
+    if not path_exists(spark, table):   # every batch was empty
+        schema = frame.schema.add("writer", "string").add("batch_id", "long")
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(table)
 
 
