@@ -16,6 +16,20 @@ from netwatch.operators.enrich import enrich_lookups
 from netwatch.schemas import BGP_SCHEMA, BGP_SCHEMA_TYPED, DNS_SCHEMA
 
 
+def _parse_once(wire: DataFrame, schema, extra: dict) -> DataFrame:
+    """``from_json`` once per frame, record fields flattened next to ``extra``.
+
+    A rule filter on a decoded field would otherwise be pushed into the
+    parser call by Catalyst, and the text parsed twice: once for the filter,
+    once for the projection. The one-element ``inline`` is a generator, which
+    filters on its output do not cross.
+    """
+    text = F.col("value").cast("string")
+    record = F.struct(F.from_json(text, schema).alias("data"),
+                      *[c.alias(name) for name, c in extra.items()])
+    return wire.select(F.inline(F.array(record))).select("data.*", *extra.keys())
+
+
 def decode_routing(wire: DataFrame, typed_lists: bool = False,
                    event_time: str = "broker", keep_raw: bool = False) -> DataFrame:
     """Routing frames -> typed updates plus ``kafka_ts`` and ``event_time``.
@@ -24,12 +38,10 @@ def decode_routing(wire: DataFrame, typed_lists: bool = False,
     decoded but not used), or ``"payload"`` for the record's own time.
     """
     schema = BGP_SCHEMA_TYPED if typed_lists else BGP_SCHEMA
-    text = F.col("value").cast("string")
-    cols = [F.from_json(text, schema).alias("data"), F.col("timestamp").alias("kafka_ts")]
+    extra = {"kafka_ts": F.col("timestamp")}
     if keep_raw:
-        cols.append(text.alias("raw_value"))
-    extra = ["kafka_ts"] + (["raw_value"] if keep_raw else [])
-    out = wire.select(*cols).select("data.*", *extra)
+        extra["raw_value"] = F.col("value").cast("string")
+    out = _parse_once(wire, schema, extra)
     t = F.col("kafka_ts") if event_time == "broker" else parse_event_time("timestamp")
     return out.withColumn("event_time", t)
 
@@ -40,11 +52,8 @@ def decode_lookups(wire: DataFrame, enrich: bool = True, keep_raw: bool = False)
     With ``enrich`` the name length (never sent) and a missing entropy are
     computed from the queried name.
     """
-    text = F.col("value").cast("string")
-    cols = [F.from_json(text, DNS_SCHEMA).alias("data")]
-    if keep_raw:
-        cols.append(text.alias("raw_value"))
-    out = wire.select(*cols).select("data.*", *(["raw_value"] if keep_raw else []))
+    extra = {"raw_value": F.col("value").cast("string")} if keep_raw else {}
+    out = _parse_once(wire, DNS_SCHEMA, extra)
     out = out.withColumn("event_time", parse_event_time("timestamp"))
     return enrich_lookups(out) if enrich else out
 
