@@ -121,17 +121,21 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery],
               timeout: float | None = None) -> None:
-    """Block until one query ends; stop the others, re-raise its error."""
+    """Block until one query ends, then stop the others.
+
+    A failed query's exception propagates unchanged; its batch was not
+    committed, so a restart from the same checkpoints re-reads it.
+    """
     try:
-        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+        if timeout:
+            spark.streams.awaitAnyTermination(timeout)
+        else:
+            spark.streams.awaitAnyTermination()
     finally:
-        failed = [q for q in queries if not q.isActive and q.exception() is not None]
         for q in queries:
             if q.isActive:
                 q.stop()
         spark.streams.resetTerminated()
-    if failed:
-        raise RuntimeError(f"query {failed[0].name} failed: {failed[0].exception()}")
 
 
 def run_until_drained(queries: list[StreamingQuery]) -> None:

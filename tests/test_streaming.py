@@ -176,3 +176,35 @@ def test_cli_arguments():
     from netwatch.cli import parse_args
     args = parse_args(["routing", "--bootstrap", "k:1", "--tables", "/t"])
     assert args.trigger == "10 seconds" and args.starting_offsets == "latest"
+
+
+def test_encoded_frames_have_the_kafka_schema(spark):
+    from netwatch.schemas import WIRE_SCHEMA
+    events = load_table(spark, SMALL, "events")
+    for frames in (routing_wire(routing_fixture(events)), lookup_wire(lookup_fixture(events))):
+        assert [(f.name, f.dataType) for f in frames.schema] == \
+               [(f.name, f.dataType) for f in WIRE_SCHEMA]
+
+
+def test_write_error_fails_the_query_and_await_any_stops_the_rest(spark, workdir):
+    import pytest
+    from netwatch.streaming import await_any, start_query
+
+    events = load_table(spark, SMALL, "events")
+    wire_path = os.path.join(workdir, "wire")
+    routing_wire(routing_fixture(events)).write.parquet(wire_path)
+    decoded = decode_routing(wire_file_stream(spark, wire_path))
+
+    def broken_sink(df, batch_id):
+        raise IOError("table unavailable")
+
+    healthy = start_query(decoded.select("prefix"), lambda df, i: None,
+                          os.path.join(workdir, "ck_ok"), "append", "healthy",
+                          {"processingTime": "1 second"})
+    failing = start_query(decoded.select("prefix"), broken_sink,
+                          os.path.join(workdir, "ck_bad"), "append", "failing", ONCE)
+    with pytest.raises(Exception, match="table unavailable"):
+        await_any(spark, [healthy, failing], timeout=120)
+    assert not healthy.isActive
+    # nothing was committed for the failed batch: a restart re-reads it
+    assert not os.path.exists(os.path.join(workdir, "ck_bad", "commits", "0"))
