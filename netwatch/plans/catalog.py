@@ -141,6 +141,12 @@ def q_decode_bgp(spark, root):
     return _wall_clock(decoded.drop("kafka_ts"))
 
 
+def q_decode_bgp_typed(spark, root):
+    decoded = decode_routing(routing_wire(_routing(spark, root)), typed_lists=True,
+                             event_time="payload")
+    return _wall_clock(decoded.drop("kafka_ts"))
+
+
 def q_decode_dns(spark, root):
     decoded = decode_lookups(lookup_wire(_lookups(spark, root)))
     return _wall_clock(decoded)
@@ -237,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "recent_bgp_alerts": q_recent_bgp_alerts,
     "recent_dns_alerts": q_recent_dns_alerts,
     "decode_bgp": q_decode_bgp,
+    "decode_bgp_typed": q_decode_bgp_typed,
     "decode_dns": q_decode_dns,
     "domain_entropy": q_domain_entropy,
     "domain_length": q_domain_length,
