@@ -11,6 +11,7 @@ ends the program when one fails.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,9 @@ from netwatch.sources.decode import decode_lookups, decode_routing, split_reject
 from netwatch.streaming.sinks import BatchWriter, FanOutSink, ParquetBatchSink
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+# Windowed alerts per trigger are few (groups over a threshold); write them
+# as a handful of files, whatever the state partition count.
+WINDOWED_ALERT_FILES = 2
 
 
 def start_query(frame: DataFrame, sink: BatchWriter, checkpoint: str,
@@ -77,7 +81,8 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
     for rule in rules or [route_flap_rule(), as_hijack_rule()]:
-        sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name)
+        sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name,
+                                max_files=WINDOWED_ALERT_FILES)
         queries.append(start_rule(decoded.drop("raw_value"), rule, sink,
                                   os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
@@ -114,28 +119,34 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
     for rule in rules:
         if isinstance(rule, WindowRule):
             queries.append(start_rule(decoded.drop("raw_value"), rule,
-                                      ParquetBatchSink(alerts_path, rule.name),
+                                      ParquetBatchSink(alerts_path, rule.name,
+                                                       max_files=WINDOWED_ALERT_FILES),
                                       os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery],
-              timeout: float | None = None) -> None:
-    """Block until one query ends, then stop the others.
+              timeout: float | None = None, poll_seconds: float = 1.0) -> None:
+    """Block until one of ``queries`` ends (or ``timeout``), then stop the
+    others.
 
-    A failed query's exception propagates unchanged; its batch was not
-    committed, so a restart from the same checkpoints re-reads it.
+    Only the given queries count, not others of the session. A failed
+    query's exception is raised; its batch was not committed, so a restart
+    from the same checkpoints re-reads it.
     """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        if timeout:
-            spark.streams.awaitAnyTermination(timeout)
-        else:
-            spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            if deadline is not None and time.monotonic() >= deadline:
+                return
+            queries[0].awaitTermination(poll_seconds)
+        for q in queries:
+            if not q.isActive and q.exception() is not None:
+                raise q.exception()
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
-        spark.streams.resetTerminated()
 
 
 def run_until_drained(queries: list[StreamingQuery]) -> None:

@@ -22,12 +22,14 @@ BatchWriter = Callable[[DataFrame, int], None]
 def _each_nonempty(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
     """Run ``write`` once on a cached batch unless it is empty.
 
-    The batch plan (source read, decode, state) is evaluated once; the
-    emptiness probe reads the cache.
+    The batch plan (source read, decode, state) runs once, with its full
+    parallelism, to fill the cache; the row count and the write read the
+    cache. So a write that merges partitions (``coalesce``) never pulls the
+    stateful stage into fewer tasks.
     """
     df.persist()
     try:
-        if df.isEmpty():
+        if df.count() == 0:
             return False
         write(df)
         return True
@@ -42,12 +44,20 @@ class ParquetBatchSink:
     batch exactly once. Several queries may feed one table under distinct
     writer names (their batch ids are independent). ``writer`` and
     ``batch_id`` come back as partition columns when the table is read.
+
+    ``max_files`` caps the files per batch for outputs that stay small
+    (windowed alerts): a stateful query has as many output partitions as
+    state partitions, and a file per partition every trigger would flood
+    the table with tiny files. Leave it unset for outputs that grow with
+    the input (archives, per-event alerts).
     """
 
-    def __init__(self, path: str, writer: str, skip_empty: bool = True):
+    def __init__(self, path: str, writer: str, skip_empty: bool = True,
+                 max_files: int | None = None):
         self.path = path
         self.writer = writer
         self.skip_empty = skip_empty
+        self.max_files = max_files
 
     def folder(self, batch_id: int) -> str:
         return os.path.join(self.path, f"writer={self.writer}", f"batch_id={batch_id}")
@@ -56,6 +66,8 @@ class ParquetBatchSink:
         target = self.folder(batch_id)
 
         def write(frame: DataFrame) -> None:
+            if self.max_files:
+                frame = frame.coalesce(self.max_files)
             frame.write.mode("overwrite").parquet(target)
 
         if self.skip_empty:
@@ -144,7 +156,7 @@ class FanOutSink:
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            if df.isEmpty():
+            if df.count() == 0:
                 return
             for transform, writer in self.outputs.values():
                 writer(transform(df), batch_id)

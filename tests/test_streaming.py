@@ -208,3 +208,11 @@ def test_write_error_fails_the_query_and_await_any_stops_the_rest(spark, workdir
     assert not healthy.isActive
     # nothing was committed for the failed batch: a restart re-reads it
     assert not os.path.exists(os.path.join(workdir, "ck_bad", "commits", "0"))
+
+
+def test_parquet_sink_caps_files_for_small_outputs(spark, workdir):
+    df = spark.range(100).repartition(8)
+    ParquetBatchSink(workdir, "w", max_files=1)(df, 0)
+    folder = os.path.join(workdir, "writer=w", "batch_id=0")
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1
+    assert spark.read.parquet(workdir).count() == 100
