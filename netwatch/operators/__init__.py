@@ -1,6 +1,12 @@
 """DataFrame operators: rules, alert tables, archives, reports, metrics."""
 
-from netwatch.operators.alerts import bgp_alerts, dns_alerts, latest_alerts, union_alerts
+from netwatch.operators.alerts import (
+    bgp_alerts,
+    current_alerts,
+    dns_alerts,
+    latest_alerts,
+    union_alerts,
+)
 from netwatch.operators.archive import dns_events, routing_events
 from netwatch.operators.enrich import enrich_lookups
 from netwatch.operators.reports import event_series, recent_alerts
@@ -20,7 +26,7 @@ from netwatch.operators.windows import windowed_counts
 
 __all__ = [
     "BGP", "DNS", "KNOWN_ORIGIN_AS", "EventRule", "WindowRule",
-    "amplification_rule", "as_hijack_rule", "bgp_alerts", "dns_alerts",
+    "amplification_rule", "as_hijack_rule", "bgp_alerts", "current_alerts", "dns_alerts",
     "dns_events", "dns_tunneling_rule", "enrich_lookups", "event_series",
     "latest_alerts", "nxdomain_storm_rule", "recent_alerts", "route_flap_rule",
     "routing_events", "union_alerts", "windowed_counts",

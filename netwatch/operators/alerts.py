@@ -150,4 +150,21 @@ def latest_alerts(history: DataFrame, kind: str, batch_column: str = "batch_id")
     return latest.select(*keys, "latest.*").select(*columns)
 
 
-__all__ = ["bgp_alerts", "dns_alerts", "latest_alerts", "union_alerts", "DNS"]
+def current_alerts(table: DataFrame, kind: str,
+                   update_writers: Sequence[str] = ("nxdomain_storm", "amplification"),
+                   writer_column: str = "writer") -> DataFrame:
+    """An alert table as a reader wants it.
+
+    Rows of update-mode writers are reduced to the latest per key;
+    append-mode writers (windowed rules emitting once, per-event rules)
+    are taken as they are. Bookkeeping columns are dropped.
+    """
+    columns = BGP_ALERT_COLUMNS if kind == BGP else DNS_ALERT_COLUMNS
+    updated = F.col(writer_column).isin(list(update_writers))
+    return union_alerts([
+        table.filter(~updated).select(*columns),
+        latest_alerts(table.filter(updated), kind),
+    ])
+
+
+__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "latest_alerts", "union_alerts", "DNS"]

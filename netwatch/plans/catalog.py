@@ -26,6 +26,7 @@ from netwatch.operators import (
     amplification_rule,
     as_hijack_rule,
     bgp_alerts,
+    current_alerts,
     dns_alerts,
     dns_events,
     dns_tunneling_rule,
@@ -49,7 +50,12 @@ from netwatch.sources import (
     routing_wire,
     wire_file_stream,
 )
-from netwatch.streaming.runner import run_until_drained, start_query, start_rule
+from netwatch.streaming.runner import (
+    run_until_drained,
+    start_lookup_monitor,
+    start_query,
+    start_routing_monitor,
+)
 from netwatch.streaming.sinks import ParquetBatchSink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +233,28 @@ def q_stream_dns_archive(spark, root):
     return _wall_clock(table.drop("writer", "batch_id"))
 
 
+def _monitor_alerts(kind):
+    """Run the whole monitor of one source (all of its streaming queries in
+    one session) and read its alert table back as current alerts."""
+    def query(spark, root):
+        run = fresh_dir(spark, "runs")
+        once = {"availableNow": True}
+        tables, checkpoints = os.path.join(run, "tables"), os.path.join(run, "checkpoints")
+        if kind == BGP:
+            wire = _stage_wire(spark, routing_wire(_routing(spark, root)), run)
+            queries = start_routing_monitor(wire_file_stream(spark, wire), tables, checkpoints,
+                                            CLOCK, once)
+            table = os.path.join(tables, "bgp_alerts")
+        else:
+            wire = _stage_wire(spark, lookup_wire(_lookups(spark, root)), run)
+            queries = start_lookup_monitor(wire_file_stream(spark, wire), tables, checkpoints,
+                                           CLOCK, once)
+            table = os.path.join(tables, "dns_alerts")
+        run_until_drained(queries)
+        return _wall_clock(current_alerts(spark.read.parquet(table), kind))
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "route_flap": q_route_flap,
     "as_hijack": q_as_hijack,
@@ -254,6 +282,8 @@ QUERIES: dict[str, Query] = {
     "stream_nxdomain_storm": _rule_stream(nxdomain_storm_rule(), DNS, latest=True),
     "stream_amplification": _rule_stream(amplification_rule(), DNS, latest=True),
     "stream_dns_tunneling": _rule_stream(dns_tunneling_rule(), DNS),
+    "stream_bgp_alerts": _monitor_alerts(BGP),
+    "stream_dns_alerts": _monitor_alerts(DNS),
     "stream_archive": q_stream_archive,
     "stream_dns_archive": q_stream_dns_archive,
 }

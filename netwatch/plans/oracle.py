@@ -193,6 +193,9 @@ SQL: dict[str, str] = {
     "stream_nxdomain_storm": _with(DNS_FX, STORM) + "SELECT * FROM storm",
     "stream_amplification": _with(DNS_FX, AMP) + "SELECT * FROM amp",
     "stream_dns_tunneling": _with(DNS_FX, TUNNEL) + "SELECT * FROM tunnel",
+    "stream_bgp_alerts": _with(BGP_FX, FLAP, HIJACK)
+    + _watermarked("flap", FLAP_WHERE, 30) + " UNION ALL " + _watermarked("hijack", HIJACK_WHERE, 30),
+    "stream_dns_alerts": _with(DNS_FX, STORM, AMP, TUNNEL, DNS_ALERTS) + "SELECT * FROM dns_alerts",
     "stream_archive": _with(BGP_FX, ROUTING_EVENTS) + "SELECT * FROM routing_events",
     "stream_dns_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
 }
