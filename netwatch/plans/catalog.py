@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -38,7 +39,7 @@ from netwatch.operators import (
     routing_events,
 )
 from netwatch.plans.oracle import CLOCK
-from netwatch.session import fresh_dir, path_exists
+from netwatch.session import fresh_dir
 from netwatch.sources import (
     decode_lookups,
     decode_routing,
@@ -206,10 +207,11 @@ def _run_stream(spark, root, kind, build) -> DataFrame:
     query = start_query(frame, ParquetBatchSink(table, name),
                         os.path.join(run, "checkpoint", name), mode, None, {"availableNow": True})
     run_until_drained([query])
-    if not path_exists(spark, table):   # every batch was empty
+    try:
+        return spark.read.parquet(table)
+    except AnalysisException:       # every batch was empty: no folder written
         schema = frame.schema.add("writer", "string").add("batch_id", "long")
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(table)
 
 
 def _rule_stream(rule, kind, latest=False):

@@ -79,11 +79,3 @@ def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unused folder below the shared root."""
     return os.path.join(shared_root(spark), "netwatch", *parts, uuid.uuid4().hex)
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, on whatever file system its URI names
-    (local, HDFS, object store), through Hadoop's FileSystem API."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path))
