@@ -23,7 +23,6 @@ from netwatch.operators.rules import (
     DNS,
     EventRule,
     WindowRule,
-    alert_projection,
     amplification_rule,
     as_hijack_rule,
     dns_tunneling_rule,

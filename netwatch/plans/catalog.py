@@ -186,7 +186,7 @@ def q_page_host_entropy(spark, root):
 
 # -- streams ----------------------------------------------------------------------
 
-def _stage_wire(spark: SparkSession, frames: DataFrame, run: str) -> str:
+def _stage_wire(frames: DataFrame, run: str) -> str:
     path = os.path.join(run, "wire")
     frames.write.mode("overwrite").parquet(path)
     return path
@@ -197,10 +197,10 @@ def _run_stream(spark, root, kind, build) -> DataFrame:
     to completion with availableNow, and read its table back."""
     run = fresh_dir(spark, "runs")
     if kind == BGP:
-        wire_path = _stage_wire(spark, routing_wire(_routing(spark, root)), run)
+        wire_path = _stage_wire(routing_wire(_routing(spark, root)), run)
         decoded = decode_routing(wire_file_stream(spark, wire_path))
     else:
-        wire_path = _stage_wire(spark, lookup_wire(_lookups(spark, root)), run)
+        wire_path = _stage_wire(lookup_wire(_lookups(spark, root)), run)
         decoded = decode_lookups(wire_file_stream(spark, wire_path))
     frame, mode, name = build(decoded)
     table = os.path.join(run, "table")
@@ -243,12 +243,12 @@ def _monitor_alerts(kind):
         once = {"availableNow": True}
         tables, checkpoints = os.path.join(run, "tables"), os.path.join(run, "checkpoints")
         if kind == BGP:
-            wire = _stage_wire(spark, routing_wire(_routing(spark, root)), run)
+            wire = _stage_wire(routing_wire(_routing(spark, root)), run)
             queries = start_routing_monitor(wire_file_stream(spark, wire), tables, checkpoints,
                                             CLOCK, once)
             table = os.path.join(tables, "bgp_alerts")
         else:
-            wire = _stage_wire(spark, lookup_wire(_lookups(spark, root)), run)
+            wire = _stage_wire(lookup_wire(_lookups(spark, root)), run)
             queries = start_lookup_monitor(wire_file_stream(spark, wire), tables, checkpoints,
                                            CLOCK, once)
             table = os.path.join(tables, "dns_alerts")

@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from netwatch.operators import (
     amplification_rule,
     as_hijack_rule,

@@ -4,7 +4,6 @@ import os
 from pyspark.sql import functions as F
 
 from netwatch.operators import (
-    BGP,
     DNS,
     latest_alerts,
     nxdomain_storm_rule,
