@@ -149,9 +149,14 @@ def q_decode_bgp(spark, root):
 
 
 def q_decode_bgp_typed(spark, root):
+    """Typed-list decode; the arrays are shown as their elements joined by
+    ',' so the result compares as flat values."""
     decoded = decode_routing(routing_wire(_routing(spark, root)), typed_lists=True,
                              event_time="payload")
-    return _wall_clock(decoded.drop("kafka_ts"))
+    return _wall_clock(decoded.drop("kafka_ts")).withColumns({
+        "as_path": F.array_join(F.col("as_path").cast("array<string>"), ","),
+        "communities": F.array_join("communities", ","),
+    })
 
 
 def q_decode_dns(spark, root):

@@ -175,8 +175,9 @@ SQL: dict[str, str] = {
       "as_path, next_hop, med, communities, event_time FROM bgp_fx",
     "decode_bgp_typed": _with(BGP_FX)
     + f"SELECT {_iso('event_time')} AS timestamp, router_id, peer_as, origin_as, prefix, event_type, "
-      "CAST(as_path AS INTEGER[]) AS as_path, next_hop, med, "
-      "from_json(communities, '[\"VARCHAR\"]') AS communities, event_time FROM bgp_fx",
+      "array_to_string(CAST(as_path AS INTEGER[]), ',') AS as_path, next_hop, med, "
+      "array_to_string(from_json(communities, '[\"VARCHAR\"]'), ',') AS communities, "
+      "event_time FROM bgp_fx",
     "decode_dns": _with(DNS_FX)
     + f"SELECT {_iso('event_time')} AS timestamp, resolver_ip, source_ip, queried_domain, query_type, "
       "response_code, ttl, entropy, domain_length, event_time FROM dns_fx",
