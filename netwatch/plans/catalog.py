@@ -71,8 +71,8 @@ def _events(spark: SparkSession, root: str, spread: bool = True) -> DataFrame:
     return load_table(spark, root, "events", min_partitions=cores if spread else None)
 
 
-def _routing(spark: SparkSession, root: str) -> DataFrame:
-    return routing_fixture(_events(spark, root, spread=False))
+def _routing(spark: SparkSession, root: str, spread: bool = False) -> DataFrame:
+    return routing_fixture(_events(spark, root, spread=spread))
 
 
 def _lookups(spark: SparkSession, root: str) -> DataFrame:
@@ -148,14 +148,14 @@ def q_recent_dns_alerts(spark, root):
 # -- decoding and enrichment ------------------------------------------------------
 
 def q_decode_bgp(spark, root):
-    decoded = decode_routing(routing_wire(_routing(spark, root)))
+    decoded = decode_routing(routing_wire(_routing(spark, root, spread=True)))
     return _wall_clock(decoded.drop("kafka_ts"))
 
 
 def q_decode_bgp_typed(spark, root):
     """Typed-list decode; the arrays are shown as their elements joined by
     ',' so the result compares as flat values."""
-    decoded = decode_routing(routing_wire(_routing(spark, root)), typed_lists=True,
+    decoded = decode_routing(routing_wire(_routing(spark, root, spread=True)), typed_lists=True,
                              event_time="payload")
     return _wall_clock(decoded.drop("kafka_ts")).withColumns({
         "as_path": F.array_join(F.col("as_path").cast("array<string>"), ","),
@@ -206,7 +206,7 @@ def _run_stream(spark, root, kind, build) -> DataFrame:
     to completion with availableNow, and read its table back."""
     run = fresh_dir(spark, "runs")
     if kind == BGP:
-        wire_path = _stage_wire(routing_wire(_routing(spark, root)), run)
+        wire_path = _stage_wire(routing_wire(_routing(spark, root, spread=True)), run)
         decoded = decode_routing(wire_file_stream(spark, wire_path))
     else:
         wire_path = _stage_wire(lookup_wire(_lookups(spark, root)), run)
@@ -252,7 +252,7 @@ def _monitor_alerts(kind):
         once = {"availableNow": True}
         tables, checkpoints = os.path.join(run, "tables"), os.path.join(run, "checkpoints")
         if kind == BGP:
-            wire = _stage_wire(routing_wire(_routing(spark, root)), run)
+            wire = _stage_wire(routing_wire(_routing(spark, root, spread=True)), run)
             queries = start_routing_monitor(wire_file_stream(spark, wire), tables, checkpoints,
                                             CLOCK, once)
             table = os.path.join(tables, "bgp_alerts")
