@@ -74,9 +74,9 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     decoded = decode_routing(wire, keep_raw=True)
     fan_out = FanOutSink({
         "routing_events": (routing_events, ParquetBatchSink(
-            os.path.join(table_root, "routing_events"), "archive")),
+            os.path.join(table_root, "routing_events"), "archive", cache=False)),
         "routing_rejects": (_rejects, ParquetBatchSink(
-            os.path.join(table_root, "routing_rejects"), "decode")),
+            os.path.join(table_root, "routing_rejects"), "decode", cache=False)),
     })
     queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
@@ -105,14 +105,14 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
     alerts_path = os.path.join(table_root, "dns_alerts")
     outputs = {
         "dns_events": (dns_events, ParquetBatchSink(
-            os.path.join(table_root, "dns_events"), "archive")),
+            os.path.join(table_root, "dns_events"), "archive", cache=False)),
         "dns_rejects": (_rejects, ParquetBatchSink(
-            os.path.join(table_root, "dns_rejects"), "decode")),
+            os.path.join(table_root, "dns_rejects"), "decode", cache=False)),
     }
     for rule in rules:
         if isinstance(rule, EventRule):
             outputs[rule.name] = ((lambda df, r=rule: r.apply(df, clock)),
-                                  ParquetBatchSink(alerts_path, rule.name))
+                                  ParquetBatchSink(alerts_path, rule.name, cache=False))
     queries = [start_query(decoded, FanOutSink(outputs),
                            os.path.join(checkpoint_root, "dns_stateless"),
                            "append", "dns_stateless", trigger)]

@@ -19,14 +19,21 @@ log = logging.getLogger(__name__)
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def _each_nonempty(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
+def _each_nonempty(df: DataFrame, write: Callable[[DataFrame], None],
+                   cache: bool = True) -> bool:
     """Run ``write`` once on a cached batch unless it is empty.
 
     The batch plan (source read, decode, state) runs once, with its full
     parallelism, to fill the cache; the row count and the write read the
     cache. So a write that merges partitions (``coalesce``) never pulls the
-    stateful stage into fewer tasks.
+    stateful stage into fewer tasks. ``cache=False`` is for frames derived
+    from a batch the caller has cached already.
     """
+    if not cache:
+        if df.isEmpty():
+            return False
+        write(df)
+        return True
     df.persist()
     try:
         if df.count() == 0:
@@ -53,11 +60,12 @@ class ParquetBatchSink:
     """
 
     def __init__(self, path: str, writer: str, skip_empty: bool = True,
-                 max_files: int | None = None):
+                 max_files: int | None = None, cache: bool = True):
         self.path = path
         self.writer = writer
         self.skip_empty = skip_empty
         self.max_files = max_files
+        self.cache = cache
 
     def folder(self, batch_id: int) -> str:
         return os.path.join(self.path, f"writer={self.writer}", f"batch_id={batch_id}")
@@ -71,7 +79,7 @@ class ParquetBatchSink:
             frame.write.mode("overwrite").parquet(target)
 
         if self.skip_empty:
-            wrote = _each_nonempty(df, write)
+            wrote = _each_nonempty(df, write, self.cache)
         else:
             write(df)
             wrote = True
@@ -147,7 +155,8 @@ class FanOutSink:
     Stateless outputs of one source (archive, per-event rules, dead
     letters) are written from a single cached batch, so the topic is read
     and decoded once instead of once per output. ``outputs`` maps a name to
-    (transform, writer); each writer sees ``transform(batch)``.
+    (transform, writer); each writer sees ``transform(batch)`` and should not
+    cache it again (``ParquetBatchSink(cache=False)``).
     """
 
     def __init__(self, outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], BatchWriter]]):
