@@ -43,6 +43,7 @@ from netwatch.session import fresh_dir
 from netwatch.sources import (
     decode_lookups,
     decode_routing,
+    default_parallelism,
     load_table,
     lookup_fixture,
     lookup_wire,
@@ -67,7 +68,7 @@ def _events(spark: SparkSession, root: str, spread: bool = True) -> DataFrame:
     than cores is spread round-robin first: worth it for per-row hashing and
     entropy (lookup views), not for the routing counts, whose partial
     aggregation merges less when a group's rows are dealt over many tasks."""
-    cores = spark.sparkContext.defaultParallelism
+    cores = default_parallelism(spark)
     return load_table(spark, root, "events", min_partitions=cores if spread else None)
 
 

@@ -23,6 +23,18 @@ def load_table(spark: SparkSession, root: str, name: str,
 
 def spread(df: DataFrame, min_partitions: int) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` partitions if it has fewer."""
-    if df.isStreaming or df.rdd.getNumPartitions() >= min_partitions:
+    if df.isStreaming:
         return df
-    return df.repartition(min_partitions)
+    try:
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df if partitions >= min_partitions else df.repartition(min_partitions)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to tasks (shuffle partitions where that is unknown)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
