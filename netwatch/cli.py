@@ -1,11 +1,14 @@
-"""Command line: run the routing or the lookup monitor on a Kafka topic.
+"""Command line: run the routing or the lookup monitor.
 
-    spark-submit -m netwatch.cli routing --bootstrap kafka:29092 --tables /shared/tables
-    python -m netwatch.cli lookups --bootstrap kafka:29092 --tables /shared/tables
+    python -m netwatch.cli routing --bootstrap kafka:29092 --tables /shared/tables
+    python -m netwatch.cli lookups --wire-path /shared/raw/dns --tables /shared/tables --once
 
-Checkpoints default to a fixed folder below the session's
-``spark.checkpoint.dir`` so a restart resumes where the last run committed.
-The Kafka connector must be on the classpath (``--packages`` or jars).
+The source is a Kafka topic (``--bootstrap``; the connector must be on the
+classpath) or a folder of stored wire frames (``--wire-path``: parquet
+with the Kafka columns), which replays archived traffic through the same
+queries. ``--once`` processes what is there and exits. Checkpoints default
+to a fixed folder below the session's ``spark.checkpoint.dir`` so a restart
+resumes where the last run committed.
 """
 
 from __future__ import annotations
@@ -14,18 +17,27 @@ import argparse
 import os
 
 from netwatch.session import ROCKSDB_PROVIDER, build_session, shared_root
-from netwatch.sources.wire import BGP_TOPIC, DNS_TOPIC, kafka_stream
-from netwatch.streaming.runner import await_any, start_lookup_monitor, start_routing_monitor
+from netwatch.sources.wire import BGP_TOPIC, DNS_TOPIC, kafka_stream, wire_file_stream
+from netwatch.streaming.runner import (
+    await_any,
+    run_until_drained,
+    start_lookup_monitor,
+    start_routing_monitor,
+)
 
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="netwatch")
     p.add_argument("monitor", choices=["routing", "lookups"])
-    p.add_argument("--bootstrap", required=True, help="Kafka bootstrap servers")
+    source = p.add_mutually_exclusive_group(required=True)
+    source.add_argument("--bootstrap", help="Kafka bootstrap servers")
+    source.add_argument("--wire-path", help="folder of stored wire frames (parquet)")
     p.add_argument("--topic", help="topic (default: the monitor's raw topic)")
     p.add_argument("--tables", required=True, help="shared folder for the output tables")
     p.add_argument("--checkpoints", help="checkpoint folder (default: below spark.checkpoint.dir)")
     p.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
+    p.add_argument("--once", action="store_true", help="process what is available, then exit")
+    p.add_argument("--max-files-per-trigger", type=int, help="file source: files per batch")
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-offsets-per-trigger", type=int,
                    help="bound one micro-batch (catch-up after downtime)")
@@ -40,17 +52,23 @@ def main(argv=None) -> None:
         "spark.sql.shuffle.partitions": str(args.state_partitions),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     })
-    topic = args.topic or (BGP_TOPIC if args.monitor == "routing" else DNS_TOPIC)
-    options = {}
-    if args.max_offsets_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
-    wire = kafka_stream(spark, args.bootstrap, topic, args.starting_offsets, False, options)
+    if args.bootstrap:
+        topic = args.topic or (BGP_TOPIC if args.monitor == "routing" else DNS_TOPIC)
+        options = {}
+        if args.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        wire = kafka_stream(spark, args.bootstrap, topic, args.starting_offsets, False, options)
+    else:
+        wire = wire_file_stream(spark, args.wire_path, args.max_files_per_trigger)
     checkpoints = args.checkpoints or os.path.join(shared_root(spark), "netwatch", "checkpoints",
                                                    args.monitor)
-    trigger = {"processingTime": args.trigger}
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     start = start_routing_monitor if args.monitor == "routing" else start_lookup_monitor
     queries = start(wire, args.tables, checkpoints, None, trigger)
-    await_any(spark, queries)
+    if args.once:
+        run_until_drained(queries)
+    else:
+        await_any(spark, queries)
 
 
 if __name__ == "__main__":

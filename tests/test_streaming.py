@@ -172,9 +172,38 @@ def test_rejects_go_to_dead_letters_and_stay_archived(spark, workdir):
 
 
 def test_cli_arguments():
+    import pytest
     from netwatch.cli import parse_args
     args = parse_args(["routing", "--bootstrap", "k:1", "--tables", "/t"])
     assert args.trigger == "10 seconds" and args.starting_offsets == "latest"
+    with pytest.raises(SystemExit):      # exactly one source
+        parse_args(["routing", "--bootstrap", "k:1", "--wire-path", "/w", "--tables", "/t"])
+
+
+def test_cli_replays_stored_frames_with_rocksdb_state(spark, workdir):
+    from netwatch.cli import main
+    events = load_table(spark, SMALL, "events")
+    wire_path = os.path.join(workdir, "wire")
+    lookup_wire(lookup_fixture(events)).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    saved = {k: spark.conf.get(k, None) for k in
+             ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    try:
+        main(["lookups", "--wire-path", wire_path, "--tables", tables, "--once",
+              "--checkpoints", os.path.join(workdir, "ck"), "--state-partitions", "4"])
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert spark.read.parquet(os.path.join(tables, "dns_events")).count() == events.count()
+    alerts = spark.read.parquet(os.path.join(tables, "dns_alerts"))
+    assert alerts.filter(F.col("alert_type") == "AMPLIFICATION").count() == 12
+    state = os.path.join(workdir, "ck", "amplification", "state")
+    assert os.path.isdir(state)
+    with open(os.path.join(workdir, "ck", "amplification", "offsets", "0")) as f:
+        assert "RocksDBStateStoreProvider" in f.read()   # provider recorded in the checkpoint
 
 
 def test_encoded_frames_have_the_kafka_schema(spark):
