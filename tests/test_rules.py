@@ -18,14 +18,14 @@ CLOCK = "2024-02-01 00:00:00"
 
 
 def routing(spark, rows):
-    """rows: (seconds after T0, prefix, event_type, origin_as)"""
-    data = [(T0 + dt.timedelta(seconds=s), p, e, o) for s, p, e, o in rows]
+    """rows: (seconds after T0 or None, prefix, event_type, origin_as)"""
+    data = [(None if s is None else T0 + dt.timedelta(seconds=s), p, e, o) for s, p, e, o in rows]
     return spark.createDataFrame(data, "event_time timestamp_ntz, prefix string, event_type string, origin_as int")
 
 
 def lookups(spark, rows):
-    """rows: (seconds, source_ip, response_code, query_type, domain_length, entropy)"""
-    data = [(T0 + dt.timedelta(seconds=s), *rest) for s, *rest in rows]
+    """rows: (seconds or None, source_ip, response_code, query_type, domain_length, entropy)"""
+    data = [(None if s is None else T0 + dt.timedelta(seconds=s), *rest) for s, *rest in rows]
     return spark.createDataFrame(
         data, "event_time timestamp_ntz, source_ip string, response_code string, "
               "query_type string, domain_length int, entropy double")
@@ -91,6 +91,7 @@ def _random_lookups(spark, n=3000, seed=7):
     rows = [(rnd.uniform(-50, 400), f"h{rnd.randrange(4)}", rnd.choice(["NXDOMAIN", "NOERROR"]),
              rnd.choice(["A", "ANY", "TXT"]), rnd.randrange(30, 70), rnd.uniform(2, 4))
             for _ in range(n)]
+    rows += [(None, "h0", "NXDOMAIN", "ANY", 60, 3.9)] * 30     # no event time
     return lookups(spark, rows)
 
 
@@ -119,6 +120,7 @@ def test_fused_bgp_alerts_equal_union_of_rules(spark):
     rows = [(rnd.uniform(0, 300), f"p{rnd.randrange(5)}",
              rnd.choice(["ANNOUNCE", "WITHDRAW", "PATH_CHANGE"]),
              rnd.choice([15169, 64512, 64513, None])) for _ in range(2000)]
+    rows += [(None, "p0", "ANNOUNCE", 64512)] * 30      # no event time: in no window
     df = routing(spark, rows)
     flap, hijack = route_flap_rule(threshold=20), as_hijack_rule()
     fused = bgp_alerts(df, CLOCK, flap=flap, hijack=hijack)
