@@ -69,7 +69,8 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     Tables below ``table_root``: ``routing_events``, ``routing_rejects``
     (frames without a usable event time, with the raw text) and
     ``bgp_alerts``. One stateless query writes the archive and the rejects
-    from the same micro-batch; each windowed rule is its own query.
+    from the same micro-batch; each windowed rule is its own query and
+    decodes without carrying the raw text.
     """
     decoded = decode_routing(wire, keep_raw=True)
     fan_out = FanOutSink({
@@ -83,7 +84,7 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     for rule in rules or [route_flap_rule(), as_hijack_rule()]:
         sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name,
                                 max_files=WINDOWED_ALERT_FILES)
-        queries.append(start_rule(decoded.drop("raw_value"), rule, sink,
+        queries.append(start_rule(decode_routing(wire), rule, sink,
                                   os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
@@ -118,7 +119,7 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                            "append", "dns_stateless", trigger)]
     for rule in rules:
         if isinstance(rule, WindowRule):
-            queries.append(start_rule(decoded.drop("raw_value"), rule,
+            queries.append(start_rule(decode_lookups(wire), rule,
                                       ParquetBatchSink(alerts_path, rule.name,
                                                        max_files=WINDOWED_ALERT_FILES),
                                       os.path.join(checkpoint_root, rule.name), clock, trigger))
