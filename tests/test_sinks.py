@@ -11,3 +11,23 @@ def test_jdbc_sink_skips_empty_batches_without_connecting(spark):
     # An empty batch never opens a connection, so an unreachable URL is fine.
     sink = JdbcBatchSink("jdbc:unreachable:nowhere", "t", {}, batch_column="batch_id")
     sink(spark.range(0), 1)
+
+
+def test_jdbc_sink_deletes_then_appends_with_batch_columns(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    calls = []
+    sink = JdbcBatchSink("jdbc:x://db/y", "bgp_alerts", {"user": "u", "driver": "D"},
+                         batch_column="batch_id", writer="route_flap", num_partitions=4)
+    monkeypatch.setattr(sink, "_delete_batch", lambda df, batch_id: calls.append(("delete", batch_id)))
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        calls.append(("append", table, mode, sorted(self._df.columns), properties))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    sink(spark.range(3).withColumnRenamed("id", "event_count"), 7)
+    assert calls[0] == ("delete", 7)
+    kind, table, mode, columns, props = calls[1]
+    assert (kind, table, mode) == ("append", "bgp_alerts", "append")
+    assert columns == ["batch_id", "event_count", "writer"]
+    assert props["numPartitions"] == "4" and props["user"] == "u"
