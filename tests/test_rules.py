@@ -153,3 +153,27 @@ def test_processing_time_clock(spark):
     out = dns_tunneling_rule().apply(lookups(spark, rows)).first()
     assert out.detected_at is not None and out.window_start == out.detected_at
     assert abs((out.detected_at - dt.datetime.now(dt.UTC).replace(tzinfo=None)).total_seconds()) < 600
+
+
+def test_sliding_counts_match_brute_force(spark):
+    from collections import Counter
+    rnd = random.Random(11)
+    # whole-second times (many on bucket edges) and fractional ones
+    seconds = [rnd.choice([rnd.randrange(-40, 120), rnd.uniform(-40, 120)]) for _ in range(800)]
+    keys = [rnd.choice("abc") for _ in seconds]
+    expected = Counter()
+    for s, k in zip(seconds, keys):
+        us = round(s * 1_000_000)
+        pane = (us // 10_000_000) * 10_000_000           # floor, also below zero
+        for back in range(3):                            # windows of 30 s every 10 s
+            expected[(pane - back * 10_000_000, k)] += 1
+    df = lookups(spark, [(s, k, "NXDOMAIN", "A", 1, 1.0) for s, k in zip(seconds, keys)])
+    t0_us = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    for panes in (False, True):
+        got = {}
+        for r in windowed_counts(df, "event_time", ["source_ip"], "30 seconds", "10 seconds",
+                                 panes=panes).collect():
+            start = r.window_start.replace(tzinfo=dt.timezone.utc).timestamp()
+            got[(round(start * 1_000_000) - t0_us, r.source_ip)] = r.event_count
+            assert (r.window_end - r.window_start).total_seconds() == 30
+        assert got == dict(expected)
