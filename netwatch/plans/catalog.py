@@ -38,7 +38,7 @@ from netwatch.operators import (
     route_flap_rule,
     routing_events,
 )
-from netwatch.plans.oracle import CLOCK
+from netwatch.plans import CLOCK
 from netwatch.session import fresh_dir
 from netwatch.sources import (
     decode_lookups,

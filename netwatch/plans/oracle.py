@@ -9,6 +9,7 @@ the Spark code does not carry over into its check.
 from __future__ import annotations
 
 from netwatch.operators.rules import KNOWN_ORIGIN_AS
+from netwatch.plans import CLOCK
 from netwatch.sources.fixtures import (
     LOOKUP_TIME_FACTOR,
     ROUTING_TIME_FACTOR,
@@ -17,7 +18,6 @@ from netwatch.sources.fixtures import (
     URL_HOST_PATTERN,
 )
 
-CLOCK = "2024-02-01 00:00:00"
 _T0_US = 1704067200000000  # 2024-01-01 00:00:00 UTC in microseconds
 _CLOCK_SQL = f"TIMESTAMP '{CLOCK}'"
 _AS_LIST = "[" + ",".join(str(a) for a in SIMULATED_AS) + "]"
