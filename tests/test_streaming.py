@@ -244,3 +244,50 @@ def test_parquet_sink_caps_files_for_small_outputs(spark, workdir):
     folder = os.path.join(workdir, "writer=w", "batch_id=0")
     assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1
     assert spark.read.parquet(workdir).count() == 100
+
+
+def _lookup_frames(spark, rows):
+    """rows: (seconds after 2024-01-01, source, response code)"""
+    from netwatch.schemas import WIRE_SCHEMA
+    t0 = dt.datetime(2024, 1, 1)
+    data = []
+    for i, (s, src, rcode) in enumerate(rows):
+        ts = (t0 + dt.timedelta(seconds=s)).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
+        value = ('{"timestamp":"%s","source_ip":"%s","queried_domain":"a.com",'
+                 '"query_type":"A","response_code":"%s"}' % (ts, src, rcode))
+        data.append((src.encode(), value.encode(), "dns_raw_events", 0, i, t0, 0))
+    return spark.createDataFrame(data, WIRE_SCHEMA)
+
+
+def test_update_rule_drops_rows_behind_the_watermark(spark, workdir):
+    wire_path = os.path.join(workdir, "wire")
+    batches = [[(1000, "a", "NXDOMAIN")] * 3, [(2000, "b", "NXDOMAIN")],
+               [(5, "late", "NXDOMAIN")] * 3, [(3000, "c", "NXDOMAIN")]]
+    for rows in batches:
+        _lookup_frames(spark, rows).coalesce(1).write.mode("append").parquet(wire_path)
+    rule = nxdomain_storm_rule(threshold=2)
+    table = os.path.join(workdir, "alerts")
+    q = start_rule(decode_lookups(wire_file_stream(spark, wire_path, max_files_per_trigger=1)),
+                   rule, ParquetBatchSink(table, rule.name), os.path.join(workdir, "ck"),
+                   CLOCK, ONCE)
+    run_until_drained([q])
+    alerts = spark.read.parquet(table)
+    assert {r.source_ip for r in alerts.collect()} == {"a"}
+    assert alerts.count() == 3           # the three sliding windows of the burst
+    assert progress_summary(q)["rows_dropped_by_watermark"] >= 1
+
+
+def test_tunneling_through_the_fan_out_equals_batch(spark, workdir):
+    from netwatch.operators import dns_tunneling_rule
+    lookups = lookup_fixture(load_table(spark, SMALL, "events"))
+    wire_path = os.path.join(workdir, "wire")
+    write_in_slices(lookup_wire(lookups), wire_path, 4)
+    tables = os.path.join(workdir, "tables")
+    qs = start_lookup_monitor(wire_file_stream(spark, wire_path, max_files_per_trigger=1),
+                              tables, os.path.join(workdir, "ck"), CLOCK, ONCE)
+    run_until_drained(qs)
+    streamed = spark.read.parquet(os.path.join(tables, "dns_alerts")).filter(
+        F.col("writer") == "dns_tunneling").drop("writer", "batch_id")
+    expected = dns_tunneling_rule().apply(lookups, CLOCK)
+    assert wall(streamed).count() == expected.count() > 0
+    assert wall(streamed).exceptAll(expected).count() == 0
