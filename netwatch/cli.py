@@ -41,6 +41,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-offsets-per-trigger", type=int,
                    help="bound one micro-batch (catch-up after downtime)")
+    p.add_argument("--fuse-windowed", action="store_true",
+                   help="lookups: count both windowed rules in one stateful query")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
     return p.parse_args(argv)
@@ -63,8 +65,11 @@ def main(argv=None) -> None:
     checkpoints = args.checkpoints or os.path.join(shared_root(spark), "netwatch", "checkpoints",
                                                    args.monitor)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-    start = start_routing_monitor if args.monitor == "routing" else start_lookup_monitor
-    queries = start(wire, args.tables, checkpoints, None, trigger)
+    if args.monitor == "routing":
+        queries = start_routing_monitor(wire, args.tables, checkpoints, None, trigger)
+    else:
+        queries = start_lookup_monitor(wire, args.tables, checkpoints, None, trigger,
+                                       fuse_windowed=args.fuse_windowed)
     if args.once:
         run_until_drained(queries)
     else:

@@ -4,6 +4,7 @@ from netwatch.operators.alerts import (
     bgp_alerts,
     current_alerts,
     dns_alerts,
+    fused_window_alerts,
     latest_alerts,
     union_alerts,
 )
@@ -27,7 +28,7 @@ from netwatch.operators.windows import windowed_counts
 __all__ = [
     "BGP", "DNS", "KNOWN_ORIGIN_AS", "EventRule", "WindowRule",
     "amplification_rule", "as_hijack_rule", "bgp_alerts", "current_alerts", "dns_alerts",
-    "dns_events", "dns_tunneling_rule", "enrich_lookups", "event_series",
+    "dns_events", "dns_tunneling_rule", "enrich_lookups", "event_series", "fused_window_alerts",
     "latest_alerts", "nxdomain_storm_rule", "recent_alerts", "route_flap_rule",
     "routing_events", "union_alerts", "windowed_counts",
 ]

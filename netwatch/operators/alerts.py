@@ -91,6 +91,53 @@ def bgp_alerts(
     )
 
 
+def fused_window_alerts(
+    lookups: DataFrame,
+    rules: Sequence[WindowRule],
+    clock: str | Column | None = None,
+) -> DataFrame:
+    """Several windowed DNS rules with the same keys and window, counted in
+    one aggregation (one ``count_if`` per rule) and unpivoted to one alert
+    row per rule over its own threshold.
+
+    On a stream this is one stateful query instead of one per rule: the
+    source is read once and one state store holds all counts. The shared
+    watermark then follows the rows of every fused rule, so the windows
+    closing at the very end of a stream, and the rows dropped as late, can
+    differ from separate queries, and in update mode a window is re-emitted
+    when any of its counts grows. ``current_alerts`` reads both to the same
+    final state.
+    """
+    first = rules[0]
+    if len({(r.width, r.slide, r.time_column, tuple(r.keys), r.watermark, r.output_mode)
+            for r in rules}) != 1:
+        raise ValueError("fused rules need the same keys, window, watermark and mode")
+    detected_at = clock_as(clock, lookups, first.time_column)
+    preds = [r.predicate() for r in rules]
+    any_match = preds[0]
+    for p in preds[1:]:
+        any_match = any_match | p
+    rows = lookups.filter(any_match)
+    if lookups.isStreaming:
+        rows = rows.withWatermark(first.time_column, first.watermark)
+    counts = windowed_counts(rows, first.time_column, first.keys, first.width, first.slide,
+                             counts={f"c{i}": p for i, p in enumerate(preds)})
+    # Unpivot the per-rule counts to one candidate row per rule, then apply
+    # each rule's own threshold.
+    candidates = F.array(*[
+        F.struct(F.lit(r.alert_type).alias("alert_type"),
+                 F.lit(r.severity).alias("severity"),
+                 F.col(f"c{i}").alias("event_count"),
+                 F.lit(r.threshold or 0).alias("threshold"))
+        for i, r in enumerate(rules)])
+    stacked = (counts.select("window_start", "window_end", *first.keys, F.inline(candidates))
+               .filter(F.col("event_count") > F.col("threshold")))
+    return stacked.select(
+        "window_start", "window_end", "source_ip",
+        F.col("event_count").cast("long").alias("event_count"),
+        "alert_type", "severity", detected_at.alias("detected_at"))
+
+
 def dns_alerts(
     lookups: DataFrame,
     clock: str | Column | None = None,
@@ -108,29 +155,8 @@ def dns_alerts(
     if not fusable:
         return union_alerts([r.apply(lookups, clock) for r in windowed]
                             + [tunneling.apply(lookups, clock)])
-
-    detected_at = clock_as(clock, lookups, storm.time_column)
-    preds = [r.predicate() for r in windowed]
-    counts = windowed_counts(
-        lookups.filter(preds[0] | preds[1]), storm.time_column, storm.keys,
-        storm.width, storm.slide,
-        counts={f"c{i}": p for i, p in enumerate(preds)})
-    # Unpivot the per-rule counts to one candidate row per rule, then apply
-    # each rule's own threshold.
-    candidates = F.array(*[
-        F.struct(F.lit(r.alert_type).alias("alert_type"),
-                 F.lit(r.severity).alias("severity"),
-                 F.col(f"c{i}").alias("event_count"),
-                 F.lit(r.threshold or 0).alias("threshold"))
-        for i, r in enumerate(windowed)])
-    stacked = (counts.select("window_start", "window_end", *storm.keys,
-                             F.inline(candidates))
-               .filter(F.col("event_count") > F.col("threshold")))
-    windowed_alerts = stacked.select(
-        "window_start", "window_end", "source_ip",
-        F.col("event_count").cast("long").alias("event_count"),
-        "alert_type", "severity", detected_at.alias("detected_at"))
-    return union_alerts([windowed_alerts, tunneling.apply(lookups, clock)]).select(*DNS_ALERT_COLUMNS)
+    return union_alerts([fused_window_alerts(lookups, windowed, clock),
+                         tunneling.apply(lookups, clock)]).select(*DNS_ALERT_COLUMNS)
 
 
 def latest_alerts(history: DataFrame, kind: str, batch_column: str = "batch_id") -> DataFrame:
@@ -150,7 +176,8 @@ def latest_alerts(history: DataFrame, kind: str, batch_column: str = "batch_id")
 
 
 def current_alerts(table: DataFrame, kind: str,
-                   update_writers: Sequence[str] = ("nxdomain_storm", "amplification"),
+                   update_writers: Sequence[str] = ("nxdomain_storm", "amplification",
+                                                    "dns_windowed"),
                    writer_column: str = "writer") -> DataFrame:
     """An alert table as a reader wants it.
 
@@ -166,4 +193,5 @@ def current_alerts(table: DataFrame, kind: str,
     ])
 
 
-__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "latest_alerts", "union_alerts", "DNS"]
+__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "fused_window_alerts", "latest_alerts",
+           "union_alerts", "DNS"]

@@ -17,6 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from netwatch.operators.alerts import fused_window_alerts
 from netwatch.operators.archive import dns_events, routing_events
 from netwatch.operators.rules import (
     EventRule,
@@ -92,14 +93,16 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
 def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                          clock: str | Column | None = None,
                          trigger: Mapping[str, object] | None = None,
-                         rules: list[WindowRule | EventRule] | None = None
-                         ) -> list[StreamingQuery]:
+                         rules: list[WindowRule | EventRule] | None = None,
+                         fuse_windowed: bool = False) -> list[StreamingQuery]:
     """Archive (+ dead letters), tunneling, and the windowed lookup rules.
 
     Tables below ``table_root``: ``dns_events``, ``dns_rejects`` and
     ``dns_alerts``. The stateless outputs (archive, rejects and every
     per-event rule) share one query and one read of the source; each
-    windowed rule is its own stateful query.
+    windowed rule is its own stateful query, or with ``fuse_windowed`` all
+    of them are one query (writer ``dns_windowed``; see
+    ``fused_window_alerts`` for what changes at the edges).
     """
     decoded = decode_lookups(wire, keep_raw=True)
     rules = rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]
@@ -117,12 +120,19 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
     queries = [start_query(decoded, FanOutSink(outputs),
                            os.path.join(checkpoint_root, "dns_stateless"),
                            "append", "dns_stateless", trigger)]
-    for rule in rules:
-        if isinstance(rule, WindowRule):
-            queries.append(start_rule(decode_lookups(wire), rule,
-                                      ParquetBatchSink(alerts_path, rule.name,
-                                                       max_files=WINDOWED_ALERT_FILES),
-                                      os.path.join(checkpoint_root, rule.name), clock, trigger))
+    windowed = [r for r in rules if isinstance(r, WindowRule)]
+    if fuse_windowed and len(windowed) > 1:
+        frame = fused_window_alerts(decode_lookups(wire), windowed, clock)
+        queries.append(start_query(
+            frame, ParquetBatchSink(alerts_path, "dns_windowed", max_files=WINDOWED_ALERT_FILES),
+            os.path.join(checkpoint_root, "dns_windowed"), windowed[0].output_mode,
+            "dns_windowed", trigger))
+        return queries
+    for rule in windowed:
+        queries.append(start_rule(decode_lookups(wire), rule,
+                                  ParquetBatchSink(alerts_path, rule.name,
+                                                   max_files=WINDOWED_ALERT_FILES),
+                                  os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
 

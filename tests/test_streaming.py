@@ -291,3 +291,21 @@ def test_tunneling_through_the_fan_out_equals_batch(spark, workdir):
     expected = dns_tunneling_rule().apply(lookups, CLOCK)
     assert wall(streamed).count() == expected.count() > 0
     assert wall(streamed).exceptAll(expected).count() == 0
+
+
+def test_fused_windowed_stream_reaches_the_batch_result(spark, workdir):
+    from netwatch.operators import amplification_rule, current_alerts, dns_alerts
+    lookups = lookup_fixture(load_table(spark, SMALL, "events"))
+    wire_path = os.path.join(workdir, "wire")
+    lookup_wire(lookups).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    storm = nxdomain_storm_rule(threshold=3)
+    qs = start_lookup_monitor(wire_file_stream(spark, wire_path), tables,
+                              os.path.join(workdir, "ck"), CLOCK, ONCE,
+                              rules=[storm, amplification_rule()], fuse_windowed=True)
+    assert [q.name for q in qs] == ["dns_stateless", "dns_windowed"]
+    run_until_drained(qs)
+    got = wall(current_alerts(spark.read.parquet(os.path.join(tables, "dns_alerts")), DNS))
+    expected = dns_alerts(lookups, CLOCK, storm=storm).filter(F.col("alert_type") != "DNS_TUNNELING")
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).count() == 0
