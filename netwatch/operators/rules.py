@@ -75,6 +75,8 @@ class WindowRule:
     watermark: str = "30 seconds"
     output_mode: str = "append"
     time_column: str = "event_time"
+    # Record fields the predicate and keys read (None: unknown, decode all).
+    fields: tuple[str, ...] | None = None
 
     def counts(self, df: DataFrame) -> DataFrame:
         rows = df.filter(self.predicate())
@@ -91,7 +93,11 @@ class WindowRule:
                                 self.severity, detected_at)
 
     def with_params(self, **changes) -> "WindowRule":
+        """A copy with some parameters changed; a new predicate or new keys
+        forget the declared fields (everything is decoded again)."""
         values = {f: getattr(self, f) for f in self.__dataclass_fields__}
+        if ("predicate" in changes or "keys" in changes) and "fields" not in changes:
+            values["fields"] = None
         values.update(changes)
         return WindowRule(**values)
 
@@ -131,7 +137,7 @@ def route_flap_rule(threshold: int = 5, width: str = "60 seconds",
         name="route_flap", kind=BGP, alert_type="ROUTE_FLAP", severity="HIGH",
         predicate=lambda: F.col("event_type").isin("ANNOUNCE", "WITHDRAW"),
         keys=("prefix",), width=width, threshold=threshold, watermark=watermark,
-        output_mode="append")
+        output_mode="append", fields=("prefix", "event_type"))
 
 
 def as_hijack_rule(known_origins: Sequence[int] = KNOWN_ORIGIN_AS,
@@ -144,7 +150,7 @@ def as_hijack_rule(known_origins: Sequence[int] = KNOWN_ORIGIN_AS,
         name="as_hijack", kind=BGP, alert_type="BGP_HIJACK", severity="CRITICAL",
         predicate=lambda: (F.col("event_type") == "ANNOUNCE") & ~F.col("origin_as").isin(allowed),
         keys=("prefix", "origin_as"), width=width, threshold=None, watermark=watermark,
-        output_mode="append")
+        output_mode="append", fields=("prefix", "origin_as", "event_type"))
 
 
 def nxdomain_storm_rule(threshold: int = 100, width: str = "30 seconds",
@@ -155,7 +161,7 @@ def nxdomain_storm_rule(threshold: int = 100, width: str = "30 seconds",
         name="nxdomain_storm", kind=DNS, alert_type="NXDOMAIN_STORM", severity="HIGH",
         predicate=lambda: F.col("response_code") == "NXDOMAIN",
         keys=("source_ip",), width=width, slide=slide, threshold=threshold,
-        watermark=watermark, output_mode="update")
+        watermark=watermark, output_mode="update", fields=("source_ip", "response_code"))
 
 
 def amplification_rule(threshold: int = 50, width: str = "30 seconds",
@@ -166,7 +172,7 @@ def amplification_rule(threshold: int = 50, width: str = "30 seconds",
         name="amplification", kind=DNS, alert_type="AMPLIFICATION", severity="MEDIUM",
         predicate=lambda: F.col("query_type").isin("ANY", "TXT"),
         keys=("source_ip",), width=width, slide=slide, threshold=threshold,
-        watermark=watermark, output_mode="update")
+        watermark=watermark, output_mode="update", fields=("source_ip", "query_type"))
 
 
 def dns_tunneling_rule(max_length: int = 50, max_entropy: float = 3.5) -> EventRule:

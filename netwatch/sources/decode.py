@@ -8,8 +8,11 @@ rules drop them silently.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netwatch.functions.time import parse_event_time
 from netwatch.operators.enrich import enrich_lookups
@@ -30,14 +33,27 @@ def _parse_once(wire: DataFrame, schema, extra: dict) -> DataFrame:
     return wire.select(F.inline(F.array(record))).select("data.*", *extra.keys())
 
 
+def _narrow(schema: StructType, fields: Sequence[str] | None) -> StructType:
+    """Only ``fields`` of the record (all when None): the parser builds no
+    values for the others."""
+    if not fields:
+        return schema
+    wanted = set(fields)
+    return StructType([f for f in schema.fields if f.name in wanted])
+
+
 def decode_routing(wire: DataFrame, typed_lists: bool = False,
-                   event_time: str = "broker", keep_raw: bool = False) -> DataFrame:
+                   event_time: str = "broker", keep_raw: bool = False,
+                   fields: Sequence[str] | None = None) -> DataFrame:
     """Routing frames -> typed updates plus ``kafka_ts`` and ``event_time``.
 
     ``event_time`` is the broker timestamp by default (the payload time is
     decoded but not used), or ``"payload"`` for the record's own time.
+    ``fields`` limits the decoded record fields to those a consumer reads.
     """
-    schema = BGP_SCHEMA_TYPED if typed_lists else BGP_SCHEMA
+    if fields and event_time != "broker":
+        fields = [*fields, "timestamp"]
+    schema = _narrow(BGP_SCHEMA_TYPED if typed_lists else BGP_SCHEMA, fields)
     extra = {"kafka_ts": F.col("timestamp")}
     if keep_raw:
         extra["raw_value"] = F.col("value").cast("string")
@@ -46,16 +62,21 @@ def decode_routing(wire: DataFrame, typed_lists: bool = False,
     return out.withColumn("event_time", t)
 
 
-def decode_lookups(wire: DataFrame, enrich: bool = True, keep_raw: bool = False) -> DataFrame:
+def decode_lookups(wire: DataFrame, enrich: bool = True, keep_raw: bool = False,
+                   fields: Sequence[str] | None = None) -> DataFrame:
     """Lookup frames -> typed events; ``event_time`` is the payload time.
 
     With ``enrich`` the name length (never sent) and a missing entropy are
-    computed from the queried name.
+    computed from the queried name (when it is decoded). ``fields`` limits
+    the decoded record fields to those a consumer reads.
     """
+    schema = _narrow(DNS_SCHEMA, [*fields, "timestamp"] if fields else None)
     extra = {"raw_value": F.col("value").cast("string")} if keep_raw else {}
-    out = _parse_once(wire, DNS_SCHEMA, extra)
+    out = _parse_once(wire, schema, extra)
     out = out.withColumn("event_time", parse_event_time("timestamp"))
-    return enrich_lookups(out) if enrich else out
+    if enrich and "queried_domain" in out.columns:
+        out = enrich_lookups(out)
+    return out
 
 
 def split_rejects(decoded: DataFrame, required: tuple[str, ...] = ("event_time",)

@@ -85,7 +85,7 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     for rule in rules or [route_flap_rule(), as_hijack_rule()]:
         sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name,
                                 max_files=WINDOWED_ALERT_FILES)
-        queries.append(start_rule(decode_routing(wire), rule, sink,
+        queries.append(start_rule(decode_routing(wire, fields=rule.fields), rule, sink,
                                   os.path.join(checkpoint_root, rule.name), clock, trigger))
     return queries
 
@@ -122,14 +122,16 @@ def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                            "append", "dns_stateless", trigger)]
     windowed = [r for r in rules if isinstance(r, WindowRule)]
     if fuse_windowed and len(windowed) > 1:
-        frame = fused_window_alerts(decode_lookups(wire), windowed, clock)
+        fields = None if any(r.fields is None for r in windowed) else \
+            sorted({f for r in windowed for f in r.fields})
+        frame = fused_window_alerts(decode_lookups(wire, fields=fields), windowed, clock)
         queries.append(start_query(
             frame, ParquetBatchSink(alerts_path, "dns_windowed", max_files=WINDOWED_ALERT_FILES),
             os.path.join(checkpoint_root, "dns_windowed"), windowed[0].output_mode,
             "dns_windowed", trigger))
         return queries
     for rule in windowed:
-        queries.append(start_rule(decode_lookups(wire), rule,
+        queries.append(start_rule(decode_lookups(wire, fields=rule.fields), rule,
                                   ParquetBatchSink(alerts_path, rule.name,
                                                    max_files=WINDOWED_ALERT_FILES),
                                   os.path.join(checkpoint_root, rule.name), clock, trigger))

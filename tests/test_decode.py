@@ -64,3 +64,17 @@ def test_lookup_decode_enriches_and_rejects(spark):
     rej = rejected.collect()
     assert len(rej) == 2 and {r.reject_reason for r in rej} == {"missing event_time"}
     assert rej[-1].raw_value == "{"
+
+
+def test_decode_only_the_fields_a_rule_reads(spark):
+    from netwatch.operators import route_flap_rule
+    rule = route_flap_rule()
+    out = decode_routing(wire(spark, [json.dumps(GOOD_BGP)]), fields=rule.fields)
+    assert out.columns == ["prefix", "event_type", "kafka_ts", "event_time"]
+    assert rule.apply(out).columns[:3] == ["window_start", "window_end", "prefix"]
+    lookups = decode_lookups(wire(spark, ['{"timestamp":"2024-01-01T00:00:01+00:00",'
+                                          '"source_ip":"s","response_code":"NXDOMAIN"}']),
+                             fields=("source_ip", "response_code"))
+    assert set(lookups.columns) == {"timestamp", "source_ip", "response_code", "event_time"}
+    assert rule.with_params(predicate=lambda: F.lit(True)).fields is None
+    assert rule.with_params(threshold=1).fields == rule.fields
