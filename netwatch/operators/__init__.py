@@ -10,7 +10,7 @@ from netwatch.operators.alerts import (
 )
 from netwatch.operators.archive import dns_events, routing_events
 from netwatch.operators.enrich import enrich_lookups
-from netwatch.operators.reports import event_series, recent_alerts
+from netwatch.operators.reports import event_series, recent_alerts, register_tables
 from netwatch.operators.rules import (
     BGP,
     DNS,
@@ -29,6 +29,6 @@ __all__ = [
     "BGP", "DNS", "KNOWN_ORIGIN_AS", "EventRule", "WindowRule",
     "amplification_rule", "as_hijack_rule", "bgp_alerts", "current_alerts", "dns_alerts",
     "dns_events", "dns_tunneling_rule", "enrich_lookups", "event_series", "fused_window_alerts",
-    "latest_alerts", "nxdomain_storm_rule", "recent_alerts", "route_flap_rule",
+    "latest_alerts", "nxdomain_storm_rule", "recent_alerts", "register_tables", "route_flap_rule",
     "routing_events", "union_alerts", "windowed_counts",
 ]

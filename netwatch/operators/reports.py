@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netwatch.operators.rules import BGP
+from netwatch.operators.rules import BGP, DNS
+from netwatch.schemas import (
+    BGP_ALERT_COLUMNS,
+    DNS_ALERT_COLUMNS,
+    DNS_EVENTS_COLUMNS,
+    ROUTING_EVENTS_COLUMNS,
+)
+
+SINK_TABLES = {
+    "routing_events": ROUTING_EVENTS_COLUMNS,
+    "dns_events": DNS_EVENTS_COLUMNS,
+    "bgp_alerts": BGP_ALERT_COLUMNS,
+    "dns_alerts": DNS_ALERT_COLUMNS,
+}
 
 
 def event_series(events: DataFrame, time_column: str = "timestamp") -> DataFrame:
@@ -37,3 +53,31 @@ def recent_alerts(alerts: DataFrame, kind: str, n: int = 20) -> DataFrame:
                  F.asc_nulls_last("severity"), F.asc_nulls_last("source_ip"),
                  F.desc_nulls_first("event_count")]
     return alerts.orderBy(*order).limit(n).select(*shown)
+
+
+def register_tables(spark: SparkSession, table_root: str) -> list[str]:
+    """Temp views over the monitors' tables below ``table_root``.
+
+    ``routing_events``, ``dns_events``, ``bgp_alerts`` and ``dns_alerts``
+    hold every written row in the sink table's columns (an update-mode
+    rule's repeated emissions included, as in an append-only database
+    table); ``current_bgp_alerts`` and ``current_dns_alerts`` hold the
+    latest row per alert. Dashboard SQL can then run as it is through
+    ``spark.sql``. Returns the names registered (tables not written yet
+    are skipped).
+    """
+    from netwatch.operators.alerts import current_alerts
+
+    names = []
+    for name, columns in SINK_TABLES.items():
+        try:
+            table = spark.read.parquet(os.path.join(table_root, name))
+        except AnalysisException:
+            continue
+        table.select(*columns).createOrReplaceTempView(name)
+        names.append(name)
+        if name.endswith("_alerts"):
+            kind = BGP if name.startswith("bgp") else DNS
+            current_alerts(table, kind).createOrReplaceTempView(f"current_{name}")
+            names.append(f"current_{name}")
+    return names

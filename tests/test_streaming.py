@@ -309,3 +309,22 @@ def test_fused_windowed_stream_reaches_the_batch_result(spark, workdir):
     expected = dns_alerts(lookups, CLOCK, storm=storm).filter(F.col("alert_type") != "DNS_TUNNELING")
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected).count() == 0
+
+
+def test_sink_tables_answer_dashboard_sql(spark, workdir):
+    from netwatch.operators import event_series, register_tables, routing_events
+    events = load_table(spark, SMALL, "events")
+    wire_path = os.path.join(workdir, "wire")
+    routing_wire(routing_fixture(events)).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    run_until_drained(start_routing_monitor(wire_file_stream(spark, wire_path), tables,
+                                            os.path.join(workdir, "ck"), CLOCK, ONCE))
+    assert register_tables(spark, tables) == ["routing_events", "bgp_alerts", "current_bgp_alerts"]
+    series = spark.sql("SELECT timestamp AS time, COUNT(*) AS event_count FROM routing_events "
+                       "GROUP BY timestamp ORDER BY timestamp")
+    expected = event_series(routing_events(decode_routing(spark.read.parquet(wire_path))))
+    assert series.count() == events.count()
+    assert series.exceptAll(expected).count() == 0
+    top = spark.sql("SELECT detected_at, alert_type, severity, prefix, origin_as, event_count "
+                    "FROM bgp_alerts ORDER BY detected_at DESC LIMIT 20")
+    assert top.count() == 20
