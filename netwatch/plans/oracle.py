@@ -60,7 +60,7 @@ _DNS_BASE = f"""SELECT event_id,
 
 def _entropy(col: str) -> str:
     return (f"CASE WHEN {col} IS NULL OR length({col}) = 0 THEN 0.0 "
-            f"ELSE round(list_entropy(string_split({col}, '')), 3) END")
+            f"ELSE round_even(list_entropy(string_split({col}, '')), 3) END")
 
 
 DNS_FX = f"""dns_fx AS (

@@ -29,6 +29,12 @@ def test_entropy_known_values(spark):
     assert got == [2.646, 3.69, 0.0, 0.0, 0.0, 1.0]
 
 
+def test_entropy_rounds_exact_ties_half_even(spark):
+    name = "aabbcc" + "defghijklmnopqrstuvwxyz012"          # 32 chars, H = 4.8125
+    df = spark.createDataFrame([(name,)], "s string")
+    assert df.select(shannon_entropy("s").alias("e")).first().e == entropy_by_hand(name) == 4.812
+
+
 def test_entropy_counts_code_points(spark):
     df = spark.createDataFrame([("a\U0001F600b\U0001F600",)], "s string")
     row = df.select(shannon_entropy("s").alias("e"), name_length("s").alias("n")).first()
