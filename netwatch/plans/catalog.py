@@ -245,7 +245,7 @@ def q_stream_dns_archive(spark, root):
     return _wall_clock(table.drop("writer", "batch_id"))
 
 
-def _monitor_alerts(kind):
+def _monitor_alerts(kind, fuse_windowed=False):
     """Run the whole monitor of one source (all of its streaming queries in
     one session) and read its alert table back as current alerts."""
     def query(spark, root):
@@ -260,7 +260,7 @@ def _monitor_alerts(kind):
         else:
             wire = _stage_wire(lookup_wire(_lookups(spark, root)), run)
             queries = start_lookup_monitor(wire_file_stream(spark, wire), tables, checkpoints,
-                                           CLOCK, once)
+                                           CLOCK, once, fuse_windowed=fuse_windowed)
             table = os.path.join(tables, "dns_alerts")
         run_until_drained(queries)
         return _wall_clock(current_alerts(spark.read.parquet(table), kind))
@@ -296,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "stream_dns_tunneling": _rule_stream(dns_tunneling_rule(), DNS),
     "stream_bgp_alerts": _monitor_alerts(BGP),
     "stream_dns_alerts": _monitor_alerts(DNS),
+    "stream_dns_alerts_fused": _monitor_alerts(DNS, fuse_windowed=True),
     "stream_archive": q_stream_archive,
     "stream_dns_archive": q_stream_dns_archive,
 }

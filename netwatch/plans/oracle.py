@@ -197,6 +197,8 @@ SQL: dict[str, str] = {
     "stream_bgp_alerts": _with(BGP_FX, FLAP, HIJACK)
     + _watermarked("flap", FLAP_WHERE, 30) + " UNION ALL " + _watermarked("hijack", HIJACK_WHERE, 30),
     "stream_dns_alerts": _with(DNS_FX, STORM, AMP, TUNNEL, DNS_ALERTS) + "SELECT * FROM dns_alerts",
+    "stream_dns_alerts_fused": _with(DNS_FX, STORM, AMP, TUNNEL, DNS_ALERTS)
+    + "SELECT * FROM dns_alerts",
     "stream_archive": _with(BGP_FX, ROUTING_EVENTS) + "SELECT * FROM routing_events",
     "stream_dns_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
 }
