@@ -177,3 +177,10 @@ def test_sliding_counts_match_brute_force(spark):
             got[(round(start * 1_000_000) - t0_us, r.source_ip)] = r.event_count
             assert (r.window_end - r.window_start).total_seconds() == 30
         assert got == dict(expected)
+
+
+def test_storm_threshold_is_strict(spark):
+    rows = [(5, "at", "NXDOMAIN", "A", 1, 1.0)] * 100 + [(5, "over", "NXDOMAIN", "A", 1, 1.0)] * 101
+    out = nxdomain_storm_rule().apply(lookups(spark, rows), CLOCK).collect()
+    assert {r.source_ip for r in out} == {"over"}
+    assert {r.event_count for r in out} == {101} and {r.severity for r in out} == {"HIGH"}
