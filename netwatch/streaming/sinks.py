@@ -95,11 +95,13 @@ class JdbcBatchSink:
     appends: a replay does not duplicate rows. Without it (the original
     tables have no such column) the sink is at-least-once. Empty batches
     cause no round trip. ``num_partitions`` bounds concurrent connections.
+    ``cache=False`` inside a ``FanOutSink`` (the batch is cached there).
     """
 
     def __init__(self, url: str, table: str, properties: Mapping[str, str],
                  batch_column: str | None = None, writer: str | None = None,
-                 num_partitions: int | None = None):
+                 num_partitions: int | None = None, cache: bool = True):
+        self.cache = cache
         self.url = url
         self.table = table
         self.properties = dict(properties)
@@ -146,7 +148,7 @@ class JdbcBatchSink:
                 options["numPartitions"] = str(self.num_partitions)
             frame.write.jdbc(url=self.url, table=self.table, mode="append", properties=options)
 
-        _each_nonempty(df, write)
+        _each_nonempty(df, write, self.cache)
 
 
 class FanOutSink:
