@@ -42,7 +42,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--max-offsets-per-trigger", type=int,
                    help="bound one micro-batch (catch-up after downtime)")
     p.add_argument("--fuse-windowed", action="store_true",
-                   help="lookups: count both windowed rules in one stateful query")
+                   help="count the windowed rules of the monitor in one stateful query")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
     return p.parse_args(argv)
@@ -66,7 +66,8 @@ def main(argv=None) -> None:
                                                    args.monitor)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     if args.monitor == "routing":
-        queries = start_routing_monitor(wire, args.tables, checkpoints, None, trigger)
+        queries = start_routing_monitor(wire, args.tables, checkpoints, None, trigger,
+                                        fuse_windowed=args.fuse_windowed)
     else:
         queries = start_lookup_monitor(wire, args.tables, checkpoints, None, trigger,
                                        fuse_windowed=args.fuse_windowed)

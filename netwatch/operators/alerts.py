@@ -50,27 +50,47 @@ def bgp_alerts(
     """Route flaps and origin hijacks in one table."""
     flap = flap or route_flap_rule()
     hijack = hijack or as_hijack_rule()
-    fusable = (not routing.isStreaming and flap.slide is None and hijack.slide is None
-               and flap.width == hijack.width and flap.time_column == hijack.time_column
-               and tuple(flap.keys) == ("prefix",)
-               and tuple(hijack.keys) == ("prefix", "origin_as"))
-    if not fusable:
+    if routing.isStreaming or not _routing_fusable(flap, hijack):
         return union_alerts([flap.apply(routing, clock), hijack.apply(routing, clock)])
+    return fused_routing_alerts(routing, flap, hijack, clock)
+
+
+def _routing_fusable(flap: WindowRule, hijack: WindowRule) -> bool:
+    return (flap.slide is None and hijack.slide is None and flap.width == hijack.width
+            and flap.time_column == hijack.time_column and flap.watermark == hijack.watermark
+            and flap.output_mode == hijack.output_mode
+            and tuple(flap.keys) == ("prefix",)
+            and tuple(hijack.keys) == ("prefix", "origin_as"))
+
 
+def fused_routing_alerts(
+    routing: DataFrame,
+    flap: WindowRule,
+    hijack: WindowRule,
+    clock: str | Column | None = None,
+) -> DataFrame:
+    """Flap and hijack alerts from one aggregation over two grouping sets,
+    (window, prefix) and (window, prefix, origin).
+
+    Each row is counted in both sets before the partial aggregation, and a
+    single exchange carries both results. On a stream it is one stateful
+    query instead of two; its watermark follows the rows of either rule
+    (for the default rules, the flap rule's rows), so hijack windows close
+    with the flap rule's event time.
+    """
+    if not _routing_fusable(flap, hijack):
+        raise ValueError("fused routing rules need the default keys and one tumbling window")
     detected_at = clock_as(clock, routing, flap.time_column)
     flap_pred, hijack_pred = flap.predicate(), hijack.predicate()
-    win = window_column(flap.time_column, flap.width, None)
-    rows = routing.filter(flap_pred | hijack_pred).select(
-        win.start.alias("window_start"), win.end.alias("window_end"),
+    rows = routing.filter(flap_pred | hijack_pred)
+    if routing.isStreaming:
+        rows = rows.withWatermark(flap.time_column, flap.watermark)
+    rows = rows.select(
+        window_column(flap.time_column, flap.width, None).alias("window"),
         "prefix", "origin_as",
         flap_pred.alias("is_flap"), hijack_pred.alias("is_hijack"))
-    # One aggregation, two grouping sets: per (window, prefix) for flaps and
-    # per (window, prefix, origin) for hijacks. Each row is counted in both
-    # sets before the partial aggregation, and a single exchange carries
-    # both results.
-    per_window = ["window_start", "window_end", "prefix"]
     counted = rows.groupingSets(
-        [per_window, per_window + ["origin_as"]], *per_window, "origin_as",
+        [["window", "prefix"], ["window", "prefix", "origin_as"]], "window", "prefix", "origin_as",
     ).agg(F.count_if("is_flap").alias("flap_count"),
           F.count_if("is_hijack").alias("hijack_count"),
           F.grouping("origin_as").alias("per_prefix"))
@@ -79,7 +99,8 @@ def bgp_alerts(
         (is_flap_row & (F.col("flap_count") > (flap.threshold or 0)))
         | (~is_flap_row & (F.col("hijack_count") > (hijack.threshold or 0))))
     return alerts.select(
-        "window_start", "window_end", "prefix",
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "prefix",
         F.when(is_flap_row, F.lit(None).cast("int")).otherwise(F.col("origin_as")).alias("origin_as"),
         F.when(is_flap_row, F.col("flap_count")).otherwise(F.col("hijack_count"))
         .cast("long").alias("event_count"),
@@ -193,5 +214,6 @@ def current_alerts(table: DataFrame, kind: str,
     ])
 
 
-__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "fused_window_alerts", "latest_alerts",
+__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "fused_routing_alerts",
+           "fused_window_alerts", "latest_alerts",
            "union_alerts", "DNS"]

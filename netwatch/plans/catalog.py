@@ -255,7 +255,7 @@ def _monitor_alerts(kind, fuse_windowed=False):
         if kind == BGP:
             wire = _stage_wire(routing_wire(_routing(spark, root, spread=True)), run)
             queries = start_routing_monitor(wire_file_stream(spark, wire), tables, checkpoints,
-                                            CLOCK, once)
+                                            CLOCK, once, fuse_windowed=fuse_windowed)
             table = os.path.join(tables, "bgp_alerts")
         else:
             wire = _stage_wire(lookup_wire(_lookups(spark, root)), run)
@@ -295,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "stream_amplification": _rule_stream(amplification_rule(), DNS, latest=True),
     "stream_dns_tunneling": _rule_stream(dns_tunneling_rule(), DNS),
     "stream_bgp_alerts": _monitor_alerts(BGP),
+    "stream_bgp_alerts_fused": _monitor_alerts(BGP, fuse_windowed=True),
     "stream_dns_alerts": _monitor_alerts(DNS),
     "stream_dns_alerts_fused": _monitor_alerts(DNS, fuse_windowed=True),
     "stream_archive": q_stream_archive,

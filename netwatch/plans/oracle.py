@@ -196,6 +196,10 @@ SQL: dict[str, str] = {
     "stream_dns_tunneling": _with(DNS_FX, TUNNEL) + "SELECT * FROM tunnel",
     "stream_bgp_alerts": _with(BGP_FX, FLAP, HIJACK)
     + _watermarked("flap", FLAP_WHERE, 30) + " UNION ALL " + _watermarked("hijack", HIJACK_WHERE, 30),
+    # One fused query: both rules close windows on the watermark of their
+    # combined rows, which for these rules are the flap rule's rows.
+    "stream_bgp_alerts_fused": _with(BGP_FX, FLAP, HIJACK)
+    + _watermarked("flap", FLAP_WHERE, 30) + " UNION ALL " + _watermarked("hijack", FLAP_WHERE, 30),
     "stream_dns_alerts": _with(DNS_FX, STORM, AMP, TUNNEL, DNS_ALERTS) + "SELECT * FROM dns_alerts",
     "stream_dns_alerts_fused": _with(DNS_FX, STORM, AMP, TUNNEL, DNS_ALERTS)
     + "SELECT * FROM dns_alerts",

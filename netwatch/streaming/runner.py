@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from netwatch.operators.alerts import fused_window_alerts
+from netwatch.operators.alerts import fused_routing_alerts, fused_window_alerts
 from netwatch.operators.archive import dns_events, routing_events
 from netwatch.operators.rules import (
     EventRule,
@@ -64,14 +64,17 @@ def _rejects(decoded: DataFrame) -> DataFrame:
 def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
                           clock: str | Column | None = None,
                           trigger: Mapping[str, object] | None = None,
-                          rules: list[WindowRule] | None = None) -> list[StreamingQuery]:
+                          rules: list[WindowRule] | None = None,
+                          fuse_windowed: bool = False) -> list[StreamingQuery]:
     """Archive (+ dead letters) and the windowed routing rules.
 
     Tables below ``table_root``: ``routing_events``, ``routing_rejects``
     (frames without a usable event time, with the raw text) and
     ``bgp_alerts``. One stateless query writes the archive and the rejects
     from the same micro-batch; each windowed rule is its own query and
-    decodes without carrying the raw text.
+    decodes without carrying the raw text. With ``fuse_windowed`` the flap
+    and hijack rules are one query (writer ``bgp_windowed``; see
+    ``fused_routing_alerts`` for what changes at the edges).
     """
     decoded = decode_routing(wire, keep_raw=True)
     fan_out = FanOutSink({
@@ -82,7 +85,19 @@ def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str
     })
     queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
-    for rule in rules or [route_flap_rule(), as_hijack_rule()]:
+    rules = rules or [route_flap_rule(), as_hijack_rule()]
+    if fuse_windowed and len(rules) == 2:
+        flap, hijack = rules
+        fields = None if flap.fields is None or hijack.fields is None else \
+            sorted(set(flap.fields) | set(hijack.fields))
+        frame = fused_routing_alerts(decode_routing(wire, fields=fields), flap, hijack, clock)
+        queries.append(start_query(
+            frame, ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), "bgp_windowed",
+                                    max_files=WINDOWED_ALERT_FILES),
+            os.path.join(checkpoint_root, "bgp_windowed"), flap.output_mode, "bgp_windowed",
+            trigger))
+        return queries
+    for rule in rules:
         sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name,
                                 max_files=WINDOWED_ALERT_FILES)
         queries.append(start_rule(decode_routing(wire, fields=rule.fields), rule, sink,

@@ -328,3 +328,21 @@ def test_sink_tables_answer_dashboard_sql(spark, workdir):
     top = spark.sql("SELECT detected_at, alert_type, severity, prefix, origin_as, event_count "
                     "FROM bgp_alerts ORDER BY detected_at DESC LIMIT 20")
     assert top.count() == 20
+
+
+def test_fused_routing_stream_is_one_stateful_query(spark, workdir):
+    from netwatch.operators import bgp_alerts, current_alerts, BGP
+    routing = routing_fixture(load_table(spark, SMALL, "events"))
+    wire_path = os.path.join(workdir, "wire")
+    routing_wire(routing).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    qs = start_routing_monitor(wire_file_stream(spark, wire_path), tables,
+                               os.path.join(workdir, "ck"), CLOCK, ONCE, fuse_windowed=True)
+    assert [q.name for q in qs] == ["routing_stateless", "bgp_windowed"]
+    run_until_drained(qs)
+    got = wall(current_alerts(spark.read.parquet(os.path.join(tables, "bgp_alerts")), BGP))
+    horizon = (routing.filter(F.col("event_type").isin("ANNOUNCE", "WITHDRAW"))
+               .agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=30))
+    expected = bgp_alerts(routing, CLOCK).filter(F.col("window_end") <= F.lit(horizon))
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).count() == 0
