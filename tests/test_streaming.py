@@ -346,3 +346,43 @@ def test_fused_routing_stream_is_one_stateful_query(spark, workdir):
     expected = bgp_alerts(routing, CLOCK).filter(F.col("window_end") <= F.lit(horizon))
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected).count() == 0
+
+
+def test_current_dns_alerts_view_collapses_update_emissions(spark, workdir):
+    from netwatch.operators import register_tables
+    lookups = lookup_fixture(load_table(spark, SMALL, "events"))
+    wire_path = os.path.join(workdir, "wire")
+    write_in_slices(lookup_wire(lookups), wire_path, 5)
+    tables = os.path.join(workdir, "tables")
+    rules = [nxdomain_storm_rule(threshold=3)]
+    run_until_drained(start_lookup_monitor(
+        wire_file_stream(spark, wire_path, max_files_per_trigger=1), tables,
+        os.path.join(workdir, "ck"), CLOCK, ONCE, rules=rules))
+    assert "current_dns_alerts" in register_tables(spark, tables)
+    history = spark.sql("SELECT * FROM dns_alerts").count()
+    current = spark.sql("SELECT * FROM current_dns_alerts")
+    assert history > current.count() > 0
+    keys = current.groupBy("window_start", "source_ip").count()
+    assert keys.filter(F.col("count") > 1).count() == 0
+
+
+def test_cli_fused_routing_monitor(spark, workdir):
+    from netwatch.cli import main
+    events = load_table(spark, SMALL, "events")
+    wire_path = os.path.join(workdir, "wire")
+    routing_wire(routing_fixture(events)).write.parquet(wire_path)
+    tables = os.path.join(workdir, "tables")
+    saved = {k: spark.conf.get(k, None) for k in
+             ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    try:
+        main(["routing", "--wire-path", wire_path, "--tables", tables, "--once", "--fuse-windowed",
+              "--checkpoints", os.path.join(workdir, "ck"), "--state-partitions", "4"])
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    alerts = spark.read.parquet(os.path.join(tables, "bgp_alerts"))
+    assert {r.writer for r in alerts.select("writer").distinct().collect()} == {"bgp_windowed"}
+    assert alerts.filter(F.col("alert_type") == "ROUTE_FLAP").count() == 27
