@@ -28,6 +28,7 @@ from netwatch.operators.rules import (
     dns_tunneling_rule,
     nxdomain_storm_rule,
     route_flap_rule,
+    stream_time_ready,
 )
 from netwatch.operators.windows import window_column, windowed_counts
 from netwatch.schemas import BGP_ALERT_COLUMNS, DNS_ALERT_COLUMNS
@@ -80,6 +81,7 @@ def fused_routing_alerts(
     """
     if not _routing_fusable(flap, hijack):
         raise ValueError("fused routing rules need the default keys and one tumbling window")
+    routing = stream_time_ready(routing, flap.time_column)
     detected_at = clock_as(clock, routing, flap.time_column)
     flap_pred, hijack_pred = flap.predicate(), hijack.predicate()
     rows = routing.filter(flap_pred | hijack_pred)
@@ -133,6 +135,7 @@ def fused_window_alerts(
     if len({(r.width, r.slide, r.time_column, tuple(r.keys), r.watermark, r.output_mode)
             for r in rules}) != 1:
         raise ValueError("fused rules need the same keys, window, watermark and mode")
+    lookups = stream_time_ready(lookups, first.time_column)
     detected_at = clock_as(clock, lookups, first.time_column)
     preds = [r.predicate() for r in rules]
     any_match = preds[0]

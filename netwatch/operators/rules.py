@@ -15,7 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netwatch.functions.time import clock_as
+from pyspark.sql.types import TimestampNTZType
+
+from netwatch.functions.time import clock_as, utc_instant
 from netwatch.operators.windows import windowed_counts
 
 # The origin allow-list of the routing rules, in the order the
@@ -59,6 +61,14 @@ def alert_projection(
     )
 
 
+def stream_time_ready(df: DataFrame, time_column: str) -> DataFrame:
+    """A watermark needs an instant: on a stream, a UTC wall-clock time
+    column (timestamp_ntz) is converted to a timestamp first."""
+    if df.isStreaming and isinstance(df.schema[time_column].dataType, TimestampNTZType):
+        return df.withColumn(time_column, utc_instant(time_column))
+    return df
+
+
 @dataclass(frozen=True)
 class WindowRule:
     """filter -> [watermark] -> count per (window, keys) -> count > threshold."""
@@ -78,7 +88,11 @@ class WindowRule:
     # Record fields the predicate and keys read (None: unknown, decode all).
     fields: tuple[str, ...] | None = None
 
+    def _stream_ready(self, df: DataFrame) -> DataFrame:
+        return stream_time_ready(df, self.time_column)
+
     def counts(self, df: DataFrame) -> DataFrame:
+        df = self._stream_ready(df)
         rows = df.filter(self.predicate())
         if df.isStreaming:
             rows = rows.withWatermark(self.time_column, self.watermark)
@@ -88,6 +102,7 @@ class WindowRule:
         return counted
 
     def apply(self, df: DataFrame, clock: str | Column | None = None) -> DataFrame:
+        df = self._stream_ready(df)
         detected_at = clock_as(clock, df, self.time_column)
         return alert_projection(self.counts(df), self.kind, self.alert_type,
                                 self.severity, detected_at)

@@ -386,3 +386,20 @@ def test_cli_fused_routing_monitor(spark, workdir):
     alerts = spark.read.parquet(os.path.join(tables, "bgp_alerts"))
     assert {r.writer for r in alerts.select("writer").distinct().collect()} == {"bgp_windowed"}
     assert alerts.filter(F.col("alert_type") == "ROUTE_FLAP").count() == 27
+
+
+def test_rule_on_a_stream_of_typed_events_with_wall_clock_time(spark, workdir):
+    routing = routing_fixture(load_table(spark, SMALL, "events"))
+    path = os.path.join(workdir, "typed")
+    routing.write.parquet(path)                      # event_time is timestamp_ntz
+    stream = spark.readStream.schema(routing.schema).parquet(path)
+    rule = route_flap_rule()
+    table = os.path.join(workdir, "alerts")
+    run_until_drained([start_rule(stream, rule, ParquetBatchSink(table, rule.name),
+                                  os.path.join(workdir, "ck"), CLOCK, ONCE)])
+    got = wall(spark.read.parquet(table).drop("writer", "batch_id"))
+    horizon = (routing.filter(F.col("event_type").isin("ANNOUNCE", "WITHDRAW"))
+               .agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=30))
+    expected = rule.apply(routing, CLOCK).filter(F.col("window_end") <= F.lit(horizon))
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).count() == 0
