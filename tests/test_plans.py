@@ -59,3 +59,16 @@ def test_decoded_frames_are_parsed_once(spark, capsys, workdir):
     physical = text.split("\n\n")[0]
     assert "Generate" in physical
     assert len(re.findall(r"from_json\(", text)) == 1
+
+
+def test_spread_only_touches_tables_with_too_few_splits(spark, capsys, workdir):
+    many = os.path.join(workdir, "many")
+    spark.range(1000).repartition(8).write.parquet(many)
+    one = os.path.join(workdir, "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    from netwatch.sources import spread
+    wide = spark.read.parquet(many)
+    assert wide.rdd.getNumPartitions() >= 4
+    assert "RoundRobinPartitioning" not in plan(spread(wide, 4), capsys)
+    narrow = spark.read.parquet(one)
+    assert "RoundRobinPartitioning(4)" in plan(spread(narrow, 4), capsys)
