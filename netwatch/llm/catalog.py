@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .simhash import op4_simhash
+from .substring_dedup import op1_substring_dedup
 from .token_counts import op10_token_counts
 from .token_output import op9_token_output
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op4_simhash": op4_simhash,
     "op9_token_output": op9_token_output,
     "op10_token_counts": op10_token_counts,
 }

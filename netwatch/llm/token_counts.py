@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common
+from .common import batch, process_cache, table
 from .token_output import tokenizer_file
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -100,11 +100,11 @@ def token_counts(docs: DataFrame, vocabulary: str | Sequence[tuple[str, float]]
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
         if isinstance(vocabulary, str):
-            counter = common.process_cache(("pieces", vocabulary), lambda: PieceCounter(load_vocabulary(vocabulary)))
+            counter = process_cache(("pieces", vocabulary), lambda: PieceCounter(load_vocabulary(vocabulary)))
         else:
             counter = PieceCounter(vocabulary)
         for rows in batches:
-            yield common.batch(kind, rows.column(0), [
+            yield batch(kind, rows.column(0), [
                 sum(map(counter.__getitem__, _WORD.findall(t))) if t else 0 for t in rows.column(1).to_pylist()])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -112,4 +112,4 @@ def token_counts(docs: DataFrame, vocabulary: str | Sequence[tuple[str, float]]
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(common.table(spark, sf_dir, "documents"))
+    return token_counts(table(spark, sf_dir, "documents"))

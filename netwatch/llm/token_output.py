@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from netwatch.session import fresh_dir
 
-from . import common
+from .common import batch, process_cache, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -137,7 +137,7 @@ def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = common.process_cache(("encoder", tokenizer), lambda: ChunkEncoder(tokenizer))
+        encoder = process_cache(("encoder", tokenizer), lambda: ChunkEncoder(tokenizer))
         part, before = TaskContext.get().partitionId(), 0
         kind = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local_start", pa.int64()),
                           ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -147,7 +147,7 @@ def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
             ends = np.cumsum(sizes)
             flat = np.frombuffer(b"".join(ids), "<i4")
             offsets = np.concatenate([[0], ends]).astype(np.int32)
-            yield common.batch(
+            yield batch(
                 kind, rows.column(0), np.full(len(ids), part, np.int32), before + ends - sizes,
                 sizes.astype(np.int32), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
             before += int(ends[-1]) if len(ends) else 0
@@ -179,7 +179,7 @@ def token_index(stored: DataFrame) -> DataFrame:
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes)
             crc = [zlib.crc32(flat[e - n:e].tobytes()) for e, n in zip(ends, sizes)]
-            yield common.batch(kind, *(rows.column(i) for i in range(3)), sizes, crc)
+            yield batch(kind, *(rows.column(i) for i in range(3)), sizes, crc)
 
     rows = stored.select("doc_id", "part", "local_start", "ids").mapInArrow(
         digest, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long")
@@ -200,4 +200,4 @@ def write_and_index(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = E
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_and_index(common.table(spark, sf_dir, "documents"))
+    return write_and_index(table(spark, sf_dir, "documents"))
