@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .decontamination import op7_decontamination
+from .mixing import op3_mixing
+from .quality_rules import op6_quality_rules
 from .simhash import op4_simhash
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op10_token_counts
@@ -9,7 +12,10 @@ from .token_output import op9_token_output
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_decontamination": op7_decontamination,
     "op9_token_output": op9_token_output,
     "op10_token_counts": op10_token_counts,
 }
