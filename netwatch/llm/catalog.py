@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from .decontamination import op7_decontamination
+from .language_id import op2_language_id
 from .mixing import op3_mixing
+from .quality_classifier import op5_quality_classifier
 from .quality_rules import op6_quality_rules
 from .simhash import op4_simhash
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op10_token_counts
 from .token_output import op9_token_output
+from .toxicity import op8_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_simhash": op4_simhash,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op9_token_output": op9_token_output,
     "op10_token_counts": op10_token_counts,
 }

@@ -203,7 +203,7 @@ def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVE
     total = math.inf
     for _ in range(steps):
         measured = levels.join(estimate, "site").withColumn("d2", _distance())
-        edge = measured.groupBy("site").agg(F.percentile_approx("d2", coverage).alias("edge"))
+        edge = materialise(measured.groupBy("site").agg(F.percentile_approx("d2", coverage).alias("edge")), "mcd_edge")
         centred = measured.join(edge, "site").filter("d2 <= edge").select(
             "site", *(f"c{i}" for i in range(DIMENSIONS)),
             *((F.col(f"x{i}") - F.col(f"c{i}")).alias(f"y{i}") for i in range(DIMENSIONS)))
