@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import op7_decontamination
 from .language_id import op2_language_id
 from .mixing import op3_mixing
+from .oracle import SQL
 from .quality_classifier import op5_quality_classifier
 from .quality_rules import op6_quality_rules
 from .simhash import op4_simhash
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
