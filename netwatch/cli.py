@@ -16,10 +16,21 @@ from __future__ import annotations
 import argparse
 import os
 
-from netwatch.session import ROCKSDB_PROVIDER, build_session, shared_root
+from netwatch.operators.rules import (
+    KNOWN_ORIGIN_AS,
+    EventRule,
+    WindowRule,
+    amplification_rule,
+    as_hijack_rule,
+    dns_tunneling_rule,
+    nxdomain_storm_rule,
+    route_flap_rule,
+)
+from netwatch.session import build_session, shared_root
 from netwatch.sources.wire import BGP_TOPIC, DNS_TOPIC, kafka_stream, wire_file_stream
 from netwatch.streaming.runner import (
     await_any,
+    jdbc_sinks,
     run_until_drained,
     start_lookup_monitor,
     start_routing_monitor,
@@ -33,44 +44,85 @@ def parse_args(argv=None) -> argparse.Namespace:
     source.add_argument("--bootstrap", help="Kafka bootstrap servers")
     source.add_argument("--wire-path", help="folder of stored wire frames (parquet)")
     p.add_argument("--topic", help="topic (default: the monitor's raw topic)")
-    p.add_argument("--tables", required=True, help="shared folder for the output tables")
+    p.add_argument("--tables", help="shared folder for the output tables (parquet)")
+    p.add_argument("--jdbc-url", help="write to database tables instead of --tables")
+    p.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE",
+                   help="connection property (user, password, driver, ...); repeatable")
+    p.add_argument("--jdbc-batch-column", help="batch-id column of the tables: replays are then idempotent")
     p.add_argument("--checkpoints", help="checkpoint folder (default: below spark.checkpoint.dir)")
     p.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
     p.add_argument("--once", action="store_true", help="process what is available, then exit")
-    p.add_argument("--max-files-per-trigger", type=int, help="file source: files per batch")
+    p.add_argument("--max-files-per-trigger", type=int, default=256,
+                   help="file source: files per batch (bounds what one batch caches)")
     p.add_argument("--starting-offsets", default="latest")
-    p.add_argument("--max-offsets-per-trigger", type=int,
-                   help="bound one micro-batch (catch-up after downtime)")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=10_000_000,
+                   help="Kafka: records per batch (bounds a catch-up after downtime)")
     p.add_argument("--fuse-windowed", action="store_true",
                    help="count the windowed rules of the monitor in one stateful query")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
-    return p.parse_args(argv)
+    rules = p.add_argument_group("rule parameters (defaults: each rule's own)")
+    rules.add_argument("--threshold", action="append", default=[], metavar="RULE=N")
+    rules.add_argument("--width", action="append", default=[], metavar="RULE=DURATION")
+    rules.add_argument("--slide", action="append", default=[], metavar="RULE=DURATION")
+    rules.add_argument("--watermark", action="append", default=[], metavar="RULE=DURATION")
+    rules.add_argument("--known-origins", help="comma-separated AS numbers that may originate any prefix")
+    rules.add_argument("--max-name-length", type=int, default=50)
+    rules.add_argument("--max-entropy", type=float, default=3.5)
+    args = p.parse_args(argv)
+    if bool(args.tables) == bool(args.jdbc_url):
+        p.error("name either --tables or --jdbc-url")
+    try:
+        args.rules = build_rules(args)
+    except (KeyError, ValueError) as error:
+        p.error(f"rule parameters: {error}")
+    return args
+
+
+def _pairs(items: list[str]) -> dict[str, str]:
+    return dict(item.split("=", 1) for item in items)
+
+
+def build_rules(args: argparse.Namespace) -> list[WindowRule | EventRule]:
+    """The monitor's rules with the parameters of the command line."""
+    if args.monitor == "routing":
+        origins = [int(x) for x in args.known_origins.split(",")] if args.known_origins else KNOWN_ORIGIN_AS
+        rules = [route_flap_rule(), as_hijack_rule(origins)]
+    else:
+        rules = [nxdomain_storm_rule(), dns_tunneling_rule(args.max_name_length, args.max_entropy),
+                 amplification_rule()]
+    by_name = {r.name: i for i, r in enumerate(rules)}
+    for field in ("threshold", "width", "slide", "watermark"):
+        for name, value in _pairs(getattr(args, field)).items():
+            rule = rules[by_name[name]]
+            if not isinstance(rule, WindowRule):
+                raise ValueError(f"{name} has no {field}")
+            rules[by_name[name]] = rule.with_params(**{field: int(value) if field == "threshold" else value})
+    return rules
 
 
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = build_session(app_name=f"netwatch-{args.monitor}", conf={
         "spark.sql.shuffle.partitions": str(args.state_partitions),
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     })
     if args.bootstrap:
         topic = args.topic or (BGP_TOPIC if args.monitor == "routing" else DNS_TOPIC)
-        options = {}
-        if args.max_offsets_per_trigger:
-            options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
-        wire = kafka_stream(spark, args.bootstrap, topic, args.starting_offsets, False, options)
+        wire = kafka_stream(spark, args.bootstrap, topic, args.starting_offsets, False,
+                            {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)})
     else:
         wire = wire_file_stream(spark, args.wire_path, args.max_files_per_trigger)
     checkpoints = args.checkpoints or os.path.join(shared_root(spark), "netwatch", "checkpoints",
                                                    args.monitor)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-    if args.monitor == "routing":
-        queries = start_routing_monitor(wire, args.tables, checkpoints, None, trigger,
-                                        fuse_windowed=args.fuse_windowed)
-    else:
-        queries = start_lookup_monitor(wire, args.tables, checkpoints, None, trigger,
-                                       fuse_windowed=args.fuse_windowed)
+    sinks = None
+    if args.jdbc_url:
+        # Batch ids start again with a new checkpoint; its folder names the run.
+        sinks = jdbc_sinks(args.jdbc_url, _pairs(args.jdbc_property), args.jdbc_batch_column,
+                           run=f"@{checkpoints}")
+    start = start_routing_monitor if args.monitor == "routing" else start_lookup_monitor
+    queries = start(wire, args.tables, checkpoints, None, trigger, rules=args.rules,
+                    fuse_windowed=args.fuse_windowed, sinks=sinks)
     if args.once:
         run_until_drained(queries)
     else:

@@ -1,4 +1,4 @@
-"""DataFrame operators: rules, alert tables, archives, reports, metrics."""
+"""DataFrame operators: rules, alert tables, archives, reports."""
 
 from netwatch.operators.alerts import (
     bgp_alerts,
@@ -7,10 +7,11 @@ from netwatch.operators.alerts import (
     fused_window_alerts,
     latest_alerts,
     union_alerts,
+    window_groups,
 )
 from netwatch.operators.archive import dns_events, routing_events
 from netwatch.operators.enrich import enrich_lookups
-from netwatch.operators.reports import event_series, recent_alerts, register_tables
+from netwatch.operators.reports import event_series, read_table, recent_alerts, register_tables
 from netwatch.operators.rules import (
     BGP,
     DNS,
@@ -29,6 +30,6 @@ __all__ = [
     "BGP", "DNS", "KNOWN_ORIGIN_AS", "EventRule", "WindowRule",
     "amplification_rule", "as_hijack_rule", "bgp_alerts", "current_alerts", "dns_alerts",
     "dns_events", "dns_tunneling_rule", "enrich_lookups", "event_series", "fused_window_alerts",
-    "latest_alerts", "nxdomain_storm_rule", "recent_alerts", "register_tables", "route_flap_rule",
-    "routing_events", "union_alerts", "windowed_counts",
+    "latest_alerts", "nxdomain_storm_rule", "read_table", "recent_alerts", "register_tables", "route_flap_rule",
+    "routing_events", "union_alerts", "window_groups", "windowed_counts",
 ]

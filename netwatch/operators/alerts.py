@@ -1,13 +1,15 @@
-"""Alert tables: the union of the rules, computed with one scan per source.
-
-Batch form. Rules that read the same events are fused into one aggregation:
-the routing rules into one count over two grouping sets, (window, prefix)
-and (window, prefix, origin); the two windowed lookup rules into one count
-per (window, source) with one ``count_if`` each, unpivoted afterwards. A
-union of separately planned rules would scan and shuffle the source once
-per rule (Catalyst prunes each branch to its own count, so the branches
-never share an exchange). Streams keep one query per rule
-(see ``netwatch.streaming``), because fusing changes when a watermark moves.
+"""Alert tables: the union of the rules of one source.
+
+Rules that read the same events with the same window are fused into one
+aggregation with one exchange: the routing rules by turning each row into
+one candidate per rule it matches, the windowed lookup rules by one
+``count_if`` per rule, unpivoted afterwards. A union of separately planned
+rules would scan and shuffle the source once per rule (Catalyst prunes each
+branch to its own count, so the branches never share an exchange).
+``bgp_alerts`` is then one scan; ``dns_alerts`` is two, one for the windowed
+rules and one, without a shuffle, for the per-event rule. Streams keep one
+query per rule unless asked to fuse (see ``netwatch.streaming``), because
+fusing changes when a watermark moves.
 """
 
 from __future__ import annotations
@@ -42,6 +44,29 @@ def union_alerts(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def fusable(rules: Sequence[WindowRule], streaming: bool) -> bool:
+    """Whether rules can share one aggregation: same source and window, and
+    the same keys (lookups) or keys among prefix and origin in a tumbling
+    window (routing). On a stream also the same watermark and output mode;
+    a batch has neither."""
+    shared = {(r.kind, r.width, r.slide, r.time_column) for r in rules}
+    if len(shared) != 1:
+        return False
+    if streaming and len({(r.watermark, r.output_mode) for r in rules}) != 1:
+        return False
+    if rules[0].kind == BGP:
+        return rules[0].slide is None and all(
+            tuple(r.keys) in (("prefix",), ("prefix", "origin_as")) for r in rules)
+    return len({tuple(r.keys) for r in rules}) == 1
+
+
+def _require_fusable(rules: Sequence[WindowRule], streaming: bool) -> None:
+    if not fusable(rules, streaming):
+        raise ValueError(
+            f"rules {[r.name for r in rules]} cannot be fused: they need one source, window and "
+            "time column, matching keys, and on a stream one watermark and output mode")
+
+
 def bgp_alerts(
     routing: DataFrame,
     clock: str | Column | None = None,
@@ -49,71 +74,64 @@ def bgp_alerts(
     hijack: WindowRule | None = None,
 ) -> DataFrame:
     """Route flaps and origin hijacks in one table."""
-    flap = flap or route_flap_rule()
-    hijack = hijack or as_hijack_rule()
-    if routing.isStreaming or not _routing_fusable(flap, hijack):
-        return union_alerts([flap.apply(routing, clock), hijack.apply(routing, clock)])
-    return fused_routing_alerts(routing, flap, hijack, clock)
-
-
-def _routing_fusable(flap: WindowRule, hijack: WindowRule) -> bool:
-    return (flap.slide is None and hijack.slide is None and flap.width == hijack.width
-            and flap.time_column == hijack.time_column and flap.watermark == hijack.watermark
-            and flap.output_mode == hijack.output_mode
-            and tuple(flap.keys) == ("prefix",)
-            and tuple(hijack.keys) == ("prefix", "origin_as"))
+    rules = [flap or route_flap_rule(), hijack or as_hijack_rule()]
+    if routing.isStreaming or not fusable(rules, False):
+        return union_alerts([r.apply(routing, clock) for r in rules])
+    return fused_routing_alerts(routing, rules, clock)
 
 
 def fused_routing_alerts(
     routing: DataFrame,
-    flap: WindowRule,
-    hijack: WindowRule,
+    rules: Sequence[WindowRule],
     clock: str | Column | None = None,
 ) -> DataFrame:
-    """Flap and hijack alerts from one aggregation over two grouping sets,
-    (window, prefix) and (window, prefix, origin).
-
-    Each row is counted in both sets before the partial aggregation, and a
-    single exchange carries both results. On a stream it is one stateful
-    query instead of two; its watermark follows the rows of either rule
-    (for the default rules, the flap rule's rows), so hijack windows close
-    with the flap rule's event time.
+    """Alerts of several routing rules from one aggregation.
+
+    A row becomes one candidate (rule, prefix, origin or NULL) for every
+    rule it matches and none for the others, so the exchange carries only
+    groups that some rule counts: as many as the rules' own exchanges
+    together. On a stream it is one stateful query; its watermark follows
+    the rows of any of the rules.
     """
-    if not _routing_fusable(flap, hijack):
-        raise ValueError("fused routing rules need the default keys and one tumbling window")
-    routing = stream_time_ready(routing, flap.time_column)
-    detected_at = clock_as(clock, routing, flap.time_column)
-    flap_pred, hijack_pred = flap.predicate(), hijack.predicate()
-    rows = routing.filter(flap_pred | hijack_pred)
-    if routing.isStreaming:
-        rows = rows.withWatermark(flap.time_column, flap.watermark)
-    rows = rows.select(
-        window_column(flap.time_column, flap.width, None).alias("window"),
-        "prefix", "origin_as",
-        flap_pred.alias("is_flap"), hijack_pred.alias("is_hijack"))
-    counted = rows.groupingSets(
-        [["window", "prefix"], ["window", "prefix", "origin_as"]], "window", "prefix", "origin_as",
-    ).agg(F.count_if("is_flap").alias("flap_count"),
-          F.count_if("is_hijack").alias("hijack_count"),
-          F.grouping("origin_as").alias("per_prefix"))
-    is_flap_row = F.col("per_prefix") == 1
-    alerts = counted.filter(
-        (is_flap_row & (F.col("flap_count") > (flap.threshold or 0)))
-        | (~is_flap_row & (F.col("hijack_count") > (hijack.threshold or 0))))
-    return alerts.select(
+    _require_fusable(rules, routing.isStreaming)
+    routing = stream_time_ready(routing, rules[0].time_column)
+    detected_at = clock_as(clock, routing, rules[0].time_column)
+    counted = window_groups(routing, rules)
+
+    def of_rule(values: Sequence) -> Column:
+        """The value of the row's rule."""
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule") + 1)
+
+    return counted.filter(F.col("event_count") > of_rule([r.threshold or 0 for r in rules])).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "prefix",
-        F.when(is_flap_row, F.lit(None).cast("int")).otherwise(F.col("origin_as")).alias("origin_as"),
-        F.when(is_flap_row, F.col("flap_count")).otherwise(F.col("hijack_count"))
-        .cast("long").alias("event_count"),
-        F.when(is_flap_row, F.lit(flap.alert_type)).otherwise(F.lit(hijack.alert_type))
-        .alias("alert_type"),
-        F.when(is_flap_row, F.lit(flap.severity)).otherwise(F.lit(hijack.severity))
-        .alias("severity"),
+        "prefix", F.col("origin").alias("origin_as"), "event_count",
+        of_rule([r.alert_type for r in rules]).alias("alert_type"),
+        of_rule([r.severity for r in rules]).alias("severity"),
         detected_at.alias("detected_at"),
     )
 
 
+def window_groups(routing: DataFrame, rules: Sequence[WindowRule]) -> DataFrame:
+    """window, prefix, rule (its place in ``rules``), origin, event_count:
+    the groups that fused routing rules count, before their thresholds."""
+    first = rules[0]
+    matched = rules[0].predicate()
+    for rule in rules[1:]:
+        matched = matched | rule.predicate()
+    rows = routing.filter(matched)
+    if routing.isStreaming:
+        rows = rows.withWatermark(first.time_column, first.watermark)
+    candidates = F.array(*[
+        F.when(r.predicate(), F.struct(
+            F.lit(i).alias("rule"),
+            (F.col("origin_as") if "origin_as" in r.keys else F.lit(None)).cast("int").alias("origin")))
+        for i, r in enumerate(rules)])
+    rows = rows.select(
+        window_column(first.time_column, first.width, None).alias("window"), "prefix",
+        F.inline(F.filter(candidates, lambda c: c.isNotNull())))
+    return rows.groupBy("window", "prefix", "rule", "origin").agg(F.count("*").alias("event_count"))
+
+
 def fused_window_alerts(
     lookups: DataFrame,
     rules: Sequence[WindowRule],
@@ -131,10 +149,8 @@ def fused_window_alerts(
     when any of its counts grows. ``current_alerts`` reads both to the same
     final state.
     """
+    _require_fusable(rules, lookups.isStreaming)
     first = rules[0]
-    if len({(r.width, r.slide, r.time_column, tuple(r.keys), r.watermark, r.output_mode)
-            for r in rules}) != 1:
-        raise ValueError("fused rules need the same keys, window, watermark and mode")
     lookups = stream_time_ready(lookups, first.time_column)
     detected_at = clock_as(clock, lookups, first.time_column)
     preds = [r.predicate() for r in rules]
@@ -174,49 +190,45 @@ def dns_alerts(
     amplification = amplification or amplification_rule()
     tunneling = tunneling or dns_tunneling_rule()
     windowed = [storm, amplification]
-    fusable = (not lookups.isStreaming
-               and len({(r.width, r.slide, r.time_column, tuple(r.keys)) for r in windowed}) == 1)
-    if not fusable:
+    if lookups.isStreaming or not fusable(windowed, False):
         return union_alerts([r.apply(lookups, clock) for r in windowed]
                             + [tunneling.apply(lookups, clock)])
     return union_alerts([fused_window_alerts(lookups, windowed, clock),
                          tunneling.apply(lookups, clock)]).select(*DNS_ALERT_COLUMNS)
 
 
-def latest_alerts(history: DataFrame, kind: str, batch_column: str = "batch_id") -> DataFrame:
+def latest_alerts(history: DataFrame, kind: str) -> DataFrame:
     """Current state of update-mode alerts.
 
     An update-mode rule re-emits a window each time its count grows, and
     the sink appends every emission. This keeps, per (alert_type, window,
-    key), the row of the latest batch; the history stays untouched.
+    key), the row detected last; the history stays untouched. Batch ids
+    order the emissions of one run only, so they decide among rows of one
+    detection time and run (of several runs, the last by name).
     """
     keys = ["alert_type", "window_start", "window_end"]
     keys += ["prefix", "origin_as"] if kind == BGP else ["source_ip"]
     columns = BGP_ALERT_COLUMNS if kind == BGP else DNS_ALERT_COLUMNS
     rest = [c for c in columns if c not in keys]
     latest = history.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.col(batch_column)).alias("latest"))
+        F.max_by(F.struct(*rest), F.struct("detected_at", "run", "batch_id")).alias("latest"))
     return latest.select(*keys, "latest.*").select(*columns)
 
 
-def current_alerts(table: DataFrame, kind: str,
-                   update_writers: Sequence[str] = ("nxdomain_storm", "amplification",
-                                                    "dns_windowed"),
-                   writer_column: str = "writer") -> DataFrame:
+def current_alerts(table: DataFrame, kind: str) -> DataFrame:
     """An alert table as a reader wants it.
 
-    Rows of update-mode writers are reduced to the latest per key;
-    append-mode writers (windowed rules emitting once, per-event rules)
-    are taken as they are. Bookkeeping columns are dropped.
+    Rows written by update-mode queries (the ``mode`` folder says so) are
+    reduced to the latest per key; rows of append-mode queries, which emit
+    an alert once, are taken as they are. Bookkeeping columns are dropped.
     """
     columns = BGP_ALERT_COLUMNS if kind == BGP else DNS_ALERT_COLUMNS
-    updated = F.col(writer_column).isin(list(update_writers))
+    updated = F.col("mode") == "update"
     return union_alerts([
         table.filter(~updated).select(*columns),
         latest_alerts(table.filter(updated), kind),
     ])
 
 
-__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "fused_routing_alerts",
-           "fused_window_alerts", "latest_alerts",
-           "union_alerts", "DNS"]
+__all__ = ["bgp_alerts", "current_alerts", "dns_alerts", "fusable", "fused_routing_alerts",
+           "fused_window_alerts", "latest_alerts", "union_alerts", "window_groups", "DNS"]

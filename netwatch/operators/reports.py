@@ -7,21 +7,10 @@ import os
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netwatch.operators.rules import BGP, DNS
-from netwatch.schemas import (
-    BGP_ALERT_COLUMNS,
-    DNS_ALERT_COLUMNS,
-    DNS_EVENTS_COLUMNS,
-    ROUTING_EVENTS_COLUMNS,
-)
-
-SINK_TABLES = {
-    "routing_events": ROUTING_EVENTS_COLUMNS,
-    "dns_events": DNS_EVENTS_COLUMNS,
-    "bgp_alerts": BGP_ALERT_COLUMNS,
-    "dns_alerts": DNS_ALERT_COLUMNS,
-}
+from netwatch.schemas import TABLE_SCHEMAS, stored
 
 
 def event_series(events: DataFrame, time_column: str = "timestamp") -> DataFrame:
@@ -55,26 +44,35 @@ def recent_alerts(alerts: DataFrame, kind: str, n: int = 20) -> DataFrame:
     return alerts.orderBy(*order).limit(n).select(*shown)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A sink table with its folder columns, by its declared schema. A table
+    nothing was written to yet is empty; a damaged one raises."""
+    try:
+        return spark.read.schema(stored(schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stored(schema))
+
+
 def register_tables(spark: SparkSession, table_root: str) -> list[str]:
     """Temp views over the monitors' tables below ``table_root``.
 
     ``routing_events``, ``dns_events``, ``bgp_alerts`` and ``dns_alerts``
     hold every written row in the sink table's columns (an update-mode
     rule's repeated emissions included, as in an append-only database
-    table); ``current_bgp_alerts`` and ``current_dns_alerts`` hold the
-    latest row per alert. Dashboard SQL can then run as it is through
-    ``spark.sql``. Returns the names registered (tables not written yet
-    are skipped).
+    table) and ``event_date``, on which a filter skips other days' files;
+    ``current_bgp_alerts`` and ``current_dns_alerts`` hold the latest row
+    per alert. Dashboard SQL can then run as it is through ``spark.sql``,
+    on a day without alerts too: tables not written yet are empty views.
+    Returns the names registered.
     """
     from netwatch.operators.alerts import current_alerts
 
     names = []
-    for name, columns in SINK_TABLES.items():
-        try:
-            table = spark.read.parquet(os.path.join(table_root, name))
-        except AnalysisException:
-            continue
-        table.select(*columns).createOrReplaceTempView(name)
+    for name, schema in TABLE_SCHEMAS.items():
+        table = read_table(spark, os.path.join(table_root, name), schema)
+        table.select(*schema.names, "event_date").createOrReplaceTempView(name)
         names.append(name)
         if name.endswith("_alerts"):
             kind = BGP if name.startswith("bgp") else DNS

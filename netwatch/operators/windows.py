@@ -5,15 +5,10 @@ partial/final hash aggregation on (window, keys): each task pre-aggregates
 its rows, and a key that holds a third of the data still spreads over as
 many shuffle partitions as it has windows.
 
-Sliding windows multiply every row by width/slide in the built-in form
-(an ``Expand`` right below the partial aggregation, one exchange). The
-opt-in pane form counts each row once in its ``slide``-wide pane and then
-spreads the pane counts over the windows, at the price of a second
-exchange. Measured at sf0.1 the built-in form was faster on dense and on
-sparse keys, and for sparse high-cardinality keys the pane form also moves
-more bytes (pane groups, then three times as many window rows), so the
-built-in form is the default. Streams always use it: its state and
-watermark eviction are what the rules rely on.
+Sliding windows multiply every row by width/slide (an ``Expand`` right below
+the partial aggregation, one exchange). Counting panes first and spreading
+them over the windows was measured and dropped: it needs a second exchange
+and was slower on dense and on sparse keys.
 """
 
 from __future__ import annotations
@@ -44,21 +39,15 @@ def windowed_counts(
     width: str,
     slide: str | None = None,
     counts: dict[str, Column] | None = None,
-    panes: bool = False,
 ) -> DataFrame:
     """Rows per (window_start, window_end, *keys).
 
     ``counts`` maps output names to predicates counted with ``count_if``;
     by default a single ``event_count`` of all rows. Windows are
     epoch-aligned, start inclusive, end exclusive; rows with a NULL event
-    time belong to no window. ``panes=True`` picks the pane form for a
-    batch sliding window whose width is a multiple of its slide.
+    time belong to no window.
     """
     counts = counts or {"event_count": F.lit(True)}
-    sliding = slide is not None and _seconds(slide) != _seconds(width)
-    if panes and sliding and not df.isStreaming:
-        return _pane_counts(df, time_column, keys, width, slide, counts)
-
     aggs = [F.count_if(pred).alias(name) for name, pred in counts.items()]
     grouped = df.groupBy(window_column(time_column, width, slide).alias("window"), *keys).agg(*aggs)
     return grouped.select(
@@ -68,25 +57,3 @@ def windowed_counts(
         *counts.keys(),
     )
 
-
-def _pane_counts(df, time_column, keys, width, slide, counts) -> DataFrame:
-    width_s, slide_s = _seconds(width), _seconds(slide)
-    if width_s % slide_s:
-        raise ValueError("pane counting needs a width that is a multiple of the slide")
-    per_window = width_s // slide_s
-    pane_aggs = [F.count_if(pred).alias(name) for name, pred in counts.items()]
-    panes = (df.groupBy(F.window(time_column, slide).start.alias("pane"), *keys)
-             .agg(*pane_aggs))
-    # Each pane lies in per_window windows, starting at pane, pane - slide, ...
-    spread = panes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))))
-    spread = spread.withColumn(
-        "window_start",
-        F.timestamp_add("SECOND", F.col("k") * F.lit(-slide_s), F.col("pane")))
-    summed = spread.groupBy("window_start", *keys).agg(
-        *[F.sum(name).cast("long").alias(name) for name in counts])
-    return summed.select(
-        "window_start",
-        F.timestamp_add("SECOND", F.lit(width_s), F.col("window_start")).alias("window_end"),
-        *keys,
-        *counts.keys(),
-    )

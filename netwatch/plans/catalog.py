@@ -11,16 +11,16 @@ clock ``CLOCK`` so results are reproducible.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from netwatch.functions.strings import name_length, shannon_entropy
 from netwatch.functions.hashing import pseudonymise
-from netwatch.functions.time import utc_wall_clock
+from netwatch.functions.time import utc_instant, utc_wall_clock
 from netwatch.operators import (
     BGP,
     DNS,
@@ -34,25 +34,30 @@ from netwatch.operators import (
     event_series,
     latest_alerts,
     nxdomain_storm_rule,
+    read_table,
     recent_alerts,
     route_flap_rule,
     routing_events,
+    union_alerts,
 )
 from netwatch.plans import CLOCK
-from netwatch.session import fresh_dir
+from netwatch.schemas import SINK_PARTITIONS, TABLE_SCHEMAS
+from netwatch.session import fresh_dir, remove_dir
 from netwatch.sources import (
+    ROUTING_REQUIRED,
     decode_lookups,
     decode_routing,
-    default_parallelism,
     load_table,
     lookup_fixture,
     lookup_wire,
     page_hosts,
     routing_fixture,
     routing_wire,
+    split_rejects,
     wire_file_stream,
 )
 from netwatch.streaming.runner import (
+    progress_summary,
     run_until_drained,
     start_lookup_monitor,
     start_query,
@@ -63,17 +68,12 @@ from netwatch.streaming.sinks import ParquetBatchSink
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _events(spark: SparkSession, root: str, spread: bool = True) -> DataFrame:
-    """The events table. With ``spread``, a table that scans as fewer splits
-    than cores is spread round-robin first: worth it for per-row hashing and
-    entropy (lookup views), not for the routing counts, whose partial
-    aggregation merges less when a group's rows are dealt over many tasks."""
-    cores = default_parallelism(spark)
-    return load_table(spark, root, "events", min_partitions=cores if spread else None)
+def _events(spark: SparkSession, root: str) -> DataFrame:
+    return load_table(spark, root, "events")
 
 
-def _routing(spark: SparkSession, root: str, spread: bool = False) -> DataFrame:
-    return routing_fixture(_events(spark, root, spread=spread))
+def _routing(spark: SparkSession, root: str) -> DataFrame:
+    return routing_fixture(_events(spark, root))
 
 
 def _lookups(spark: SparkSession, root: str) -> DataFrame:
@@ -138,25 +138,35 @@ def q_order_date_series(spark, root):
     return event_series(load_table(spark, root, "orders"), "o_orderdate")
 
 
+# A windowed alert is detected when its window ends, a per-event one at its
+# event, as a monitor that keeps up would see them.
+
 def q_recent_bgp_alerts(spark, root):
-    return recent_alerts(bgp_alerts(_routing(spark, root), CLOCK), BGP)
+    routing = _routing(spark, root)
+    ends = utc_instant("window_end")
+    return recent_alerts(union_alerts([route_flap_rule().apply(routing, ends),
+                                       as_hijack_rule().apply(routing, ends)]), BGP)
 
 
 def q_recent_dns_alerts(spark, root):
-    return recent_alerts(dns_alerts(_lookups(spark, root), CLOCK), DNS)
+    lookups = _lookups(spark, root)
+    ends = utc_instant("window_end")
+    return recent_alerts(union_alerts([nxdomain_storm_rule().apply(lookups, ends),
+                                       amplification_rule().apply(lookups, ends),
+                                       dns_tunneling_rule().apply(lookups, utc_instant("event_time"))]), DNS)
 
 
 # -- decoding and enrichment ------------------------------------------------------
 
 def q_decode_bgp(spark, root):
-    decoded = decode_routing(routing_wire(_routing(spark, root, spread=True)))
+    decoded = decode_routing(routing_wire(_routing(spark, root)))
     return _wall_clock(decoded.drop("kafka_ts"))
 
 
 def q_decode_bgp_typed(spark, root):
     """Typed-list decode; the arrays are shown as their elements joined by
     ',' so the result compares as flat values."""
-    decoded = decode_routing(routing_wire(_routing(spark, root, spread=True)), typed_lists=True,
+    decoded = decode_routing(routing_wire(_routing(spark, root)), typed_lists=True,
                              event_time="payload")
     return _wall_clock(decoded.drop("kafka_ts")).withColumns({
         "as_path": F.array_join(F.col("as_path").cast("array<string>"), ","),
@@ -169,6 +179,23 @@ def q_decode_dns(spark, root):
     return _wall_clock(decoded)
 
 
+def q_decode_rejects(spark, root):
+    """Dead letters of routing frames of which one in ten is no record and
+    one in ten lacks its prefix."""
+    routing = _routing(spark, root)
+    kind = F.col("event_id") % 10
+    sound = routing_wire(routing.filter(~kind.isin(3, 7)))
+    damaged = routing.filter(kind.isin(3, 7)).select(
+        F.lit(None).cast("binary").alias("key"),
+        F.when(kind == 3, F.concat(F.lit("broken "), F.col("event_id").cast("string")))
+        .otherwise(F.to_json(F.struct("event_type", "med"))).cast("binary").alias("value"),
+        F.lit("bgp_raw_events").alias("topic"), F.lit(0).alias("partition"),
+        F.col("event_id").cast("long").alias("offset"), utc_instant("event_time").alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+    decoded = decode_routing(sound.unionByName(damaged), keep_raw=True)
+    return _wall_clock(split_rejects(decoded, ROUTING_REQUIRED)[1].select("raw_value", "reject_reason", "event_time"))
+
+
 def q_domain_entropy(spark, root):
     lookups = lookup_fixture(_events(spark, root), enrich=False)
     return lookups.select("event_id", "queried_domain",
@@ -196,53 +223,91 @@ def q_page_host_entropy(spark, root):
 
 # -- streams ----------------------------------------------------------------------
 
+# Seconds each call spent on writing its test frames (see bench.py).
+STAGING_SECONDS: list[float] = []
+SLICES = 4
+FILES_PER_SLICE = 4
+
+
 def _stage_wire(frames: DataFrame, run: str) -> str:
     path = os.path.join(run, "wire")
+    began = time.perf_counter()
     frames.write.mode("overwrite").parquet(path)
+    STAGING_SECONDS.append(time.perf_counter() - began)
     return path
 
 
-def _run_stream(spark, root, kind, build) -> DataFrame:
-    """Stage the wire frames, run ``build(decoded) -> (frame, mode, name)``
-    to completion with availableNow, and read its table back."""
+def _stage_slices(frames: DataFrame, run: str, order: Sequence[int]) -> str:
+    """Frames cut by time into ``SLICES`` equal spans, written one after the
+    other in ``order``, each as ``FILES_PER_SLICE`` files: a file stream that
+    reads so many files per trigger gets a slice per batch."""
+    path = os.path.join(run, "wire")
+    began = time.perf_counter()
+    at = F.unix_micros("timestamp")
+    low, high = frames.agg(F.min(at), F.max(at)).first()
+    for k in order:
+        start, end = (low + (high - low) * i // SLICES for i in (k, k + 1))
+        part = frames.filter((at >= start) & ((at < end) | (F.lit(k == SLICES - 1) & (at == end))))
+        part.repartitionByRange(FILES_PER_SLICE, "offset").write.mode("append").parquet(path)
+    STAGING_SECONDS.append(time.perf_counter() - began)
+    return path
+
+
+def _run_stream(spark, root, kind, build, order=None):
+    """Stage the wire frames (in time slices when ``order`` is given), run
+    ``build(decoded) -> (frame, mode, name)`` to completion with
+    availableNow, and read its table back. Returns table and query; the
+    staged frames and the checkpoint are removed."""
     run = fresh_dir(spark, "runs")
-    if kind == BGP:
-        wire_path = _stage_wire(routing_wire(_routing(spark, root, spread=True)), run)
-        decoded = decode_routing(wire_file_stream(spark, wire_path))
-    else:
-        wire_path = _stage_wire(lookup_wire(_lookups(spark, root)), run)
-        decoded = decode_lookups(wire_file_stream(spark, wire_path))
-    frame, mode, name = build(decoded)
-    table = os.path.join(run, "table")
-    query = start_query(frame, ParquetBatchSink(table, name),
-                        os.path.join(run, "checkpoint", name), mode, None, {"availableNow": True})
+    frames = routing_wire(_routing(spark, root)) if kind == BGP else lookup_wire(_lookups(spark, root))
+    wire_path = _stage_wire(frames, run) if order is None else _stage_slices(frames, run, order)
+    stream = wire_file_stream(spark, wire_path, FILES_PER_SLICE if order else None)
+    frame, mode, name = build(decode_routing(stream) if kind == BGP else decode_lookups(stream))
+    table, checkpoint = os.path.join(run, "table"), os.path.join(run, "checkpoint")
+    query = start_query(frame, ParquetBatchSink(table, name, mode=mode), checkpoint, mode, None,
+                        {"availableNow": True})
     run_until_drained([query])
-    try:
-        return spark.read.parquet(table)
-    except AnalysisException:       # every batch was empty: no folder written
-        schema = frame.schema.add("writer", "string").add("batch_id", "long")
-        return spark.createDataFrame([], schema)
+    for path in (wire_path, checkpoint):
+        remove_dir(spark, path)
+    return read_table(spark, table, frame.schema), query
+
+
+def _plain(table: DataFrame) -> DataFrame:
+    return _wall_clock(table.drop(*(name for name, _ in SINK_PARTITIONS)))
 
 
 def _rule_stream(rule, kind, latest=False):
     def query(spark, root):
-        history = _run_stream(spark, root, kind,
-                              lambda d: (rule.apply(d, CLOCK), rule.output_mode, rule.name))
-        if latest:
-            return _wall_clock(latest_alerts(history, kind))
-        return _wall_clock(history.drop("writer", "batch_id"))
+        history, _ = _run_stream(spark, root, kind,
+                                 lambda d: (rule.apply(d, CLOCK), rule.output_mode, rule.name))
+        return _wall_clock(latest_alerts(history, kind)) if latest else _plain(history)
     return query
 
 
+def q_stream_nxdomain_history(spark, root):
+    """Every emission of an update-mode rule over several data batches."""
+    rule = nxdomain_storm_rule(threshold=3)
+    history, _ = _run_stream(spark, root, DNS, lambda d: (rule.apply(d, CLOCK), rule.output_mode, rule.name),
+                             order=range(SLICES))
+    return _plain(history)
+
+
+def q_stream_late_rows(spark, root):
+    """The first slice arrives last: the rule drops its groups behind the
+    watermark. ``late_groups`` is how many it dropped."""
+    rule = route_flap_rule()
+    table, query = _run_stream(spark, root, BGP, lambda d: (rule.apply(d, CLOCK), rule.output_mode, rule.name),
+                               order=[*range(1, SLICES), 0])
+    dropped = int(progress_summary(query)["rows_dropped_by_watermark"])
+    return _plain(table).withColumn("late_groups", F.lit(dropped).cast("long"))
+
+
 def q_stream_archive(spark, root):
-    table = _run_stream(spark, root, BGP,
-                        lambda d: (routing_events(d), "append", "archive"))
-    return _wall_clock(table.drop("writer", "batch_id"))
+    return _plain(_run_stream(spark, root, BGP, lambda d: (routing_events(d), "append", "archive"))[0])
 
 
 def q_stream_dns_archive(spark, root):
-    table = _run_stream(spark, root, DNS, lambda d: (dns_events(d), "append", "archive"))
-    return _wall_clock(table.drop("writer", "batch_id"))
+    return _plain(_run_stream(spark, root, DNS, lambda d: (dns_events(d), "append", "archive"))[0])
 
 
 def _monitor_alerts(kind, fuse_windowed=False):
@@ -253,17 +318,16 @@ def _monitor_alerts(kind, fuse_windowed=False):
         once = {"availableNow": True}
         tables, checkpoints = os.path.join(run, "tables"), os.path.join(run, "checkpoints")
         if kind == BGP:
-            wire = _stage_wire(routing_wire(_routing(spark, root, spread=True)), run)
-            queries = start_routing_monitor(wire_file_stream(spark, wire), tables, checkpoints,
-                                            CLOCK, once, fuse_windowed=fuse_windowed)
-            table = os.path.join(tables, "bgp_alerts")
+            wire, start, name = routing_wire(_routing(spark, root)), start_routing_monitor, "bgp_alerts"
         else:
-            wire = _stage_wire(lookup_wire(_lookups(spark, root)), run)
-            queries = start_lookup_monitor(wire_file_stream(spark, wire), tables, checkpoints,
-                                           CLOCK, once, fuse_windowed=fuse_windowed)
-            table = os.path.join(tables, "dns_alerts")
-        run_until_drained(queries)
-        return _wall_clock(current_alerts(spark.read.parquet(table), kind))
+            wire, start, name = lookup_wire(_lookups(spark, root)), start_lookup_monitor, "dns_alerts"
+        wire = _stage_wire(wire, run)
+        run_until_drained(start(wire_file_stream(spark, wire), tables, checkpoints, CLOCK, once,
+                                fuse_windowed=fuse_windowed))
+        for path in (wire, checkpoints):
+            remove_dir(spark, path)
+        return _wall_clock(current_alerts(
+            read_table(spark, os.path.join(tables, name), TABLE_SCHEMAS[name]), kind))
     return query
 
 
@@ -285,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "decode_bgp": q_decode_bgp,
     "decode_bgp_typed": q_decode_bgp_typed,
     "decode_dns": q_decode_dns,
+    "decode_rejects": q_decode_rejects,
     "domain_entropy": q_domain_entropy,
     "domain_length": q_domain_length,
     "pseudonymise_ip": q_pseudonymise_ip,
@@ -298,6 +363,8 @@ QUERIES: dict[str, Query] = {
     "stream_bgp_alerts_fused": _monitor_alerts(BGP, fuse_windowed=True),
     "stream_dns_alerts": _monitor_alerts(DNS),
     "stream_dns_alerts_fused": _monitor_alerts(DNS, fuse_windowed=True),
+    "stream_nxdomain_history": q_stream_nxdomain_history,
+    "stream_late_rows": q_stream_late_rows,
     "stream_archive": q_stream_archive,
     "stream_dns_archive": q_stream_dns_archive,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -34,6 +35,8 @@ WIRE_SCHEMA = _struct(
     ("timestampType", IntegerType()),
 )
 
+# Field names and order of the two wire records.
+
 # Routing update as the consumer declares it. as_path and communities are
 # JSON arrays on the wire but kept as their JSON text by default.
 BGP_SCHEMA = _struct(
@@ -78,22 +81,48 @@ DNS_SCHEMA = _struct(
     ("domain_length", IntegerType()),
 )
 
-# Sink tables. Serial ids and created_at are database defaults and are not
-# produced here; rows are identified by their natural keys.
-ROUTING_EVENTS_COLUMNS = (
-    "timestamp", "router_id", "peer_as", "origin_as", "prefix", "event_type",
-    "next_hop", "med",
+# Sink tables, column types as the original tables declare them. Serial ids
+# and created_at are database defaults and are not produced here; rows are
+# identified by their natural keys.
+ROUTING_EVENTS_SCHEMA = _struct(
+    ("timestamp", TimestampType()), ("router_id", StringType()), ("peer_as", IntegerType()),
+    ("origin_as", IntegerType()), ("prefix", StringType()), ("event_type", StringType()),
+    ("next_hop", StringType()), ("med", IntegerType()),
+)
+DNS_EVENTS_SCHEMA = _struct(
+    ("timestamp", TimestampType()), ("source_ip", StringType()), ("resolver_ip", StringType()),
+    ("queried_domain", StringType()), ("query_type", StringType()),
+    ("response_code", StringType()), ("ttl", IntegerType()), ("entropy", DoubleType()),
+    ("domain_length", IntegerType()),
 )
-DNS_EVENTS_COLUMNS = (
-    "timestamp", "source_ip", "resolver_ip", "queried_domain", "query_type",
-    "response_code", "ttl", "entropy", "domain_length",
+BGP_ALERTS_SCHEMA = _struct(
+    ("window_start", TimestampType()), ("window_end", TimestampType()), ("prefix", StringType()),
+    ("origin_as", IntegerType()), ("event_count", LongType()), ("alert_type", StringType()),
+    ("severity", StringType()), ("detected_at", TimestampType()),
 )
-BGP_ALERT_COLUMNS = (
-    "window_start", "window_end", "prefix", "origin_as", "event_count",
-    "alert_type", "severity", "detected_at",
+DNS_ALERTS_SCHEMA = _struct(
+    ("window_start", TimestampType()), ("window_end", TimestampType()),
+    ("source_ip", StringType()), ("event_count", LongType()), ("alert_type", StringType()),
+    ("severity", StringType()), ("detected_at", TimestampType()),
 )
-DNS_ALERT_COLUMNS = (
-    "window_start", "window_end", "source_ip", "event_count", "alert_type",
-    "severity", "detected_at",
+TABLE_SCHEMAS = {
+    "routing_events": ROUTING_EVENTS_SCHEMA,
+    "dns_events": DNS_EVENTS_SCHEMA,
+    "bgp_alerts": BGP_ALERTS_SCHEMA,
+    "dns_alerts": DNS_ALERTS_SCHEMA,
+}
+ROUTING_EVENTS_COLUMNS = tuple(ROUTING_EVENTS_SCHEMA.names)
+DNS_EVENTS_COLUMNS = tuple(DNS_EVENTS_SCHEMA.names)
+BGP_ALERT_COLUMNS = tuple(BGP_ALERTS_SCHEMA.names)
+DNS_ALERT_COLUMNS = tuple(DNS_ALERTS_SCHEMA.names)
+
+# Folders the parquet sink adds above its files; they read back as columns.
+SINK_PARTITIONS = (
+    ("writer", StringType()), ("mode", StringType()), ("run", StringType()),
+    ("batch_id", LongType()), ("event_date", DateType()),
 )
-METRIC_COLUMNS = ("window_start", "window_end", "metric_type", "metric_value", "labels")
+
+
+def stored(schema: StructType) -> StructType:
+    """A sink table's schema with the folder columns."""
+    return StructType([*schema.fields, *_struct(*SINK_PARTITIONS).fields])

@@ -14,22 +14,25 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Many (window, key) groups in a stream: keep state off the JVM heap.
+ROCKSDB_PROVIDER = (
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+)
+
 # Defaults that hold from local[8] up to a large cluster: UTC so window bounds
 # and string timestamps do not depend on the machine, AQE for runtime
-# coalescing and skew splitting of batch shuffles.
+# coalescing and skew splitting of batch shuffles, stream state in RocksDB
+# with only its changes uploaded per batch.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Many (window, key) groups in a stream: keep state off the JVM heap.
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
-
 
 def build_session(
     master: str | None = None,
@@ -79,3 +82,9 @@ def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unused folder below the shared root."""
     return os.path.join(shared_root(spark), "netwatch", *parts, uuid.uuid4().hex)
 
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a working folder, on whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -1,8 +1,15 @@
 """Sources: batch tables, Kafka / file streams, decoding, derived event views."""
 
-from netwatch.sources.decode import decode_lookups, decode_routing, split_rejects
+from netwatch.sources.decode import (
+    LOOKUP_REQUIRED,
+    ROUTING_REQUIRED,
+    decode_lookups,
+    decode_routing,
+    keep_raw_of_rejects,
+    split_rejects,
+)
 from netwatch.sources.fixtures import lookup_fixture, page_hosts, routing_fixture
-from netwatch.sources.tables import default_parallelism, load_table, spread
+from netwatch.sources.tables import load_table
 from netwatch.sources.wire import (
     encode_wire,
     kafka_stream,
@@ -12,7 +19,8 @@ from netwatch.sources.wire import (
 )
 
 __all__ = [
-    "decode_lookups", "decode_routing", "default_parallelism", "encode_wire", "kafka_stream", "load_table",
+    "LOOKUP_REQUIRED", "ROUTING_REQUIRED", "keep_raw_of_rejects",
+    "decode_lookups", "decode_routing", "encode_wire", "kafka_stream", "load_table",
     "lookup_fixture", "lookup_wire", "page_hosts", "routing_fixture", "routing_wire",
-    "split_rejects", "spread", "wire_file_stream",
+    "split_rejects", "wire_file_stream",
 ]

@@ -1,16 +1,16 @@
 """Wire frame -> typed events.
 
 ``from_json`` runs permissive: a malformed record becomes a row of NULLs and
-is kept (the archive keeps it too). ``split_rejects`` routes rows without a
-usable event time to a dead-letter table instead of letting the windowed
-rules drop them silently.
+is kept (the archive keeps it too). ``split_rejects`` routes malformed rows and
+rows without a required field to a dead-letter table instead of letting the
+windowed rules drop them silently.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -79,11 +79,33 @@ def decode_lookups(wire: DataFrame, enrich: bool = True, keep_raw: bool = False,
     return out
 
 
-def split_rejects(decoded: DataFrame, required: tuple[str, ...] = ("event_time",)
+# Without these a record takes part in no rule of its source.
+ROUTING_REQUIRED = ("event_time", "prefix", "event_type")
+LOOKUP_REQUIRED = ("event_time", "source_ip")
+
+
+def reject_reason(decoded: DataFrame, required: Sequence[str] = ("event_time",)) -> Column:
+    """Why a decoded row is unusable, NULL when it is not: the required
+    fields it lacks, or "malformed" when it has those (an event time may come
+    from the frame) but no field of the record could be read."""
+    own = [c for c in decoded.columns if c in set(BGP_SCHEMA.names) | set(DNS_SCHEMA.names)]
+    # Filled in after decoding, not read from the record.
+    own = [c for c in own if c not in ("entropy", "domain_length")]
+    empty = F.coalesce(*[F.col(c).cast("string") for c in own]).isNull()
+    lacking = F.concat_ws(",", *[F.when(F.col(n).isNull(), F.lit(f"missing {n}")) for n in required])
+    return F.when(lacking != "", lacking).when(empty, F.lit("malformed"))
+
+
+def split_rejects(decoded: DataFrame, required: Sequence[str] = ("event_time",)
                   ) -> tuple[DataFrame, DataFrame]:
     """(usable rows, rejected rows with a ``reject_reason``)."""
-    ok = F.lit(True)
-    for name in required:
-        ok = ok & F.col(name).isNotNull()
-    reason = F.concat_ws(",", *[F.when(F.col(n).isNull(), F.lit(f"missing {n}")) for n in required])
-    return decoded.filter(ok), decoded.filter(~ok).withColumn("reject_reason", reason)
+    reason = reject_reason(decoded, required)
+    return (decoded.filter(reason.isNull()),
+            decoded.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull()))
+
+
+def keep_raw_of_rejects(decoded: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Blank the raw text of usable rows: a micro-batch that is cached for
+    several outputs then holds it only where the dead letters need it."""
+    unusable = reject_reason(decoded, required).isNotNull()
+    return decoded.withColumn("raw_value", F.when(unusable, F.col("raw_value")))

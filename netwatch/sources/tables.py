@@ -7,34 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load_table(spark: SparkSession, root: str, name: str,
-               min_partitions: int | None = None) -> DataFrame:
+def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A parquet table ``<root>/<name>.parquet``; filters and column
-    selection made later reach the scan.
-
-    ``min_partitions``: if the scan yields fewer splits than that (a small
-    table stored as one row group), spread its rows round-robin so per-row
-    work (hashing, entropy, JSON) uses every core. A large table already has
-    many splits and is returned as it is, without a shuffle.
-    """
-    df = spark.read.parquet(os.path.join(root, f"{name}.parquet"))
-    return spread(df, min_partitions) if min_partitions else df
-
-
-def spread(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` partitions if it has fewer."""
-    if df.isStreaming:
-        return df
-    try:
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df if partitions >= min_partitions else df.repartition(min_partitions)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores available to tasks (shuffle partitions where that is unknown)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    selection made later reach the scan. How finely it is split is the
+    session's choice (``spark.sql.files.maxPartitionBytes``,
+    ``spark.sql.files.minPartitionNum``)."""
+    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))

@@ -2,17 +2,21 @@
 
 from netwatch.streaming.runner import (
     await_any,
+    jdbc_sinks,
+    parquet_sinks,
     progress_summary,
+    progress_totals,
     run_until_drained,
     start_lookup_monitor,
     start_query,
     start_routing_monitor,
     start_rule,
 )
-from netwatch.streaming.sinks import FanOutSink, JdbcBatchSink, ParquetBatchSink
+from netwatch.streaming.sinks import FanOutSink, JdbcBatchSink, ParquetBatchSink, compact
 
 __all__ = [
-    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "await_any", "progress_summary",
+    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "await_any", "compact", "jdbc_sinks",
+    "parquet_sinks", "progress_summary", "progress_totals",
     "run_until_drained", "start_lookup_monitor", "start_query", "start_routing_monitor",
     "start_rule",
 ]

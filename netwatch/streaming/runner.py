@@ -11,11 +11,12 @@ ends the program when one fails.
 from __future__ import annotations
 
 import os
+import threading
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from netwatch.operators.alerts import fused_routing_alerts, fused_window_alerts
 from netwatch.operators.archive import dns_events, routing_events
@@ -28,19 +29,44 @@ from netwatch.operators.rules import (
     nxdomain_storm_rule,
     route_flap_rule,
 )
-from netwatch.sources.decode import decode_lookups, decode_routing, split_rejects
-from netwatch.streaming.sinks import BatchWriter, FanOutSink, ParquetBatchSink
+from netwatch.sources.decode import (
+    LOOKUP_REQUIRED,
+    ROUTING_REQUIRED,
+    decode_lookups,
+    decode_routing,
+    keep_raw_of_rejects,
+    split_rejects,
+)
+from netwatch.streaming.sinks import BatchWriter, FanOutSink, JdbcBatchSink, ParquetBatchSink
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
-# Windowed alerts per trigger are few (groups over a threshold); write them
-# as a handful of files, whatever the state partition count.
-WINDOWED_ALERT_FILES = 2
+
+# (path, writer, options of ParquetBatchSink) -> what writes a micro-batch.
+SinkFactory = Callable[..., BatchWriter]
+
+
+def parquet_sinks(table_root: str) -> SinkFactory:
+    """The default sinks: one parquet table per name below ``table_root``."""
+    def make(table: str, writer: str, **options) -> BatchWriter:
+        return ParquetBatchSink(os.path.join(table_root, table), writer, **options)
+    return make
+
+
+def jdbc_sinks(url: str, properties: Mapping[str, str], batch_column: str | None = None,
+               num_partitions: int | None = None, run: str = "") -> SinkFactory:
+    """Database tables of the same names. With ``batch_column`` replays are
+    idempotent; ``run`` must then change with every new checkpoint."""
+    def make(table: str, writer: str, cache: bool = True, **parquet_only) -> BatchWriter:
+        return JdbcBatchSink(url, table, properties, batch_column, f"{writer}{run}",
+                             num_partitions, cache)
+    return make
 
 
 def start_query(frame: DataFrame, sink: BatchWriter, checkpoint: str,
                 output_mode: str = "append", name: str | None = None,
                 trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """``frame`` -> ``foreachBatch(sink)`` with its own checkpoint."""
+    progress_totals(frame.sparkSession)
     writer = (frame.writeStream.outputMode(output_mode).foreachBatch(sink)
               .option("checkpointLocation", checkpoint)
               .trigger(**dict(trigger or DEFAULT_TRIGGER)))
@@ -57,100 +83,92 @@ def start_rule(decoded: DataFrame, rule: WindowRule | EventRule, sink: BatchWrit
                        rule.name, trigger)
 
 
-def _rejects(decoded: DataFrame) -> DataFrame:
-    return split_rejects(decoded)[1]
+def _alert_sink(sinks: SinkFactory, table: str, writer: str, mode: str) -> BatchWriter:
+    """Alerts of a stateful query: few rows over many state partitions, so
+    merged by size before they are written."""
+    return sinks(table, writer, mode=mode, date_column="window_start", rebalance=True)
 
 
-def start_routing_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
+def _stateless_outputs(sinks: SinkFactory, archive: str, rejects: str, project,
+                       required: Sequence[str]) -> dict:
+    return {
+        archive: (project, sinks(archive, "archive", cache=False, date_column="timestamp")),
+        rejects: ((lambda df: split_rejects(df, required)[1]), sinks(rejects, "decode", cache=False)),
+    }
+
+
+def _start_windowed(rules: Sequence[WindowRule], decode, fuse, name: str, table: str,
+                    sinks: SinkFactory, checkpoint_root: str, clock, trigger) -> list[StreamingQuery]:
+    """One query per rule, or with ``fuse`` one for all of them, each
+    decoding only the record fields its rules read."""
+    if fuse is not None and len(rules) > 1:
+        fields = None if any(r.fields is None for r in rules) else sorted({f for r in rules for f in r.fields})
+        mode = rules[0].output_mode
+        return [start_query(fuse(decode(fields), rules, clock), _alert_sink(sinks, table, name, mode),
+                            os.path.join(checkpoint_root, name), mode, name, trigger)]
+    return [start_rule(decode(rule.fields), rule, _alert_sink(sinks, table, rule.name, rule.output_mode),
+                       os.path.join(checkpoint_root, rule.name), clock, trigger) for rule in rules]
+
+
+def start_routing_monitor(wire: DataFrame, table_root: str | None, checkpoint_root: str,
                           clock: str | Column | None = None,
                           trigger: Mapping[str, object] | None = None,
                           rules: list[WindowRule] | None = None,
-                          fuse_windowed: bool = False) -> list[StreamingQuery]:
+                          fuse_windowed: bool = False,
+                          sinks: SinkFactory | None = None) -> list[StreamingQuery]:
     """Archive (+ dead letters) and the windowed routing rules.
 
-    Tables below ``table_root``: ``routing_events``, ``routing_rejects``
-    (frames without a usable event time, with the raw text) and
-    ``bgp_alerts``. One stateless query writes the archive and the rejects
-    from the same micro-batch; each windowed rule is its own query and
-    decodes without carrying the raw text. With ``fuse_windowed`` the flap
-    and hijack rules are one query (writer ``bgp_windowed``; see
-    ``fused_routing_alerts`` for what changes at the edges).
+    Tables: ``routing_events``, ``routing_rejects`` (malformed frames and
+    frames without a required field, with the raw text and the reason; they
+    stay in the archive) and ``bgp_alerts``; parquet below ``table_root``
+    unless ``sinks`` makes others. One stateless query writes the archive
+    and the rejects from the same micro-batch; each windowed rule is its own
+    query and decodes without carrying the raw text. With ``fuse_windowed``
+    all rules are one query (writer ``bgp_windowed``), and rules that cannot
+    be fused raise; see ``fused_routing_alerts``.
     """
-    decoded = decode_routing(wire, keep_raw=True)
-    fan_out = FanOutSink({
-        "routing_events": (routing_events, ParquetBatchSink(
-            os.path.join(table_root, "routing_events"), "archive", cache=False)),
-        "routing_rejects": (_rejects, ParquetBatchSink(
-            os.path.join(table_root, "routing_rejects"), "decode", cache=False)),
-    })
+    sinks = sinks or parquet_sinks(table_root)
+    decoded = keep_raw_of_rejects(decode_routing(wire, keep_raw=True), ROUTING_REQUIRED)
+    fan_out = FanOutSink(_stateless_outputs(sinks, "routing_events", "routing_rejects", routing_events,
+                                            ROUTING_REQUIRED))
     queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
-    rules = rules or [route_flap_rule(), as_hijack_rule()]
-    if fuse_windowed and len(rules) == 2:
-        flap, hijack = rules
-        fields = None if flap.fields is None or hijack.fields is None else \
-            sorted(set(flap.fields) | set(hijack.fields))
-        frame = fused_routing_alerts(decode_routing(wire, fields=fields), flap, hijack, clock)
-        queries.append(start_query(
-            frame, ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), "bgp_windowed",
-                                    max_files=WINDOWED_ALERT_FILES),
-            os.path.join(checkpoint_root, "bgp_windowed"), flap.output_mode, "bgp_windowed",
-            trigger))
-        return queries
-    for rule in rules:
-        sink = ParquetBatchSink(os.path.join(table_root, "bgp_alerts"), rule.name,
-                                max_files=WINDOWED_ALERT_FILES)
-        queries.append(start_rule(decode_routing(wire, fields=rule.fields), rule, sink,
-                                  os.path.join(checkpoint_root, rule.name), clock, trigger))
-    return queries
+    return queries + _start_windowed(
+        rules or [route_flap_rule(), as_hijack_rule()], lambda fields: decode_routing(wire, fields=fields),
+        fused_routing_alerts if fuse_windowed else None, "bgp_windowed", "bgp_alerts", sinks,
+        checkpoint_root, clock, trigger)
 
 
-def start_lookup_monitor(wire: DataFrame, table_root: str, checkpoint_root: str,
+def start_lookup_monitor(wire: DataFrame, table_root: str | None, checkpoint_root: str,
                          clock: str | Column | None = None,
                          trigger: Mapping[str, object] | None = None,
                          rules: list[WindowRule | EventRule] | None = None,
-                         fuse_windowed: bool = False) -> list[StreamingQuery]:
+                         fuse_windowed: bool = False,
+                         sinks: SinkFactory | None = None) -> list[StreamingQuery]:
     """Archive (+ dead letters), tunneling, and the windowed lookup rules.
 
-    Tables below ``table_root``: ``dns_events``, ``dns_rejects`` and
-    ``dns_alerts``. The stateless outputs (archive, rejects and every
-    per-event rule) share one query and one read of the source; each
-    windowed rule is its own stateful query, or with ``fuse_windowed`` all
-    of them are one query (writer ``dns_windowed``; see
-    ``fused_window_alerts`` for what changes at the edges).
+    Tables: ``dns_events``, ``dns_rejects`` and ``dns_alerts``; parquet below
+    ``table_root`` unless ``sinks`` makes others. The stateless outputs
+    (archive, rejects and every per-event rule) share one query and one read
+    of the source; each windowed rule is its own stateful query, or with
+    ``fuse_windowed`` all of them are one query (writer ``dns_windowed``),
+    and rules that cannot be fused raise; see ``fused_window_alerts``.
     """
-    decoded = decode_lookups(wire, keep_raw=True)
+    sinks = sinks or parquet_sinks(table_root)
+    decoded = keep_raw_of_rejects(decode_lookups(wire, keep_raw=True), LOOKUP_REQUIRED)
     rules = rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]
-    alerts_path = os.path.join(table_root, "dns_alerts")
-    outputs = {
-        "dns_events": (dns_events, ParquetBatchSink(
-            os.path.join(table_root, "dns_events"), "archive", cache=False)),
-        "dns_rejects": (_rejects, ParquetBatchSink(
-            os.path.join(table_root, "dns_rejects"), "decode", cache=False)),
-    }
+    outputs = _stateless_outputs(sinks, "dns_events", "dns_rejects", dns_events, LOOKUP_REQUIRED)
     for rule in rules:
         if isinstance(rule, EventRule):
             outputs[rule.name] = ((lambda df, r=rule: r.apply(df, clock)),
-                                  ParquetBatchSink(alerts_path, rule.name, cache=False))
+                                  sinks("dns_alerts", rule.name, cache=False, date_column="window_start"))
     queries = [start_query(decoded, FanOutSink(outputs),
                            os.path.join(checkpoint_root, "dns_stateless"),
                            "append", "dns_stateless", trigger)]
-    windowed = [r for r in rules if isinstance(r, WindowRule)]
-    if fuse_windowed and len(windowed) > 1:
-        fields = None if any(r.fields is None for r in windowed) else \
-            sorted({f for r in windowed for f in r.fields})
-        frame = fused_window_alerts(decode_lookups(wire, fields=fields), windowed, clock)
-        queries.append(start_query(
-            frame, ParquetBatchSink(alerts_path, "dns_windowed", max_files=WINDOWED_ALERT_FILES),
-            os.path.join(checkpoint_root, "dns_windowed"), windowed[0].output_mode,
-            "dns_windowed", trigger))
-        return queries
-    for rule in windowed:
-        queries.append(start_rule(decode_lookups(wire, fields=rule.fields), rule,
-                                  ParquetBatchSink(alerts_path, rule.name,
-                                                   max_files=WINDOWED_ALERT_FILES),
-                                  os.path.join(checkpoint_root, rule.name), clock, trigger))
-    return queries
+    return queries + _start_windowed(
+        [r for r in rules if isinstance(r, WindowRule)], lambda fields: decode_lookups(wire, fields=fields),
+        fused_window_alerts if fuse_windowed else None, "dns_windowed", "dns_alerts", sinks,
+        checkpoint_root, clock, trigger)
 
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery],
@@ -186,19 +204,67 @@ def run_until_drained(queries: list[StreamingQuery]) -> None:
             raise RuntimeError(f"query {q.name} failed: {q.exception()}")
 
 
+class ProgressTotals(StreamingQueryListener):
+    """Adds up the progress of every query of a session from its start: a
+    query itself remembers only its last reports."""
+
+    def __init__(self) -> None:
+        self._lock = threading.Lock()
+        self._totals: dict[str, dict[str, float]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _of(self, run: str) -> dict[str, float]:
+        self._ended.setdefault(run, threading.Event())
+        return self._totals.setdefault(run, {"batches": 0, "input_rows": 0, "rows_dropped_by_watermark": 0,
+                                             "processed_rows_per_second": 0.0})
+
+    def onQueryStarted(self, event) -> None:
+        with self._lock:
+            self._of(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        with self._lock:
+            own = self._of(str(report.runId))
+            own["batches"] += 1
+            own["input_rows"] += report.numInputRows
+            own["rows_dropped_by_watermark"] += sum(o.numRowsDroppedByWatermark for o in report.stateOperators)
+            if report.numInputRows:
+                own["processed_rows_per_second"] = max(own["processed_rows_per_second"], report.processedRowsPerSecond)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._of(str(event.runId))
+            self._ended[str(event.runId)].set()
+
+    def summary(self, query: StreamingQuery, wait: float = 10.0) -> dict[str, float]:
+        """Totals of this run of ``query``; of an ended one all of them
+        (reports arrive a little after the query ends)."""
+        run = str(query.runId)
+        with self._lock:
+            self._of(run)
+        if not query.isActive:
+            self._ended[run].wait(wait)
+        with self._lock:
+            return dict(self._of(run))
+
+
+_totals: dict[int, ProgressTotals] = {}
+
+
+def progress_totals(spark: SparkSession) -> ProgressTotals:
+    """The session's listener, added at the first call."""
+    key = id(spark.sparkContext)
+    if key not in _totals:
+        _totals[key] = ProgressTotals()
+        spark.streams.addListener(_totals[key])
+    return _totals[key]
+
+
 def progress_summary(query: StreamingQuery) -> dict[str, float]:
-    """Rows in, rows per second and late rows dropped, over the recent
-    progress reports of one query."""
-    reports = query.recentProgress
-    rows = sum(r.get("numInputRows", 0) for r in reports)
-    dropped = 0
-    for r in reports:
-        for op in r.get("stateOperators", []) or []:
-            dropped += op.get("numRowsDroppedByWatermark", 0)
-    rates = [r.get("processedRowsPerSecond", 0.0) for r in reports if r.get("numInputRows")]
-    return {
-        "batches": len(reports),
-        "input_rows": rows,
-        "rows_dropped_by_watermark": dropped,
-        "processed_rows_per_second": max(rates) if rates else 0.0,
-    }
+    """Batches, rows in, late rows dropped and the best rate of one query
+    since it was started by ``start_query``."""
+    return progress_totals(SparkSession.getActiveSession()).summary(query)

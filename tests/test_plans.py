@@ -37,7 +37,7 @@ def test_bgp_alerts_is_one_scan_and_one_exchange(spark, capsys):
     text = plan(QUERIES["bgp_alerts"](spark, ROOT), capsys)
     assert scans(text) == 1
     assert hash_exchanges(text) == 1
-    assert "Expand" in text and "Union" not in text
+    assert "Generate" in text and "Expand" not in text and "Union" not in text
 
 
 def test_dns_alerts_counts_both_windowed_rules_in_one_exchange(spark, capsys):
@@ -61,14 +61,36 @@ def test_decoded_frames_are_parsed_once(spark, capsys, workdir):
     assert len(re.findall(r"from_json\(", text)) == 1
 
 
-def test_spread_only_touches_tables_with_too_few_splits(spark, capsys, workdir):
-    many = os.path.join(workdir, "many")
-    spark.range(1000).repartition(8).write.parquet(many)
-    one = os.path.join(workdir, "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    from netwatch.sources import spread
-    wide = spark.read.parquet(many)
-    assert wide.rdd.getNumPartitions() >= 4
-    assert "RoundRobinPartitioning" not in plan(spread(wide, 4), capsys)
-    narrow = spark.read.parquet(one)
-    assert "RoundRobinPartitioning(4)" in plan(spread(narrow, 4), capsys)
+def test_fused_routing_shuffles_no_more_than_its_rules(spark):
+    """Rows that reach the exchange: one per group and task, and only for
+    groups some rule counts."""
+    from pyspark.sql import functions as F
+    from netwatch.operators import as_hijack_rule, window_groups
+
+    routing = routing_fixture(load_table(spark, ROOT, "events"))
+    fused = window_groups(routing, [route_flap_rule(), as_hijack_rule()]).count()
+    apart = [r.with_params(threshold=None).apply(routing, "2024-02-01 00:00:00").count()
+             for r in (route_flap_rule(), as_hijack_rule())]
+    assert fused == sum(apart)
+    assert QUERIES["bgp_alerts"](spark, ROOT).filter(F.col("event_count") == 0).count() == 0
+
+
+def test_no_plan_deals_rows_round_robin(spark, capsys):
+    for name, query in QUERIES.items():
+        if not name.startswith("stream_"):
+            assert "RoundRobinPartitioning" not in plan(query(spark, ROOT), capsys), name
+
+
+def test_date_filter_skips_other_days(spark, capsys, workdir):
+    from pyspark.sql import functions as F
+    from netwatch.operators import read_table, routing_events
+    from netwatch.schemas import ROUTING_EVENTS_SCHEMA
+    from netwatch.streaming import ParquetBatchSink
+
+    rows = routing_events(routing_fixture(load_table(spark, ROOT, "events")))
+    rows = rows.withColumn("timestamp", F.timestamp_add("DAY", F.col("med") % 3, F.col("timestamp")).cast("timestamp"))
+    ParquetBatchSink(workdir, "archive", date_column="timestamp")(rows, 0)
+    table = read_table(spark, workdir, ROUTING_EVENTS_SCHEMA)
+    one = table.filter("event_date = DATE'2024-01-02'")
+    assert "PartitionFilters: [isnotnull(event_date" in plan(one, capsys)
+    assert 0 < one.count() < table.count() == rows.count()

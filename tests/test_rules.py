@@ -95,15 +95,6 @@ def _random_lookups(spark, n=3000, seed=7):
     return lookups(spark, rows)
 
 
-def test_pane_counts_equal_builtin_sliding_windows(spark):
-    df = _random_lookups(spark)
-    for width, slide in [("30 seconds", "10 seconds"), ("60 seconds", "15 seconds")]:
-        a = windowed_counts(df, "event_time", ["source_ip"], width, slide, panes=True)
-        b = windowed_counts(df, "event_time", ["source_ip"], width, slide, panes=False)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-        assert a.count() == b.count() > 0
-
-
 def test_fused_dns_alerts_equal_union_of_rules(spark):
     df = _random_lookups(spark)
     storm = nxdomain_storm_rule(threshold=10)
@@ -169,14 +160,12 @@ def test_sliding_counts_match_brute_force(spark):
             expected[(pane - back * 10_000_000, k)] += 1
     df = lookups(spark, [(s, k, "NXDOMAIN", "A", 1, 1.0) for s, k in zip(seconds, keys)])
     t0_us = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
-    for panes in (False, True):
-        got = {}
-        for r in windowed_counts(df, "event_time", ["source_ip"], "30 seconds", "10 seconds",
-                                 panes=panes).collect():
-            start = r.window_start.replace(tzinfo=dt.timezone.utc).timestamp()
-            got[(round(start * 1_000_000) - t0_us, r.source_ip)] = r.event_count
-            assert (r.window_end - r.window_start).total_seconds() == 30
-        assert got == dict(expected)
+    got = {}
+    for r in windowed_counts(df, "event_time", ["source_ip"], "30 seconds", "10 seconds").collect():
+        start = r.window_start.replace(tzinfo=dt.timezone.utc).timestamp()
+        got[(round(start * 1_000_000) - t0_us, r.source_ip)] = r.event_count
+        assert (r.window_end - r.window_start).total_seconds() == 30
+    assert got == dict(expected)
 
 
 def test_storm_threshold_is_strict(spark):
