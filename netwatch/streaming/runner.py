@@ -252,12 +252,12 @@ class ProgressTotals(StreamingQueryListener):
             return dict(self._of(run))
 
 
-_totals: dict[int, ProgressTotals] = {}
+_totals: dict[str, ProgressTotals] = {}
 
 
 def progress_totals(spark: SparkSession) -> ProgressTotals:
     """The session's listener, added at the first call."""
-    key = id(spark.sparkContext)
+    key = spark._jsparkSession.sessionUUID()
     if key not in _totals:
         _totals[key] = ProgressTotals()
         spark.streams.addListener(_totals[key])
@@ -266,5 +266,5 @@ def progress_totals(spark: SparkSession) -> ProgressTotals:
 
 def progress_summary(query: StreamingQuery) -> dict[str, float]:
     """Batches, rows in, late rows dropped and the best rate of one query
-    since it was started by ``start_query``."""
-    return progress_totals(SparkSession.getActiveSession()).summary(query)
+    since it was started by ``start_query`` in the active session."""
+    return progress_totals(SparkSession.active()).summary(query)
