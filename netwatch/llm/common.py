@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netwatch.session import fresh_dir
 
@@ -37,6 +38,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A written table with its size checked: sent to every executor when it
+    has at most ``rows`` rows (of a few hundred bytes), else as it is, for a
+    shuffled join. Keeps a group that holds most rows of the other side
+    from being dealt to one task."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, None for null."""
     return column.cast(pa.binary()).to_pylist()
@@ -65,13 +74,23 @@ def rolling_hash(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix64(out)
 
 
-def process_cache(key: Any, make: Callable[[], Any]) -> Any:
-    """One object per worker process and key: models and vocabularies are
-    loaded once, not once per task. Holds nothing that results depend on."""
-    store = sys.modules.setdefault("_netwatch_llm_cache", types.ModuleType("_netwatch_llm_cache"))
-    if key not in store.__dict__:
-        store.__dict__[key] = make()
-    return store.__dict__[key]
+def process_cache(kind: str, key: Any, make: Callable[[], Any]) -> Any:
+    """The latest object of a kind in this worker process, made anew when the
+    key changes: models and vocabularies are loaded once, not once per task.
+    Holds nothing that results depend on."""
+    store = sys.modules.setdefault("_netwatch_llm_cache", types.ModuleType("_netwatch_llm_cache")).__dict__
+    if kind not in store or store[kind][0] != key:
+        store.pop(kind, None)
+        store[kind] = (key, make())
+    return store[kind][1]
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: Spark sends up to 10,000 rows at
+    once, which as Python texts and their results would be much memory."""
+    for every in batches:
+        for at in range(0, every.num_rows, rows):
+            yield every.slice(at, rows)
 
 
 def batch(schema: pa.Schema, *columns: Any) -> pa.RecordBatch:

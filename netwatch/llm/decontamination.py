@@ -19,6 +19,7 @@ documents are scanned against it.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -29,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, rolling_hash, table, word_hashes
+from .common import batch, process_cache, rolling_hash, slices, table, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -160,9 +161,9 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     for own in item_blocks(items, block):
         sent = spark.sparkContext.broadcast(own)
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(sent.value, radius)
-            for part in batches:
+        def scan(batches: Iterator[pa.RecordBatch], sent=sent, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            index = process_cache("items", name, lambda: ItemIndex(sent.value, radius))
+            for part in slices(batches):
                 out = [(doc, *m) for doc, text in zip(*(c.to_pylist() for c in part.columns))
                        for m in index.matches(text, similarity)]
                 if out:
@@ -183,9 +184,11 @@ def decontaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILA
 
 def _clean(sent: Broadcast, similarity: float, radius: int):
     """Whether a text has no window similar to one of the items sent."""
+    name = uuid.uuid4().hex
+
     @F.arrow_udf("boolean")
     def clean(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = ItemIndex(sent.value, radius)
+        index = process_cache("items", name, lambda: ItemIndex(sent.value, radius))
         for texts in parts:
             yield pa.array([not index.matches(t, similarity) for t in texts.to_pylist()], pa.bool_())
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batch, table
+from .common import batch, slices, table
 
 SAMPLE_DOCS = 96
 DICTIONARY_BYTES = 100 * 1024
@@ -54,10 +54,11 @@ def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int
     outside = (~F.length("text").between(*SAMPLE_CHARS)).cast("int")
     first = Window.partitionBy("lang").orderBy(outside, F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "text")
     chosen = (labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs))
+              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs)
+              .select("lang", "n", F.substring("text", 1, size).alias("text")))
     content: dict[str, list[bytes]] = {}
     for row in chosen.orderBy("lang", "n").collect():
-        content.setdefault(row.lang, []).append(letters(row.text[:size]))
+        content.setdefault(row.lang, []).append(letters(row.text))
     sizes = labelled.filter("lang IS NOT NULL").groupBy("lang").count().collect()
     out = {}
     for lang in [r.lang for r in sorted(sizes, key=lambda r: (-r["count"], r.lang)) if r.lang in content]:
@@ -122,7 +123,7 @@ def predict(docs: DataFrame, contents: Mapping[str, bytes], min_margin: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(sent.value)
-        for rows in batches:
+        for rows in slices(batches):
             found = [classify(t) for t in rows.column(1).to_pylist()]
             lang, score, margin = (list(x) for x in zip(*found)) if found else ([], [], [])
             yield batch(kind, rows.column(0), lang, score, margin,

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, batch, materialise, table
+from .common import as_bytes, batch, materialise, slices, table
 from .language_id import held_out
 from .logistic import Logistic
 from .quality_rules import text_counts
@@ -41,7 +41,7 @@ def described(docs: DataFrame, host: Column, path: Column) -> DataFrame:
                       ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             yield batch(kind, *(rows.column(i) for i in range(3)), [features(t) for t in as_bytes(rows.column(3))])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"),

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, batch, materialise, table
+from .common import as_bytes, batch, materialise, slices, table
 from .components import components
 
 SEED = 42
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     kind = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             found = [fingerprint(t, shingle_words) for t in as_bytes(rows.column(1))]
             yield batch(kind, rows.column(0), np.array(found, np.uint64).view(np.int64))
 

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, process_cache, table
+from .common import batch, process_cache, slices, table
 from .token_output import tokenizer_file
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 500_000
 # The Unicode White_Space property, fixed by the standard.
 _WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _MARKED = re.compile(f"{MARK}[^{MARK}]*")
@@ -100,10 +100,10 @@ def token_counts(docs: DataFrame, vocabulary: str | Sequence[tuple[str, float]]
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
         if isinstance(vocabulary, str):
-            counter = process_cache(("pieces", vocabulary), lambda: PieceCounter(load_vocabulary(vocabulary)))
+            counter = process_cache("pieces", vocabulary, lambda: PieceCounter(load_vocabulary(vocabulary)))
         else:
             counter = PieceCounter(vocabulary)
-        for rows in batches:
+        for rows in slices(batches):
             yield batch(kind, rows.column(0), [
                 sum(map(counter.__getitem__, _WORD.findall(t))) if t else 0 for t in rows.column(1).to_pylist()])
 

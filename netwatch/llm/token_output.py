@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from netwatch.session import fresh_dir
 
-from .common import batch, process_cache, table
+from .common import batch, process_cache, slices, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-MEMO_ENTRIES = 1_200_000
+MEMO_ENTRIES = 500_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -137,11 +137,11 @@ def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = process_cache(("encoder", tokenizer), lambda: ChunkEncoder(tokenizer))
+        encoder = process_cache("encoder", tokenizer, lambda: ChunkEncoder(tokenizer))
         part, before = TaskContext.get().partitionId(), 0
         kind = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local_start", pa.int64()),
                           ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
-        for rows in batches:
+        for rows in slices(batches):
             ids = [encoder(t or "") + end for t in rows.column(1).to_pylist()]
             sizes = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
             ends = np.cumsum(sizes)
@@ -173,7 +173,7 @@ def token_index(stored: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local_start", pa.int64()),
                           ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-        for rows in batches:
+        for rows in slices(batches):
             lists = rows.column(3)
             flat = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<u4")
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -25,7 +25,7 @@ def test_encoder_equals_the_library():
 
 
 def test_round_trip(spark, make_docs, edge_rows):
-    rows = [(d, t) for d, t in enumerate(odd_texts(300, 2), 100)] + [r[:2] for r in edge_rows]
+    rows = [(d, t) for d, t in enumerate(odd_texts(2500, 2), 100)] + [r[:2] for r in edge_rows]
     random.Random(3).shuffle(rows)
     docs = make_docs(rows).withColumn("ids", F.lit("x")).withColumn("part", F.lit(1))
     path = fresh_dir(spark, "tests", "tokens")
