@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, batch, materialise, rolling_hash, table, word_hashes
+from .common import as_bytes, batch, materialise, rolling_hash, slices, table, word_hashes
 
 WINDOW = 50
 RUN = 8
@@ -76,7 +76,7 @@ def records(docs: DataFrame, window: int, run: int) -> DataFrame:
     kind = pa.schema([(c, pa.int64()) for c in ("minimiser", "d1", "d2", "doc_id", "place")])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             keys, digests, ids, places = [], [], [], []
             for doc, text in zip(rows.column(0).to_pylist(), as_bytes(rows.column(1))):
                 if doc is None or not text:
@@ -109,7 +109,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for rows in batches:
+        for rows in slices(batches):
             yield batch(kind, rows.column(0), [
                 None if t is None else press.compress(t) for t in as_bytes(rows.column(1))])
 
@@ -125,7 +125,7 @@ def _bucket_strings(packed: DataFrame, wanted: DataFrame, window: int) -> DataFr
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for rows in batches:
+        for rows in slices(batches):
             out = []
             for doc, blob, items in zip(*(c.to_pylist() for c in rows.columns)):
                 text = press.decompress(blob)
@@ -216,17 +216,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN, bucket
 
     string = ["minimiser", "d1", "d2"]
     owned = materialise(met.groupBy(*string).agg(
-        F.min(F.struct("doc_id", "place")).alias("own"), F.max("doc_id").alias("last")), "skm_owned")
-    copied = owned.filter("own.doc_id < last").select(*string, F.col("own.doc_id").alias("owner"))
-    whole = met.join(copied, string).filter("doc_id > owner").select("doc_id", "place")
+        F.min("doc_id").alias("owner"), F.min_by("place", "doc_id").alias("own_place"),
+        F.max("doc_id").alias("last"), F.count("*").alias("n")), "skm_owned")
+    # Other occurrences: of larger documents, or in another row of the owner.
+    others = materialise(
+        met.join(owned.filter("n > 1").select(*string, "owner", "own_place"), string)
+        .filter("doc_id > owner OR place <> own_place")
+        .select("minimiser", "doc_id", "place", (F.col("doc_id") > F.col("owner")).alias("gone")), "skm_others")
+    whole = others.filter("gone").select("doc_id", "place")
 
     buckets = materialise(
         owned.groupBy("minimiser").agg(
-            F.count("*").alias("strings"), F.min("own.doc_id").alias("x"), F.max("own.doc_id").alias("y"))
+            F.count("*").alias("strings"), F.min("owner").alias("x"), F.max("owner").alias("y"))
         .filter("strings > 1 AND x < y").select("minimiser", (F.col("strings") > bucket).alias("large")), "skm_buckets")
-    wanted = (owned.join(buckets, "minimiser")
-              .groupBy(F.col("own.doc_id").alias("doc_id"))
-              .agg(F.collect_list(F.struct("minimiser", F.col("own.place").alias("place"), "large")).alias("items")))
+    travel = (owned.select("minimiser", F.col("owner").alias("doc_id"), F.col("own_place").alias("place"))
+              .unionByName(others.filter("NOT gone").select("minimiser", "doc_id", "place")))
+    wanted = (travel.join(buckets, "minimiser").groupBy("doc_id")
+              .agg(F.collect_list(F.struct("minimiser", "place", "large")).alias("items")))
     strings = materialise(_bucket_strings(packed, wanted, window), "skm_strings")
     compared = _sorted_buckets(strings.filter("words IS NOT NULL").select("minimiser", "doc_id", "place", "words"), window)
 
@@ -279,7 +285,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN, bucket
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for rows in batches:
+        for rows in slices(batches):
             out, size = [], 0
             for doc, blob, places in zip(*(c.to_pylist() for c in rows.columns)):
                 text = b"" if blob is None else press.decompress(blob)

@@ -67,6 +67,13 @@ def test_one_id_with_two_texts(make_docs):
     assert run(make_docs(rows)) == brute(rows, 50)
 
 
+@pytest.mark.parametrize("bucket", [1000, 1])
+def test_ids_repeated_with_other_texts(make_docs, bucket):
+    rng = random.Random(8)
+    rows = [(rng.randrange(12), " ".join(rng.choice("ab") for _ in range(rng.randint(0, 40)))) for _ in range(60)]
+    assert run(make_docs(rows), window=7, run=3, bucket=bucket) == brute(rows, 7)
+
+
 def test_kept_text_and_empty_table(make_docs):
     text = " ".join(f"w{i}" for i in range(60))
     kept = {r.doc_id: r.kept for r in remove_repeats(make_docs([(1, text), (2, "before " + text)])).collect()}
