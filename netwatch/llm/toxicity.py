@@ -14,8 +14,8 @@ characters of a class, at any size of the corpus: so the model has at most
 shared counts, where both models agree.
 
 A text's features are the difference of the two log-likelihoods per
-character, the part of it that comes from words the toxic model clearly
-prefers, and the length. Labelled texts that the counts have not seen turn them into a
+character, the parts of it that come from words the toxic model clearly
+prefers (``CLEAR``), and the length. Labelled texts that the counts have not seen turn them into a
 probability (logistic, at most ``SAMPLE`` rows).
 """
 
@@ -32,21 +32,20 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, materialise, process_cache, table
+from .common import batch, materialise, process_cache, slices, table
 from .language_id import held_out
 from .logistic import Logistic
 from .substring_dedup import packed_texts
 
 ORDER = 6
 DISCOUNT = 0.75
-PRIOR = 400.0
+PRIOR = 100.0
 FREQUENCY = 1e-6
 SAMPLE = 20_000
-CLEAR = 2.0
-MEMO_ENTRIES = 500_000
+CLEAR = (2.0, 3.0)
+MEMO_ENTRIES = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _OPEN, _CLOSE = "\x02", "\x03"
-_SCORED = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
 
 def sequences(word: str, order: int = ORDER) -> list[str]:
@@ -76,7 +75,8 @@ def count_sequences(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> D
             every = list(grams[0].keys() | grams[1].keys())
             yield batch(kind, every, [grams[1][g] for g in every], [grams[0][g] for g in every])
 
-    return (packed_texts(docs).join(labels, "doc_id").select("packed", F.col("label").cast("int").alias("label"))
+    # A shuffled join at every size: labels grow with the corpus.
+    return (packed_texts(docs).join(labels.hint("merge"), "doc_id").select("packed", F.col("label").cast("int").alias("label"))
             .mapInArrow(run, "gram string, toxic long, ordinary long")
             .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
@@ -144,11 +144,11 @@ class WordScores(dict):
     def features(self, text: str | None) -> list[float]:
         words = _WORD.findall((text or "").lower())
         if not words:
-            return [0.0, math.log(1e-3), math.log(20)]
+            return [0.0, *(math.log(1e-3) for _ in CLEAR), math.log(20)]
         values = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
         size = max(20, sum(map(len, words)) + len(words))
-        clear = float(values[values > CLEAR].sum())
-        return [float(values.sum()) / size, math.log(1e-3 + clear / size), math.log(size)]
+        clear = [math.log(1e-3 + float(values[values > c].sum()) / size) for c in CLEAR]
+        return [float(values.sum()) / size, *clear, math.log(size)]
 
 
 def build(counts: DataFrame, frequency: float = FREQUENCY) -> Model:
@@ -172,15 +172,19 @@ def build(counts: DataFrame, frequency: float = FREQUENCY) -> Model:
                  left.join(wanted.select(F.expr(_CONTEXT).alias("context")).distinct(), "context", "left_semi").collect())
 
 
-def _features(rows: DataFrame, sent, name: str) -> DataFrame:
-    """doc_id and features of rows (doc_id, text)."""
+def _scan(rows: DataFrame, sent, name: str, curve: Logistic | None = None) -> DataFrame:
+    """doc_id and features x of rows (doc_id, text), or with a fitted curve
+    doc_id and score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = process_cache(("toxicity", name), lambda: WordScores(*sent.value))
-        for part in batches:
-            yield batch(_SCORED, part.column(0), [scores.features(t) for t in part.column(1).to_pylist()])
+        scores = process_cache("toxicity", name, lambda: WordScores(*sent.value))
+        kind = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64())) if curve is None
+                          else ("score", pa.float64())])
+        for part in slices(batches):
+            found = [scores.features(t) for t in part.column(1).to_pylist()]
+            yield batch(kind, part.column(0), found if curve is None else curve.probability(np.array(found)))
 
     return (rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, x array<double>"))
+            .mapInArrow(run, "doc_id long, x array<double>" if curve is None else "doc_id long, score double"))
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, frequency: float = FREQUENCY) -> DataFrame:
@@ -209,18 +213,11 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, frequency: f
     if n > sample:
         drawn = drawn.filter(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < int(1_000_000 * sample / n))
     # About ``sample`` ids of 16 bytes: small enough to send.
-    fitted = _features(docs.join(F.broadcast(drawn.select("doc_id").limit(2 * sample)), "doc_id", "left_semi"), sent, name)
+    fitted = _scan(docs.join(F.broadcast(drawn.select("doc_id").limit(2 * sample)), "doc_id", "left_semi"), sent, name)
     found = fitted.join(drawn, "doc_id").select("x", "label").collect()
-    curve = Logistic(np.array([r.x for r in found], float).reshape(-1, 3), np.array([r.label for r in found]))
+    curve = Logistic(np.array([r.x for r in found], float).reshape(-1, 2 + len(CLEAR)), np.array([r.label for r in found]))
 
-    kind = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            yield batch(kind, rows.column(0), curve.probability(rows.column(1).flatten().to_numpy(zero_copy_only=False)))
-
-    return (_features(docs, sent, name).mapInArrow(judge, "doc_id long, score double")
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    return _scan(docs, sent, name, curve).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
