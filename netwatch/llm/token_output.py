@@ -32,7 +32,7 @@ from .common import batch, process_cache, slices, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 1_000_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -86,7 +86,10 @@ class ChunkEncoder(dict):
         return text.replace(" ", "\0 ").split("\0")
 
     def __missing__(self, chunk: str) -> bytes:
-        if chunk.isascii() or max(chunk) < "\u0250":
+        plain = chunk.isascii() or max(chunk) < "\u0250"
+        if plain and chunk.removeprefix(" ").isalpha():
+            ids = self._merge(chunk)  # letters are one piece
+        elif plain:
             pieces = _PIECE.findall(chunk)
             if len(pieces) == 1:
                 ids = self._merge(chunk)
