@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, name: str) -> DataFrame:
     """edges(a, b): for each node, link its larger neighbours to the
-    smallest among itself and its neighbours."""
+    smallest among itself and its neighbours. The minima are a written
+    table, so that the join may split the rows of a node with very many
+    neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = materialise(
+        both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}_least")
     return (both.filter("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
 
@@ -43,7 +46,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") > F.col("b"))).distinct(), name)
     mark = _mark(current)
     while mark[0]:
-        current = materialise(_small_star(_large_star(current)), name)
+        current = materialise(_small_star(_large_star(current, name)), name)
         new = _mark(current)
         if new == mark:
             break
