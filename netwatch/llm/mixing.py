@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, materialise, table
+from .common import WORD_PATTERN, materialise, small, table
 
 SEED = 20_240_601
 MAX_EPOCHS = 4
@@ -110,7 +110,7 @@ def plan(sized: DataFrame, budget: Column, weights: Mapping[str, Mapping[str, fl
     targets = materialise(targets.select(
         *_PATH, F.expr("CAST(floor(round(budget, 3)) AS BIGINT) div supply").cast("int").alias("epochs"),
         (tokens % F.col("supply")).alias("rest")), "mix_targets")
-    keyed = _with_leaf(sized, targets).select(
+    keyed = _with_leaf(sized, small(targets)).select(
         *_PATH, "n_tokens", "rest", _order_key(seed, F.col("epochs")).alias("key")).filter("rest > 0")
     sums = keyed.groupBy(*_PATH, "rest", F.substring("key", 1, 3).alias("bucket")).agg(F.sum("n_tokens").alias("n"))
     order = Window.partitionBy(*_PATH).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -125,7 +125,7 @@ def plan(sized: DataFrame, budget: Column, weights: Mapping[str, Mapping[str, fl
     cutoffs = ends.select(*_PATH, F.col("bucket").alias("end")).alias("e")
     cutoffs = _with_leaf(cutoffs, taken.groupBy(*_PATH).agg(F.max("key").alias("key")), how="left").select(
         *_PATH, F.coalesce("key", "end").alias("cutoff"))
-    return materialise(_with_leaf(targets, cutoffs, how="left").select(*_PATH, "epochs", "cutoff"), "mix_plan")
+    return small(materialise(_with_leaf(targets, cutoffs, how="left").select(*_PATH, "epochs", "cutoff"), "mix_plan"))
 
 
 def _with_leaf(rows: DataFrame, leaves: DataFrame, also: list[str] = [], how: str = "inner") -> DataFrame:  # noqa: B006

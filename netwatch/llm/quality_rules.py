@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, batch, materialise, rolling_hash, table, word_hashes
+from .common import as_bytes, batch, materialise, rolling_hash, slices, small, table, word_hashes
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -96,7 +96,7 @@ def statistics(docs: DataFrame) -> DataFrame:
                      + [(c, pa.int64()) for c in _COUNTS] + [(c, pa.float64()) for c in _X])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches):
             found = [text_counts(t) for t in as_bytes(rows.column(3))]
             counts = np.array([c for c, _ in found], np.int64).reshape(-1, len(_COUNTS))
             vectors = np.array([v for _, v in found], np.float64).reshape(-1, DIMENSIONS)
@@ -194,6 +194,7 @@ def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVE
     pairs = stats.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"))
     large = (pairs.select(F.explode(F.array(*sites)).alias("site"), "n").groupBy("site").agg(F.sum("n").alias("n"))
              .filter((F.col("n") >= min_docs) | (F.col("site") == "[]")).select("site"))
+    large = small(materialise(large, "mcd_sites_large"))
     levels = materialise(good.select(F.explode(F.array(*sites)).alias("site"), *_X).join(large, "site"), "mcd_levels")
 
     # Covariance of the central share of a normal, scaled to the whole.
@@ -202,9 +203,9 @@ def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVE
     estimate = materialise(_start(levels), "mcd")
     total = math.inf
     for _ in range(steps):
-        measured = levels.join(estimate, "site").withColumn("d2", _distance())
+        measured = levels.join(small(estimate), "site").withColumn("d2", _distance())
         edge = materialise(measured.groupBy("site").agg(F.percentile_approx("d2", coverage).alias("edge")), "mcd_edge")
-        centred = measured.join(edge, "site").filter("d2 <= edge").select(
+        centred = measured.join(small(edge), "site").filter("d2 <= edge").select(
             "site", *(f"c{i}" for i in range(DIMENSIONS)),
             *((F.col(f"x{i}") - F.col(f"c{i}")).alias(f"y{i}") for i in range(DIMENSIONS)))
         sums = centred.groupBy("site").agg(
@@ -243,7 +244,7 @@ def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, coverage: float = C
     empty table gives an empty result.
     """
     stats = materialise(statistics(docs), "quality_stats")
-    judged = _verdict(stats, estimates(stats, min_docs, coverage), tail)
+    judged = _verdict(stats, small(materialise(estimates(stats, min_docs, coverage), "mcd_sites")), tail)
     return judged.select("doc_id", *_COUNTS, "base_failed", "kept", _distance().alias("distance"))
 
 
@@ -251,7 +252,7 @@ def accepted(docs: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVERA
     """The documents that pass, with all their columns. The statistics are
     computed once for the estimates and again next to the text, which is
     cheaper than moving every text to its statistics."""
-    estimate = materialise(estimates(materialise(statistics(docs), "quality_stats"), min_docs, coverage), "mcd_sites")
+    estimate = small(materialise(estimates(materialise(statistics(docs), "quality_stats"), min_docs, coverage), "mcd_sites"))
 
     @F.arrow_udf("struct<n_words: long, n_repeat_words: long, x: array<double>>")
     def vector(text: pa.Array) -> pa.Array:
