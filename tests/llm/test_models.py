@@ -157,3 +157,19 @@ def test_logistic():
     model = Logistic(x, (x[:, 0] > 1.5).astype(int))
     assert model.probability([[0.0]])[0] < 0.1 < 0.9 < model.probability([[3.0]])[0]
     assert Logistic(np.empty((0, 2)), np.empty(0)).probability([[1.0, 2.0]])[0] == pytest.approx(0.25)
+
+
+def test_toxicity_model_keeps_rare_sequences(spark):
+    """Nothing is cut when a class has very many sequences."""
+    rows = [("\x02a", 30_000_000, 40_000_000), ("a\x03", 30_000_000, 40_000_000), ("\x02q", 20, 0), ("\x02qa", 0, 3), ("\x02z", 1, 0)]
+    model = tx.build(spark.createDataFrame(rows, "gram string, toxic long, ordinary long"))
+    assert set(model.grams) == {g for g, *_ in rows}
+    assert model.grams["\x02q"] > 0 > model.grams["\x02qa"]
+
+
+def test_toxicity_of_texts_does_not_depend_on_what_is_sent(make_docs, spark):
+    rows, labels = toxic_rows(200)
+    rows += [(900, None), (901, ""), (3, rows[3][1]), (902, "zorkel unseen wörd 漢字")]
+    frame = spark.createDataFrame(labels, "doc_id long, label int")
+    scores = [sorted((r.doc_id, round(r.score, 9)) for r in tx.score(make_docs(rows), frame, held=h).collect()) for h in (0, 150, 10**6)]
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == len(rows)
