@@ -23,6 +23,7 @@ probability (logistic, at most ``SAMPLE`` rows).
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections import Counter
@@ -301,12 +302,29 @@ def _judge(rows: DataFrame, curve: Logistic) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def calibration(known: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, label of the ids that the counts leave out: of each label the
+    same share, those with the lowest hash, a quarter of the ids or ``sample``
+    when that is less. A label with one id only stays with the counts."""
+    kinds = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    share = min(0.25, sample / max(1, sum(kinds.values())))
+    order = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 53)).alias("order")
+    found = []
+    for label, n in kinds.items():
+        take = math.ceil(n * share) if n > 1 else 0
+        # Some more than are taken, not all ids, come to the driver.
+        below = min(1.0, (take + 8 * math.sqrt(take) + 40) / n)
+        drawn = known.filter(F.col("label") == label).select(order, "doc_id").filter(F.col("order") <= int(below * (1 << 53)))
+        found += [(r.doc_id, label) for r in sorted(drawn.collect())[:take]]
+    return known.sparkSession.createDataFrame(found, "doc_id long, label int")
+
+
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held: int = HELD) -> DataFrame:
     """doc_id, score (0 to 1), predicted (score >= 0.5) of every row.
 
-    ``labels``: doc_id, label. One id in four (by hash) is kept from the
-    counts for the final fit; with under five labels of a kind there, the
-    fit takes all labelled ids. Labels other than 0 and 1 and null ids are
+    ``labels``: doc_id, label. A calibration sample is kept from the counts
+    for the final fit, all other labelled texts are counted; see
+    ``calibration``. Labels other than 0 and 1 and null ids are
     ignored; an id labelled twice counts as 1 if one label says so. Null
     and empty texts have no evidence and get what that is worth. Without
     labels of both kinds the score is a constant. Repeated rows are scored
@@ -315,18 +333,10 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held: int =
     known = materialise(
         labels.filter("doc_id IS NOT NULL AND label IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "label")
         .groupBy("doc_id").agg(F.max("label").alias("label")), "toxic_labels")
-    part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(4))
-    kinds = {(r.fit, r.label): r["count"] for r in known.groupBy((part == 0).alias("fit"), "label").count().collect()}
-    apart = min(kinds.get((True, 0), 0), kinds.get((True, 1), 0)) >= 5
-    words = materialise(count_words(docs, known.filter(part != 0) if apart else known), "toxic_words")
+    apart = F.broadcast(calibration(known, sample))
+    words = materialise(count_words(docs, known.join(apart, "doc_id", "left_anti")), "toxic_words")
     rows = features(docs, word_values(words, build(_sequences_of(words, ORDER)), held), held)
-
-    drawn = known.filter(part == 0) if apart else known
-    n = sum(c for (fit, _), c in kinds.items() if fit or not apart)
-    if n > sample:
-        drawn = drawn.filter(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    # About ``sample`` ids of 16 bytes: small enough to send.
-    found = rows.join(F.broadcast(drawn.limit(2 * sample)), "doc_id").select("x", "label").collect()
+    found = rows.join(apart, "doc_id").select("x", "label").collect()
     curve = Logistic(np.array([r.x for r in found], float).reshape(-1, 2 + len(CLEAR)), np.array([r.label for r in found]))
 
     return _judge(rows, curve).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

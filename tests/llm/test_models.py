@@ -173,3 +173,18 @@ def test_toxicity_of_texts_does_not_depend_on_what_is_sent(make_docs, spark):
     frame = spark.createDataFrame(labels, "doc_id long, label int")
     scores = [sorted((r.doc_id, round(r.score, 9)) for r in tx.score(make_docs(rows), frame, held=h).collect()) for h in (0, 150, 10**6)]
     assert scores[0] == scores[1] == scores[2] and len(scores[0]) == len(rows)
+
+
+def test_toxicity_counts_all_but_a_bounded_sample(make_docs, spark, monkeypatch):
+    rows, labels = toxic_rows(600)
+    counted = []
+    real = tx.packed_texts
+    monkeypatch.setattr(tx, "packed_texts", lambda docs: type("Spy", (), {"join": lambda self, other, *a: (
+        counted.append(other.count()), real(docs).join(other, *a))[1]})())
+    frame = spark.createDataFrame(labels, "doc_id long, label int")
+    assert tx.score(make_docs(rows), frame, sample=60).count() == len(rows)
+    assert 540 - 2 <= counted[0] <= 540
+    for n, sample in ((600, 60), (600, 20_000), (12, 20_000)):
+        drawn = tx.calibration(frame.filter(F.col("doc_id") < n), sample).collect()
+        assert min(sample, n / 4) <= len(drawn) <= min(sample, n / 4) + 2 and {r.label for r in drawn} == {0, 1}
+    assert tx.calibration(spark.createDataFrame([(1, 1)], "doc_id long, label int")).count() == 0
