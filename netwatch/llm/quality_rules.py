@@ -6,12 +6,15 @@ spread of the bulk of the documents; a document whose Mahalanobis distance
 is far beyond what that bulk allows is rejected. Fixed base rules come
 first, and documents that fail them take no part in the estimates.
 
-The estimate starts from medians and quartiles and takes concentration
-steps: distances under the current estimate, the quantile below which a
-share ``COVERAGE`` of a site's documents lie, then mean and covariance of
-those. Each step is a grouped quantile sketch and grouped sums over all
-documents, so a site with a third of all rows is pre-aggregated like any
-other. Sites with fewer than ``MIN_DOCS`` documents take the estimate of
+The estimate starts from three places (medians with quartile ranges, the
+shortest half of each coordinate, medians with the smallest spreads) and takes
+concentration steps from each: distances under the current estimate, the
+quantile below which a share ``COVERAGE`` of a site's documents lie, then mean
+and covariance of those. The smallest determinant wins. Half of the documents
+is the share that withstands most junk: a core of more must contain some of it
+once a site has more junk than the rest. Each step is a grouped quantile
+sketch and grouped sums over all documents, so a site with a third of all rows
+is pre-aggregated like any other. Sites with fewer than ``MIN_DOCS`` documents take the estimate of
 their language, languages with fewer that of all documents.
 """
 
@@ -31,7 +34,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 MIN_DOCS = 200
-COVERAGE = 0.75
+COVERAGE = 0.5
 STEPS = 8
 # A document is rejected beyond this upper tail of the distance of a normal
 # vector; the statistics have longer tails, so the level is far out.
@@ -145,19 +148,19 @@ def _distance():
 
 _PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
 _ESTIMATE = [f"c{i}" for i in range(DIMENSIONS)] + [f"w{i}{j}" for i, j in _PAIRS] + ["logdet"]
-_ESTIMATE_SCHEMA = "site string, " + ", ".join(f"{c} double" for c in _ESTIMATE)
+_ESTIMATE_SCHEMA = "site string, start int, " + ", ".join(f"{c} double" for c in _ESTIMATE)
 
 
 def _whiten(sums: DataFrame, scale: float) -> DataFrame:
-    """Per site: (n, old centre, sums of deviations and their products) ->
+    """Per site and start: (n, old centre, sums of deviations and their products) ->
     centre and the inverse Cholesky factor of the scaled covariance."""
     floors = np.diag(np.square(FLOORS))
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([("site", pa.string())] + [(c, pa.float64()) for c in _ESTIMATE])
+        kind = pa.schema([("site", pa.string()), ("start", pa.int32())] + [(c, pa.float64()) for c in _ESTIMATE])
         for rows in batches:
             out = []
-            for site, n, *rest in zip(*(c.to_pylist() for c in rows.columns)):
+            for site, start, n, *rest in zip(*(c.to_pylist() for c in rows.columns)):
                 old = np.array(rest[:DIMENSIONS])
                 mean = np.array(rest[DIMENSIONS:2 * DIMENSIONS]) / n
                 cov = np.zeros((DIMENSIONS, DIMENSIONS))
@@ -165,24 +168,39 @@ def _whiten(sums: DataFrame, scale: float) -> DataFrame:
                     cov[i, j] = cov[j, i] = s / n - mean[i] * mean[j]
                 cov = cov * scale + floors
                 w = np.linalg.inv(np.linalg.cholesky(cov))
-                out.append((site, *(old + mean), *(w[i, j] for i, j in _PAIRS), np.linalg.slogdet(cov)[1]))
+                out.append((site, start, *(old + mean), *(w[i, j] for i, j in _PAIRS), np.linalg.slogdet(cov)[1]))
             if out:
                 yield batch(kind, *map(list, zip(*out)))
 
     return sums.mapInArrow(solve, _ESTIMATE_SCHEMA)
 
 
-def _start(levels: DataFrame) -> DataFrame:
-    """Medians, and quartile ranges as independent spreads."""
-    quartiles = levels.groupBy("site").agg(*(
-        F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75]).alias(f"q{i}") for i in range(DIMENSIONS)))
-    def spread(i: int):
-        iqr = (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349
-        return F.sqrt(iqr * iqr + FLOORS[i] ** 2)
-    return quartiles.select(
-        "site", *(F.col(f"q{i}")[1].alias(f"c{i}") for i in range(DIMENSIONS)),
-        *((1 / spread(i) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in _PAIRS),
-        F.lit(float("inf")).alias("logdet"))
+def _starts(levels: DataFrame) -> DataFrame:
+    """Three centres with independent spreads, from the quantiles of a site."""
+    marks = levels.groupBy("site").agg(*(
+        F.percentile_approx(f"x{i}", [k / 20 for k in range(21)]).alias(f"q{i}") for i in range(DIMENSIONS)))
+    marks = materialise(marks, "mcd_marks")
+
+    def medians(i: int):
+        return F.col(f"q{i}")[10], (F.col(f"q{i}")[15] - F.col(f"q{i}")[5]) / 1.349
+
+    def shortest(i: int):
+        q = F.col(f"q{i}")
+        half = F.array_min(F.array(*(F.struct((q[k + 10] - q[k]).alias("length"), q[k].alias("low")) for k in range(11))))
+        return half["low"] + half["length"] / 2, half["length"] / 1.349
+
+    def nearest(i: int):
+        return F.col(f"q{i}")[10], F.lit(0.0)
+
+    out = None
+    for start, of in enumerate((medians, shortest, nearest)):
+        centres, spreads = zip(*(of(i) for i in range(DIMENSIONS)))
+        one = marks.select(
+            "site", F.lit(start).alias("start"), *(c.alias(f"c{i}") for i, c in enumerate(centres)),
+            *((1 / F.sqrt(spreads[i] * spreads[i] + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in _PAIRS),
+            F.lit(float("inf")).alias("logdet"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVERAGE, steps: int = STEPS) -> DataFrame:
@@ -200,15 +218,15 @@ def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVE
     # Covariance of the central share of a normal, scaled to the whole.
     inner = _quantile(1 - coverage, DIMENSIONS)
     scale = coverage / (1 - _upper_tail(inner, DIMENSIONS + 2))
-    estimate = materialise(_start(levels), "mcd")
+    estimate = materialise(_starts(levels), "mcd")
     total = math.inf
     for _ in range(steps):
         measured = levels.join(small(estimate), "site").withColumn("d2", _distance())
-        edge = materialise(measured.groupBy("site").agg(F.percentile_approx("d2", coverage).alias("edge")), "mcd_edge")
-        centred = measured.join(small(edge), "site").filter("d2 <= edge").select(
-            "site", *(f"c{i}" for i in range(DIMENSIONS)),
+        edge = materialise(measured.groupBy("site", "start").agg(F.percentile_approx("d2", coverage).alias("edge")), "mcd_edge")
+        centred = measured.join(small(edge), ["site", "start"]).filter("d2 <= edge").select(
+            "site", "start", *(f"c{i}" for i in range(DIMENSIONS)),
             *((F.col(f"x{i}") - F.col(f"c{i}")).alias(f"y{i}") for i in range(DIMENSIONS)))
-        sums = centred.groupBy("site").agg(
+        sums = centred.groupBy("site", "start").agg(
             F.count("*").alias("n"), *(F.first(f"c{i}").alias(f"c{i}") for i in range(DIMENSIONS)),
             *(F.sum(f"y{i}").alias(f"s{i}") for i in range(DIMENSIONS)),
             *(F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"p{i}{j}") for i, j in _PAIRS))
@@ -217,6 +235,8 @@ def estimates(stats: DataFrame, min_docs: int = MIN_DOCS, coverage: float = COVE
         if new is None or abs(total - new) < 1e-3:
             break
         total = new
+    best = estimate.groupBy("site").agg(F.min(F.struct("logdet", "start", *_ESTIMATE[:-1])).alias("e"))
+    estimate = materialise(best.select("site", *(F.col(f"e.{c}").alias(c) for c in _ESTIMATE)), "mcd")
     named = pairs.select("lang", "source", *(s.alias(f"site{i}") for i, s in enumerate(sites)))
     for i in range(3):
         named = named.join(estimate.select(F.col("site").alias(f"site{i}"), F.struct(*_ESTIMATE).alias(f"e{i}")),

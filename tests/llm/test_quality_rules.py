@@ -90,3 +90,16 @@ def test_edge_rows_and_columns(make_docs, edge_rows):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in out if r.kept)
     assert q.quality_rules(make_docs([])).collect() == []
     assert q.accepted(make_docs([])).collect() == []
+
+
+def test_site_of_forty_percent_junk(make_docs):
+    """Junk does not enter the core of a site that has much of it."""
+    rng = random.Random(5)
+    rows = []
+    for d in range(800):
+        words = ["".join(rng.choice("aeiourstln") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(60, 200))]
+        if d % 5 < 2:
+            words = [w + "#" * rng.randint(0, 2) for w in words]
+        rows.append((d, " ".join(words), "en", "spam"))
+    found = q.quality_rules(make_docs(rows)).collect()
+    assert {r.doc_id for r in found if not r.kept} == {d for d, *_ in rows if d % 5 < 2}
