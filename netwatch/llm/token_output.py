@@ -14,6 +14,7 @@ than its own range and a list with one row per range.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -69,6 +70,8 @@ class ChunkEncoder(dict):
     the chunks between such places one by one gives the ids of the whole
     text. Texts where a cut could fall inside a run of white space are cut
     only after words; texts holding an added token go to the library whole.
+    So do all texts when the file's own steps before merging are not plain
+    byte-level ones: ``chunked`` is False.
     """
 
     def __init__(self, name: str):
@@ -78,8 +81,17 @@ class ChunkEncoder(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         self.model = self.tokenizer.model
         self.word = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.chunked = self._plain()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def _plain(self) -> bool:
+        """Whether the file has no normalizer and cuts at byte-level pieces only."""
+        # The one step's state: the file as a whole is large to parse again.
+        step = self.tokenizer.pre_tokenizer
+        cut = {} if step is None else json.loads(step.__getstate__())
+        return (self.tokenizer.normalizer is None and cut.get("type") == "ByteLevel"
+                and cut.get("add_prefix_space") is False and cut.get("use_regex", True) is True)
+
     def _chunks(self, text: str) -> list[str]:
         if "\0" in text or _INSIDE_RUN.search(text):
             return _AFTER_WORD.split(text)
@@ -115,7 +127,7 @@ class ChunkEncoder(dict):
         return b"".join([self.word[t.id] for t in self.model.tokenize(piece)])
 
     def __call__(self, text: str) -> bytes:
-        if any(t in text for t in self.added):
+        if not self.chunked or any(t in text for t in self.added):
             return self._library(text)
         return b"".join(map(self.__getitem__, self._chunks(text)))
 

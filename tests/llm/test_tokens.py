@@ -91,3 +91,12 @@ def test_ties_and_unknowns(by_bytes):
     for _ in range(2000):
         word = "".join(rng.choice("aabbcé▁") for _ in range(rng.randint(1, 12)))
         assert counter[word] == len(library.encode(word).ids), word
+
+
+def test_files_with_other_pieces_are_encoded_whole():
+    """A normalizer or other pre-tokenizer in the file is obeyed."""
+    encoder = to.ChunkEncoder("word_bpe_49k.json")
+    for text in ("Hello World 2024, plain  Latin Text.", "Café café 漢字", "", " a\n\nb "):
+        library = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder(text), "<u4").tolist() == library
+    assert to.ChunkEncoder(to.TOKENIZER).chunked and not encoder.chunked
