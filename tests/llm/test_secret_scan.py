@@ -1,0 +1,118 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from netwatch.llm.secret_scan import KINDS, REACH, ROLE, base_spans, scan, weak_spans
+
+AKIA = "AKIA" + "Q7" * 8
+HEX40 = "0123456789abcdef" * 2 + "deadbeef"
+
+
+def base_by_hand(text):
+    """The base rules, written out plainly."""
+    out = []
+    word = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
+    word += "|[aA][pP][iI]_?[kK][eE][yY]"
+    for m in re.finditer(rf"({word})[\"']?[ ]*[:=][ ]*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        if len(m.group(2)) >= 6:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return [(KINDS[k], s, e) for s, k, e in sorted(out)]
+
+
+def paragraph(text, at):
+    return len(re.findall(r"\n[ \t\r]*\n", text[:at]))
+
+
+def brute(doc, text):
+    """Every pair of parts compared."""
+    text = text or ""
+    base = base_by_hand(text)
+    weak = weak_spans(text, base)
+    hit = []
+    for k, s, e in weak:
+        for other, s2, e2 in base + weak:
+            a, b = ROLE[k], ROLE[other]
+            gap = max(s2 - e, s - e2)
+            if (a == "secret") != (b == "secret") and gap <= REACH and paragraph(text, s) == paragraph(text, s2):
+                hit.append((k, s, e))
+                break
+    spans = sorted(base + hit, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+    show = lambda rows: ",".join(f"{k}:{s}:{e}" for k, s, e in rows)
+    n = [sum(k == kind for k, _, _ in base) for kind in KINDS[:3]]
+    return (doc, *n, hashlib.sha256(show(base).encode()).hexdigest(), show(spans), len(hit))
+
+
+def key(row):
+    return str(row)
+
+
+def check(docs, rows):
+    found = scan(docs)
+    assert found.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"]
+    got = sorted(map(tuple, found.collect()), key=key)
+    assert got == sorted((brute(r[0], r[1]) for r in rows), key=key)
+    return {r[0]: r for r in got}
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("token = \"abcdef\"", ["assign:0:15"]), ("TOKEN:abcde", []), ("password=  'x'", []),
+    ("Api_Key\"  =  'abc/def+1'", ["assign:0:23"]), ("ſecret=abcdef", []), ("toKen=abcdef", []),
+    (AKIA, ["access:0:20"]), (AKIA[:19], []), ("x" + AKIA + "9", ["access:1:22"]),
+    (HEX40, ["hex:0:40"]), (HEX40[:23], []), ("é" + HEX40[:24] + "g", ["hex:1:25"]),
+    (f"secret={HEX40}", ["assign:0:47", "hex:7:47"]), ("password=token=abcdefg", ["assign:0:22"]),
+    # The leftmost match of a kind is too short and goes; it took its place all the same.
+    ("token=tok token=abcdef", ["assign:10:22"]), ("token=a\ttoken=abcdefg", ["assign:8:21"]),
+])
+def test_base_spans(text, spans):
+    found = [f"{k}:{s}:{e}" for k, s, e in base_spans(text)]
+    assert found == spans
+    assert base_spans(text) == base_by_hand(text)
+
+
+def test_weak_parts_need_a_partner_in_reach_and_scope(make_docs):
+    bare = "Zx9Kq2Lw8Rt5Yp3Mv7Bn"
+    rows = [
+        (1, f"user: alice {bare}"),                            # identifier and secret
+        (2, f"just {bare} alone"),                             # no partner
+        (3, "user: alice and login = bob"),                    # identifiers only
+        (4, f"user: alice\n\n{bare}"),                         # another paragraph
+        (5, f"user: alice\n \n{bare} host=db.example.com"),    # the endpoint is in its paragraph
+        (6, "user: alice " + "z " * 100 + bare),               # 200 + 1 code points apart
+        (7, "user: alice " + "z " * 99 + bare),                # within reach
+        (8, f"{AKIA} with {bare}"),                            # a base span is a partner
+        (9, f"postgres://u:p@db/x token={HEX40}"),             # endpoint by a base secret
+        (10, "https://www.example.com/a token=abcdefgh"),      # a plain link is no endpoint
+        (11, "é" * 50 + f" pass=hunter22 on server: a.b.c " + "漢" * 9),
+    ]
+    got = check(make_docs(rows), rows)
+    assert {d: r[-1] for d, r in got.items()} == {1: 2, 2: 0, 3: 0, 4: 0, 5: 2, 6: 0, 7: 2, 8: 1, 9: 1, 10: 0, 11: 2}
+    assert got[8][5].startswith("access:0:20,secret:26:")
+
+
+def test_generated_texts_against_brute_force(make_docs):
+    rng = random.Random(11)
+    pieces = ["user: alice", "login=bob", AKIA, AKIA[:14], HEX40, f"token = \"{HEX40}\"", "pwd=hunter2222",
+              "Aa1" * 7, "redis://cache:6379/0", "endpoint = s3.example.com:443", "\n\n", "\n", "plain words here",
+              "ünï " * 20, "x" * 120, "secret: abc", "bearer Abc123Def456Ghi7", "https://api.example.com/v1"]
+    rows = [(d, " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 40)))) for d in range(300)]
+    # One text with thousands of parts, dense and far apart.
+    rows.append((999, " ".join(rng.choice(pieces) for _ in range(6000))))
+    got = check(make_docs(rows), rows)
+    assert sum(r[-1] for r in got.values()) > 500
+
+
+def test_edge_rows(spark, make_docs, edge_rows):
+    secret = "user: x pwd=abcdefgh"
+    rows = [*edge_rows, (None, secret, None, None), (8, secret, "en", "s"), (8, secret, "en", "s")]
+    docs = make_docs(rows)
+    check(docs, rows)
+    clash = docs.withColumns({c: F.lit("x") for c in ("row", "p", "cell", "base", "weak", "more", "role")})
+    assert sorted(map(tuple, scan(clash).collect()), key=key) == sorted(map(tuple, scan(docs).collect()), key=key)
+    assert scan(docs.limit(0)).collect() == []
+    plan = scan(docs)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
