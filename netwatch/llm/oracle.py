@@ -76,4 +76,62 @@ SELECT doc_id, domain, lang, source, n_tokens, CAST(epoch AS INTEGER) AS epoch F
   SELECT *, unnest(generate_series(0, copies - 1)) AS epoch FROM chosen WHERE copies > 0)
 """
 
-SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op3_mixing": MIXING}
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || {column} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+# Unsigned CRC-32 of the decimal id, byte by byte and bit by bit.
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, b)),
+    4294967295::BIGINT), 4294967295)"""
+
+_FOLD = """sha256(array_to_string(r.run[1:idx % 16], '') || folded || array_to_string(r.run[idx % 16 + 2:], '')),
+    proof || array_to_string(r.run[1:idx % 16], '') || array_to_string(r.run[idx % 16 + 2:], '')"""
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS k, doc_id, source, {_leaf('text')} AS leaf,
+    CASE WHEN {_CRC} % 5 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS sid FROM d
+), tree(sid, level, idx, digest, n) AS (
+  SELECT sid, 0, idx, leaf, n FROM p
+  UNION ALL
+  SELECT sid, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16
+  FROM tree WHERE n > 1 GROUP BY sid, level, idx // 16, n
+), subroots AS (
+  SELECT sid, digest FROM tree WHERE n = 1
+), top(level, idx, digest, n) AS (
+  SELECT 0, sid, digest, (SELECT count(*) FROM subroots) FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16
+  FROM top WHERE n > 1 GROUP BY level, idx // 16, n
+), runs AS (
+  SELECT sid, level, idx // 16 AS above, list(digest ORDER BY idx) AS run FROM tree WHERE n > 1 GROUP BY ALL
+), top_runs AS (
+  SELECT level, idx // 16 AS above, list(digest ORDER BY idx) AS run FROM top WHERE n > 1 GROUP BY ALL
+), inside(k, sid, level, idx, n, folded, proof) AS (
+  SELECT k, sid, 0, idx, n, coalesce(tampered, leaf), '' FROM p
+  UNION ALL
+  SELECT k, c.sid, c.level + 1, idx // 16, (n + 15) // 16, {_FOLD}
+  FROM inside c JOIN runs r ON c.sid = r.sid AND c.level = r.level AND idx // 16 = above WHERE n > 1
+), over(k, level, idx, n, folded, proof) AS (
+  SELECT k, 0, sid, (SELECT count(*) FROM subroots), folded, proof FROM inside WHERE n = 1
+  UNION ALL
+  SELECT k, c.level + 1, idx // 16, (n + 15) // 16, {_FOLD}
+  FROM over c JOIN top_runs r ON c.level = r.level AND idx // 16 = above WHERE n > 1
+)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256,
+  folded AS folded_root, folded = t.digest AS verified
+FROM p JOIN over USING (k) JOIN subroots s USING (sid), top t WHERE over.n = 1 AND t.n = 1
+"""
+
+SQL = {"op1_substring_dedup": SUBSTRING_DEDUP, "op3_mixing": MIXING, "op12_merkle_manifest": MERKLE}
