@@ -24,17 +24,21 @@ from netwatch.operators.rules import (
     as_hijack_rule,
     dns_tunneling_rule,
     nxdomain_storm_rule,
+    path_anomaly_rule,
     route_flap_rule,
 )
+from netwatch.operators.metrics import lookup_metrics, routing_metrics
 from netwatch.session import build_session, shared_root
 from netwatch.sources.wire import BGP_TOPIC, DNS_TOPIC, kafka_stream, wire_file_stream
 from netwatch.streaming.runner import (
     await_any,
     jdbc_sinks,
+    parquet_sinks,
     run_until_drained,
     start_lookup_monitor,
     start_routing_monitor,
 )
+from netwatch.streaming.topics import kafka_publisher, topic_sinks
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -59,6 +63,9 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="Kafka: records per batch (bounds a catch-up after downtime)")
     p.add_argument("--fuse-windowed", action="store_true",
                    help="count the windowed rules of the monitor in one stateful query")
+    p.add_argument("--metrics", action="store_true", help="also fill the table aggregated_metrics")
+    p.add_argument("--alert-topics", action="store_true",
+                   help="also send alerts to the topics bgp_alerts / dns_alerts (needs --bootstrap)")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
     rules = p.add_argument_group("rule parameters (defaults: each rule's own)")
@@ -67,9 +74,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     rules.add_argument("--slide", action="append", default=[], metavar="RULE=DURATION")
     rules.add_argument("--watermark", action="append", default=[], metavar="RULE=DURATION")
     rules.add_argument("--known-origins", help="comma-separated AS numbers that may originate any prefix")
+    rules.add_argument("--path-anomalies", action="store_true",
+                       help="routing: alert on paths with an unexpected AS")
     rules.add_argument("--max-name-length", type=int, default=50)
     rules.add_argument("--max-entropy", type=float, default=3.5)
     args = p.parse_args(argv)
+    if args.alert_topics and not args.bootstrap:
+        p.error("--alert-topics needs --bootstrap")
     if bool(args.tables) == bool(args.jdbc_url):
         p.error("name either --tables or --jdbc-url")
     try:
@@ -88,6 +99,8 @@ def build_rules(args: argparse.Namespace) -> list[WindowRule | EventRule]:
     if args.monitor == "routing":
         origins = [int(x) for x in args.known_origins.split(",")] if args.known_origins else KNOWN_ORIGIN_AS
         rules = [route_flap_rule(), as_hijack_rule(origins)]
+        if args.path_anomalies:
+            rules.append(path_anomaly_rule())
     else:
         rules = [nxdomain_storm_rule(), dns_tunneling_rule(args.max_name_length, args.max_entropy),
                  amplification_rule()]
@@ -117,12 +130,15 @@ def main(argv=None) -> None:
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     sinks = None
     if args.jdbc_url:
-        # Batch ids start again with a new checkpoint; its folder names the run.
-        sinks = jdbc_sinks(args.jdbc_url, _pairs(args.jdbc_property), args.jdbc_batch_column,
-                           run=f"@{checkpoints}")
+        sinks = jdbc_sinks(args.jdbc_url, _pairs(args.jdbc_property), args.jdbc_batch_column)
+    if args.alert_topics:
+        sinks = topic_sinks(kafka_publisher(args.bootstrap), sinks or parquet_sinks(args.tables))
+    metrics = None
+    if args.metrics:
+        metrics = routing_metrics() if args.monitor == "routing" else lookup_metrics()
     start = start_routing_monitor if args.monitor == "routing" else start_lookup_monitor
     queries = start(wire, args.tables, checkpoints, None, trigger, rules=args.rules,
-                    fuse_windowed=args.fuse_windowed, sinks=sinks)
+                    fuse_windowed=args.fuse_windowed, sinks=sinks, metrics=metrics)
     if args.once:
         run_until_drained(queries)
     else:

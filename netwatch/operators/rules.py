@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import TimestampNTZType
 
+from netwatch.functions.prefixes import unexpected_path_as
 from netwatch.functions.time import clock_as, utc_instant
 from netwatch.operators.windows import windowed_counts
 
@@ -27,6 +28,11 @@ KNOWN_ORIGIN_AS = (
     20940, 54113, 36040, 15133, 22822, 6939, 3257, 1273, 5511, 6453,
 )
 
+# The networks of the routing simulation, in its order; an AS
+# path made of them is unsuspicious.
+PATH_AS = (15169, 32934, 16509, 8075, 13335, 20940, 1299, 3356, 6461, 2914,
+           7018, 3320, 5400, 12389, 9002)
+
 BGP = "bgp"
 DNS = "dns"
 
@@ -119,7 +125,9 @@ class WindowRule:
 
 @dataclass(frozen=True)
 class EventRule:
-    """One alert per matching event; the window bounds are the clock."""
+    """One alert per matching event; the window bounds are the clock. A
+    lookup rule names its source by ``key``, a routing rule by prefix and
+    origin."""
 
     name: str
     kind: str
@@ -132,10 +140,12 @@ class EventRule:
 
     def apply(self, df: DataFrame, clock: str | Column | None = None) -> DataFrame:
         now = clock_as(clock, df, self.time_column)
+        keys = ([F.col("prefix"), F.col("origin_as").cast("int").alias("origin_as")] if self.kind == BGP
+                else [F.col(self.key).alias(self.key)])
         return df.filter(self.predicate()).select(
             now.alias("window_start"),
             now.alias("window_end"),
-            F.col(self.key).alias(self.key),
+            *keys,
             F.lit(1).cast("long").alias("event_count"),
             F.lit(self.alert_type).alias("alert_type"),
             F.lit(self.severity).alias("severity"),
@@ -196,3 +206,13 @@ def dns_tunneling_rule(max_length: int = 50, max_entropy: float = 3.5) -> EventR
     return EventRule(
         name="dns_tunneling", kind=DNS, alert_type="DNS_TUNNELING", severity="CRITICAL",
         predicate=lambda: (F.col("domain_length") > max_length) | (F.col("entropy") > max_entropy))
+
+
+def path_anomaly_rule(expected: Sequence[int] = PATH_AS, typed: bool = False) -> EventRule:
+    """Updates whose AS path holds a network that is not expected (a foreign
+    AS put into the path). ``typed`` when the path is decoded as an array."""
+    networks = list(expected)
+    return EventRule(
+        name="path_anomaly", kind=BGP, alert_type="PATH_ANOMALY", severity="HIGH",
+        predicate=lambda: F.size(F.coalesce(
+            unexpected_path_as("as_path", networks, typed), F.array().cast("array<int>"))) > 0)

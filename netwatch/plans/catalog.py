@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from netwatch.functions.strings import name_length, shannon_entropy
 from netwatch.functions.hashing import pseudonymise
@@ -32,21 +32,30 @@ from netwatch.operators import (
     dns_events,
     dns_tunneling_rule,
     event_series,
+    hijack_by_table,
+    known_prefix_hijack,
     latest_alerts,
+    lookup_metrics,
     nxdomain_storm_rule,
+    not_listed,
+    path_anomaly_rule,
     read_table,
     recent_alerts,
     route_flap_rule,
     routing_events,
+    routing_metrics,
     union_alerts,
+    within_known,
 )
 from netwatch.plans import CLOCK
 from netwatch.schemas import SINK_PARTITIONS, TABLE_SCHEMAS
 from netwatch.session import fresh_dir, remove_dir
 from netwatch.sources import (
     ROUTING_REQUIRED,
+    allowed_origins_fixture,
     decode_lookups,
     decode_routing,
+    known_prefix_fixture,
     load_table,
     lookup_fixture,
     lookup_wire,
@@ -63,7 +72,7 @@ from netwatch.streaming.runner import (
     start_query,
     start_routing_monitor,
 )
-from netwatch.streaming.sinks import ParquetBatchSink
+from netwatch.streaming.sinks import FanOutSink, ParquetBatchSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +125,35 @@ def q_dns_alerts(spark, root):
     return dns_alerts(_lookups(spark, root), CLOCK)
 
 
+def _known(spark: SparkSession, root: str) -> DataFrame:
+    return known_prefix_fixture(load_table(spark, root, "supplier"))
+
+
+def _allowed(spark: SparkSession, root: str) -> DataFrame:
+    return allowed_origins_fixture(load_table(spark, root, "nation"))
+
+
+def q_known_prefix_hijack(spark, root):
+    return known_prefix_hijack(_routing(spark, root), _known(spark, root), CLOCK)
+
+
+def q_as_hijack_table(spark, root):
+    return hijack_by_table(_routing(spark, root), _allowed(spark, root), CLOCK)
+
+
+def q_path_anomaly(spark, root):
+    return path_anomaly_rule().apply(_routing(spark, root), CLOCK)
+
+
+LOOKUP_METRICS = lookup_metrics(width="10 seconds")
+
+
+def q_windowed_metrics(spark, root):
+    """Both metric sets; each is one aggregation of its source."""
+    return union_alerts([routing_metrics().apply(_routing(spark, root)),
+                         LOOKUP_METRICS.apply(_lookups(spark, root))])
+
+
 # -- archives and reports ---------------------------------------------------------
 
 def q_archive_routing_events(spark, root):
@@ -253,10 +291,11 @@ def _stage_slices(frames: DataFrame, run: str, order: Sequence[int]) -> str:
     return path
 
 
-def _run_stream(spark, root, kind, build, order=None):
+def _run_stream(spark, root, kind, build, order=None, join=None):
     """Stage the wire frames (in time slices when ``order`` is given), run
     ``build(decoded) -> (frame, mode, name)`` to completion with
-    availableNow, and read its table back. Returns table and query; the
+    availableNow, and read its table back. ``join`` is applied to every
+    micro-batch and may add ``known_prefix``. Returns table and query; the
     staged frames and the checkpoint are removed."""
     run = fresh_dir(spark, "runs")
     frames = routing_wire(_routing(spark, root)) if kind == BGP else lookup_wire(_lookups(spark, root))
@@ -264,12 +303,16 @@ def _run_stream(spark, root, kind, build, order=None):
     stream = wire_file_stream(spark, wire_path, FILES_PER_SLICE if order else None)
     frame, mode, name = build(decode_routing(stream) if kind == BGP else decode_lookups(stream))
     table, checkpoint = os.path.join(run, "table"), os.path.join(run, "checkpoint")
-    query = start_query(frame, ParquetBatchSink(table, name, mode=mode), checkpoint, mode, None,
-                        {"availableNow": True})
+    sink = ParquetBatchSink(table, name, mode=mode, cache=join is None)
+    schema = frame.schema
+    if join is not None:
+        schema = StructType([*schema.fields, StructField("known_prefix", StringType())])
+        sink = FanOutSink({name: (join, sink)})
+    query = start_query(frame, sink, checkpoint, mode, None, {"availableNow": True})
     run_until_drained([query])
     for path in (wire_path, checkpoint):
         remove_dir(spark, path)
-    return read_table(spark, table, frame.schema), query
+    return read_table(spark, table, schema), query
 
 
 def _plain(table: DataFrame) -> DataFrame:
@@ -302,6 +345,32 @@ def q_stream_late_rows(spark, root):
     return _plain(table).withColumn("late_groups", F.lit(dropped).cast("long"))
 
 
+def q_stream_known_prefix_hijack(spark, root):
+    """The join in the micro-batch; the registry is read by every batch."""
+    return _plain(_run_stream(
+        spark, root, BGP, lambda d: (as_hijack_rule().apply(d, CLOCK), "append", "known_prefix"),
+        join=lambda alerts: within_known(alerts, _known(alerts.sparkSession, root)))[0])
+
+
+def q_stream_as_hijack_table(spark, root):
+    """Every announced origin is counted; each batch is held against the
+    allow-list as it is then."""
+    table = _run_stream(
+        spark, root, BGP, lambda d: (as_hijack_rule(()).apply(d, CLOCK), "append", "as_hijack"),
+        join=lambda alerts: not_listed(alerts, _allowed(alerts.sparkSession, root), "origin_as"))[0]
+    return _plain(table).drop("known_prefix")
+
+
+def q_stream_windowed_metrics(spark, root):
+    return _plain(_run_stream(spark, root, DNS, lambda d: (LOOKUP_METRICS.apply(d), "append", "metrics"))[0])
+
+
+def q_stream_path_anomaly(spark, root):
+    """A routing monitor with a per-event rule among the windowed ones and a
+    metrics query next to them; its alert table."""
+    return _monitor_alerts(BGP, rules=[route_flap_rule(), path_anomaly_rule()], metrics=routing_metrics())(spark, root)
+
+
 def q_stream_archive(spark, root):
     return _plain(_run_stream(spark, root, BGP, lambda d: (routing_events(d), "append", "archive"))[0])
 
@@ -310,7 +379,7 @@ def q_stream_dns_archive(spark, root):
     return _plain(_run_stream(spark, root, DNS, lambda d: (dns_events(d), "append", "archive"))[0])
 
 
-def _monitor_alerts(kind, fuse_windowed=False):
+def _monitor_alerts(kind, fuse_windowed=False, rules=None, metrics=None):
     """Run the whole monitor of one source (all of its streaming queries in
     one session) and read its alert table back as current alerts."""
     def query(spark, root):
@@ -323,7 +392,7 @@ def _monitor_alerts(kind, fuse_windowed=False):
             wire, start, name = lookup_wire(_lookups(spark, root)), start_lookup_monitor, "dns_alerts"
         wire = _stage_wire(wire, run)
         run_until_drained(start(wire_file_stream(spark, wire), tables, checkpoints, CLOCK, once,
-                                fuse_windowed=fuse_windowed))
+                                rules=rules, fuse_windowed=fuse_windowed, metrics=metrics))
         for path in (wire, checkpoints):
             remove_dir(spark, path)
         return _wall_clock(current_alerts(
@@ -337,6 +406,10 @@ QUERIES: dict[str, Query] = {
     "nxdomain_storm": q_nxdomain_storm,
     "amplification": q_amplification,
     "dns_tunneling": q_dns_tunneling,
+    "known_prefix_hijack": q_known_prefix_hijack,
+    "as_hijack_table": q_as_hijack_table,
+    "path_anomaly": q_path_anomaly,
+    "windowed_metrics": q_windowed_metrics,
     "bgp_alerts": q_bgp_alerts,
     "dns_alerts": q_dns_alerts,
     "archive_routing_events": q_archive_routing_events,
@@ -359,6 +432,10 @@ QUERIES: dict[str, Query] = {
     "stream_nxdomain_storm": _rule_stream(nxdomain_storm_rule(), DNS, latest=True),
     "stream_amplification": _rule_stream(amplification_rule(), DNS, latest=True),
     "stream_dns_tunneling": _rule_stream(dns_tunneling_rule(), DNS),
+    "stream_known_prefix_hijack": q_stream_known_prefix_hijack,
+    "stream_as_hijack_table": q_stream_as_hijack_table,
+    "stream_windowed_metrics": q_stream_windowed_metrics,
+    "stream_path_anomaly": q_stream_path_anomaly,
     "stream_bgp_alerts": _monitor_alerts(BGP),
     "stream_bgp_alerts_fused": _monitor_alerts(BGP, fuse_windowed=True),
     "stream_dns_alerts": _monitor_alerts(DNS),

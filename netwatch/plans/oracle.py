@@ -165,7 +165,73 @@ def _sliced(source: str) -> str:
   FROM {source} f, (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM {source}))"""
 
 
+# Known blocks per supplier; a prefix lies in a block when the block is no
+# longer and both agree in the block's leading bits. The longest wins.
+KNOWN = """parts AS (
+  SELECT known_prefix, cast(split_part(known_prefix, '/', 2) AS int) AS bits,
+         list_reduce([cast(x AS bigint) FOR x IN string_split(split_part(known_prefix, '/', 1), '.')],
+                     lambda a, b: a * 256 + b) AS address
+  FROM (SELECT DISTINCT CASE s_suppkey % 4
+          WHEN 0 THEN concat('10.0.', cast(s_suppkey % 256 AS varchar), '.0/24')
+          WHEN 1 THEN concat('10.0.', cast((s_suppkey // 16) * 32 % 256 AS varchar), '.0/20')
+          WHEN 2 THEN concat('10.0.', cast(s_suppkey % 256 AS varchar), '.0/25')
+          ELSE concat('10.', cast(s_suppkey % 256 AS varchar), '.0.0/16') END AS known_prefix FROM supplier)),
+announced AS (
+  SELECT prefix, cast(split_part(prefix, '/', 2) AS int) AS own_bits,
+         list_reduce([cast(x AS bigint) FOR x IN string_split(split_part(prefix, '/', 1), '.')],
+                     lambda a, b: a * 256 + b) AS own_address
+  FROM (SELECT DISTINCT prefix FROM bgp_fx)),
+longest AS (
+  SELECT prefix, arg_max(known_prefix, bits) AS known_prefix
+  FROM announced JOIN parts ON bits <= own_bits AND own_address >> (32 - bits) = address >> (32 - bits)
+  GROUP BY prefix)"""
+_ALLOWED = f"(SELECT {_AS_LIST}[cast(n_nationkey % 15 AS int) + 1] FROM nation WHERE n_regionkey <= 2)"
+TABLE_HIJACK = _tumbling("hijack", f"event_type = 'ANNOUNCE' AND origin_as NOT IN {_ALLOWED}", ["prefix", "origin_as"],
+                         None, "BGP_HIJACK", "CRITICAL")
+# The fixture writes the foreign AS between origin and peer, and the path is
+# text; a number counts when it is on no list.
+PATH = f"""path_anomaly AS (
+  SELECT {_CLOCK_SQL} AS window_start, {_CLOCK_SQL} AS window_end, prefix, origin_as, CAST(1 AS BIGINT) AS event_count,
+         'PATH_ANOMALY' AS alert_type, 'HIGH' AS severity, {_CLOCK_SQL} AS detected_at
+  FROM bgp_fx WHERE len([x FOR x IN CAST(as_path AS INTEGER[]) IF x NOT IN ({", ".join(map(str, SIMULATED_AS))})]) > 0)"""
+
+
+def _metrics(source: str, seconds: int, labels: str, measures: dict[str, str]) -> str:
+    """One aggregate per window, one row per measure."""
+    rows = ", ".join(f"{{'metric_type': '{name}', 'metric_value': CAST({value} AS DOUBLE)}}"
+                     for name, value in measures.items())
+    return f"""SELECT window_start, window_start + INTERVAL {seconds} SECOND AS window_end, m.metric_type, m.metric_value, labels
+  FROM (SELECT window_start, labels, unnest([{rows}]) AS m
+        FROM (SELECT *, {_bucket('event_time', seconds)} AS window_start, {labels} AS labels FROM {source})
+        GROUP BY window_start, labels) WHERE m.metric_value IS NOT NULL"""
+
+
+ROUTING_METRICS = _metrics("bgp_fx", 60, "'{}'", {
+    "bgp_updates": "count(*)", "bgp_announcements": "count(*) FILTER (event_type = 'ANNOUNCE')",
+    "bgp_withdrawals": "count(*) FILTER (event_type = 'WITHDRAW')",
+    "bgp_path_changes": "count(*) FILTER (event_type = 'PATH_CHANGE')",
+    "bgp_withdrawal_share": "count(*) FILTER (event_type = 'WITHDRAW')::DOUBLE / count(*)",
+    "bgp_distinct_prefixes": "count(DISTINCT prefix)", "bgp_distinct_origins": "count(DISTINCT origin_as)",
+    "bgp_distinct_routers": "count(DISTINCT router_id)"})
+LOOKUP_METRICS = _metrics("dns_fx", 10, "concat('{\"resolver_ip\":\"', resolver_ip, '\"}')", {
+    "dns_queries": "count(*)", "dns_nxdomain_share": "count(*) FILTER (response_code = 'NXDOMAIN')::DOUBLE / count(*)",
+    "dns_any_txt_share": "count(*) FILTER (query_type IN ('ANY', 'TXT'))::DOUBLE / count(*)",
+    "dns_distinct_sources": "count(DISTINCT source_ip)", "dns_distinct_names": "count(DISTINCT queried_domain)",
+    "dns_max_entropy": "max(entropy)"})
+
 SQL: dict[str, str] = {
+    "known_prefix_hijack": _with(BGP_FX, HIJACK, KNOWN) + "SELECT * FROM hijack JOIN longest USING (prefix)",
+    "as_hijack_table": _with(BGP_FX, TABLE_HIJACK) + "SELECT * FROM hijack",
+    "path_anomaly": _with(BGP_FX, PATH) + "SELECT * FROM path_anomaly",
+    "windowed_metrics": _with(BGP_FX, DNS_FX) + f"{ROUTING_METRICS} UNION ALL {LOOKUP_METRICS}",
+    "stream_known_prefix_hijack": _with(BGP_FX, HIJACK, KNOWN)
+    + "SELECT * FROM (" + _watermarked("hijack", HIJACK_WHERE, 30) + ") JOIN longest USING (prefix)",
+    # Every announcement is counted, so every announcement moves the watermark.
+    "stream_as_hijack_table": _with(BGP_FX, TABLE_HIJACK) + _watermarked("hijack", "event_type = 'ANNOUNCE'", 30),
+    "stream_path_anomaly": _with(BGP_FX, FLAP, PATH)
+    + _watermarked("flap", FLAP_WHERE, 30) + " UNION ALL SELECT * FROM path_anomaly",
+    "stream_windowed_metrics": _with(DNS_FX) + f"SELECT * FROM ({LOOKUP_METRICS}) WHERE window_end <= "
+    "(SELECT max(event_time) FROM dns_fx) - INTERVAL 15 SECOND",
     "route_flap": _with(BGP_FX, FLAP) + "SELECT * FROM flap",
     "as_hijack": _with(BGP_FX, HIJACK) + "SELECT * FROM hijack",
     "nxdomain_storm": _with(DNS_FX, STORM) + "SELECT * FROM storm",

@@ -105,11 +105,16 @@ DNS_ALERTS_SCHEMA = _struct(
     ("source_ip", StringType()), ("event_count", LongType()), ("alert_type", StringType()),
     ("severity", StringType()), ("detected_at", TimestampType()),
 )
+METRICS_SCHEMA = _struct(
+    ("window_start", TimestampType()), ("window_end", TimestampType()), ("metric_type", StringType()),
+    ("metric_value", DoubleType()), ("labels", StringType()),
+)
 TABLE_SCHEMAS = {
     "routing_events": ROUTING_EVENTS_SCHEMA,
     "dns_events": DNS_EVENTS_SCHEMA,
     "bgp_alerts": BGP_ALERTS_SCHEMA,
     "dns_alerts": DNS_ALERTS_SCHEMA,
+    "aggregated_metrics": METRICS_SCHEMA,
 }
 ROUTING_EVENTS_COLUMNS = tuple(ROUTING_EVENTS_SCHEMA.names)
 DNS_EVENTS_COLUMNS = tuple(DNS_EVENTS_SCHEMA.names)

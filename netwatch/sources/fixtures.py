@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from netwatch.functions.hashing import pseudonymise
 from netwatch.operators.enrich import enrich_lookups
+from netwatch.operators.rules import PATH_AS
 
-# Origin networks of the routing simulation, in its order.
-SIMULATED_AS = (15169, 32934, 16509, 8075, 13335, 20940, 1299, 3356, 6461, 2914,
-                7018, 3320, 5400, 12389, 9002)
+SIMULATED_AS = PATH_AS
 # Answer lifetimes of the lookup simulation.
 SIMULATED_TTL = (60, 300, 3600, 86400)
 
@@ -91,6 +90,22 @@ def lookup_fixture(events: DataFrame, enrich: bool = True) -> DataFrame:
     return enrich_lookups(out) if enrich else out
 
 
+def known_prefix_fixture(suppliers: DataFrame) -> DataFrame:
+    """prefix: a registry of known blocks, one per supplier, of nested
+    lengths and with repeated blocks; some are narrower than any announced
+    prefix, some far from all."""
+    return suppliers.selectExpr(
+        "CASE s_suppkey % 4 WHEN 0 THEN concat('10.0.', cast(s_suppkey % 256 AS string), '.0/24') "
+        "WHEN 1 THEN concat('10.0.', cast((s_suppkey div 16) * 32 % 256 AS string), '.0/20') "
+        "WHEN 2 THEN concat('10.0.', cast(s_suppkey % 256 AS string), '.0/25') "
+        "ELSE concat('10.', cast(s_suppkey % 256 AS string), '.0.0/16') END AS prefix")
+
+
+def allowed_origins_fixture(nations: DataFrame) -> DataFrame:
+    """origin_as: an allow-list as a table, from the nations of three regions."""
+    return nations.filter("n_regionkey <= 2").selectExpr(f"{_as_array()}[cast(n_nationkey % 15 AS int)] AS origin_as")
+
+
 # Scheme, then the authority up to the first '/', ':', '?' or '#'.
 URL_HOST_PATTERN = "^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)"
 

@@ -7,16 +7,27 @@ from netwatch.streaming.runner import (
     progress_summary,
     progress_totals,
     run_until_drained,
+    start_joined_rule,
     start_lookup_monitor,
+    start_metrics,
     start_query,
     start_routing_monitor,
     start_rule,
 )
 from netwatch.streaming.sinks import FanOutSink, JdbcBatchSink, ParquetBatchSink, compact
+from netwatch.streaming.topics import (
+    TopicBatchSink,
+    alert_frames,
+    folder_publisher,
+    kafka_publisher,
+    received_alerts,
+    topic_sinks,
+)
 
 __all__ = [
-    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "await_any", "compact", "jdbc_sinks",
+    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "TopicBatchSink", "alert_frames", "await_any",
+    "compact", "folder_publisher", "jdbc_sinks", "kafka_publisher", "received_alerts",
     "parquet_sinks", "progress_summary", "progress_totals",
-    "run_until_drained", "start_lookup_monitor", "start_query", "start_routing_monitor",
-    "start_rule",
+    "run_until_drained", "start_joined_rule", "start_lookup_monitor", "start_metrics", "start_query",
+    "start_routing_monitor", "start_rule", "topic_sinks",
 ]

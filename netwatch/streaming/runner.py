@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from netwatch.operators.alerts import fused_routing_alerts, fused_window_alerts
 from netwatch.operators.archive import dns_events, routing_events
+from netwatch.operators.metrics import MetricSet
 from netwatch.operators.rules import (
     EventRule,
     WindowRule,
@@ -53,12 +54,11 @@ def parquet_sinks(table_root: str) -> SinkFactory:
 
 
 def jdbc_sinks(url: str, properties: Mapping[str, str], batch_column: str | None = None,
-               num_partitions: int | None = None, run: str = "") -> SinkFactory:
+               num_partitions: int | None = None) -> SinkFactory:
     """Database tables of the same names. With ``batch_column`` replays are
-    idempotent; ``run`` must then change with every new checkpoint."""
+    idempotent."""
     def make(table: str, writer: str, cache: bool = True, **parquet_only) -> BatchWriter:
-        return JdbcBatchSink(url, table, properties, batch_column, f"{writer}{run}",
-                             num_partitions, cache)
+        return JdbcBatchSink(url, table, properties, batch_column, writer, num_partitions, cache)
     return make
 
 
@@ -83,6 +83,28 @@ def start_rule(decoded: DataFrame, rule: WindowRule | EventRule, sink: BatchWrit
                        rule.name, trigger)
 
 
+def start_joined_rule(decoded: DataFrame, rule: WindowRule | EventRule,
+                      join: Callable[[DataFrame], DataFrame], sink: BatchWriter, checkpoint: str,
+                      clock: str | Column | None = None,
+                      trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """A rule whose alerts are joined with a reference table batch by batch.
+
+    ``join`` gets the alerts of a micro-batch and reads the table itself
+    (through ``alerts.sparkSession``), so every batch sees the table as it
+    is then, and its size is checked then. A stream-static join would keep
+    the files that were there when the query started. ``sink`` should not
+    cache: the batch is cached here.
+    """
+    return start_query(rule.apply(decoded, clock), FanOutSink({rule.name: (join, sink)}), checkpoint,
+                       rule.output_mode, rule.name, trigger)
+
+
+def start_metrics(decoded: DataFrame, metrics: MetricSet, sink: BatchWriter, checkpoint: str,
+                  trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Windowed metrics as one stateful query."""
+    return start_query(metrics.apply(decoded), sink, checkpoint, metrics.output_mode, metrics.name, trigger)
+
+
 def _alert_sink(sinks: SinkFactory, table: str, writer: str, mode: str) -> BatchWriter:
     """Alerts of a stateful query: few rows over many state partitions, so
     merged by size before they are written."""
@@ -97,6 +119,23 @@ def _stateless_outputs(sinks: SinkFactory, archive: str, rejects: str, project,
     }
 
 
+def _event_outputs(rules: Sequence[WindowRule | EventRule], table: str, sinks: SinkFactory, clock) -> dict:
+    """The per-event rules as outputs of the stateless query."""
+    return {rule.name: ((lambda df, r=rule: r.apply(df, clock)),
+                        sinks(table, rule.name, cache=False, date_column="window_start"))
+            for rule in rules if isinstance(rule, EventRule)}
+
+
+def _start_metrics(metrics: MetricSet | None, decode, sinks: SinkFactory, checkpoint_root: str,
+                   trigger) -> list[StreamingQuery]:
+    if metrics is None:
+        return []
+    sink = sinks("aggregated_metrics", metrics.name, mode=metrics.output_mode, date_column="window_start",
+                 rebalance=True)
+    return [start_metrics(decode(metrics.fields), metrics, sink, os.path.join(checkpoint_root, metrics.name),
+                          trigger)]
+
+
 def _start_windowed(rules: Sequence[WindowRule], decode, fuse, name: str, table: str,
                     sinks: SinkFactory, checkpoint_root: str, clock, trigger) -> list[StreamingQuery]:
     """One query per rule, or with ``fuse`` one for all of them, each
@@ -113,28 +152,37 @@ def _start_windowed(rules: Sequence[WindowRule], decode, fuse, name: str, table:
 def start_routing_monitor(wire: DataFrame, table_root: str | None, checkpoint_root: str,
                           clock: str | Column | None = None,
                           trigger: Mapping[str, object] | None = None,
-                          rules: list[WindowRule] | None = None,
+                          rules: list[WindowRule | EventRule] | None = None,
                           fuse_windowed: bool = False,
-                          sinks: SinkFactory | None = None) -> list[StreamingQuery]:
-    """Archive (+ dead letters) and the windowed routing rules.
+                          sinks: SinkFactory | None = None,
+                          metrics: MetricSet | None = None) -> list[StreamingQuery]:
+    """Archive (+ dead letters), the routing rules, metrics on request.
 
     Tables: ``routing_events``, ``routing_rejects`` (malformed frames and
     frames without a required field, with the raw text and the reason; they
     stay in the archive) and ``bgp_alerts``; parquet below ``table_root``
-    unless ``sinks`` makes others. One stateless query writes the archive
-    and the rejects from the same micro-batch; each windowed rule is its own
-    query and decodes without carrying the raw text. With ``fuse_windowed``
+    unless ``sinks`` makes others. One stateless query writes the archive,
+    the rejects and the alerts of per-event rules from the same micro-batch;
+    each windowed rule is its own query and decodes without carrying the raw
+    text. ``metrics`` (``routing_metrics()``) adds a query that fills
+    ``aggregated_metrics``. With ``fuse_windowed``
     all rules are one query (writer ``bgp_windowed``), and rules that cannot
     be fused raise; see ``fused_routing_alerts``.
     """
     sinks = sinks or parquet_sinks(table_root)
     decoded = keep_raw_of_rejects(decode_routing(wire, keep_raw=True), ROUTING_REQUIRED)
-    fan_out = FanOutSink(_stateless_outputs(sinks, "routing_events", "routing_rejects", routing_events,
-                                            ROUTING_REQUIRED))
-    queries = [start_query(decoded, fan_out, os.path.join(checkpoint_root, "routing_stateless"),
+    rules = rules or [route_flap_rule(), as_hijack_rule()]
+    outputs = _stateless_outputs(sinks, "routing_events", "routing_rejects", routing_events, ROUTING_REQUIRED)
+    outputs |= _event_outputs(rules, "bgp_alerts", sinks, clock)
+
+    def decode(fields):
+        return decode_routing(wire, fields=fields)
+
+    queries = [start_query(decoded, FanOutSink(outputs), os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
+    queries += _start_metrics(metrics, decode, sinks, checkpoint_root, trigger)
     return queries + _start_windowed(
-        rules or [route_flap_rule(), as_hijack_rule()], lambda fields: decode_routing(wire, fields=fields),
+        [r for r in rules if isinstance(r, WindowRule)], decode,
         fused_routing_alerts if fuse_windowed else None, "bgp_windowed", "bgp_alerts", sinks,
         checkpoint_root, clock, trigger)
 
@@ -144,8 +192,10 @@ def start_lookup_monitor(wire: DataFrame, table_root: str | None, checkpoint_roo
                          trigger: Mapping[str, object] | None = None,
                          rules: list[WindowRule | EventRule] | None = None,
                          fuse_windowed: bool = False,
-                         sinks: SinkFactory | None = None) -> list[StreamingQuery]:
-    """Archive (+ dead letters), tunneling, and the windowed lookup rules.
+                         sinks: SinkFactory | None = None,
+                         metrics: MetricSet | None = None) -> list[StreamingQuery]:
+    """Archive (+ dead letters), tunneling, the windowed lookup rules, and
+    metrics on request (``metrics=lookup_metrics()``).
 
     Tables: ``dns_events``, ``dns_rejects`` and ``dns_alerts``; parquet below
     ``table_root`` unless ``sinks`` makes others. The stateless outputs
@@ -158,15 +208,17 @@ def start_lookup_monitor(wire: DataFrame, table_root: str | None, checkpoint_roo
     decoded = keep_raw_of_rejects(decode_lookups(wire, keep_raw=True), LOOKUP_REQUIRED)
     rules = rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]
     outputs = _stateless_outputs(sinks, "dns_events", "dns_rejects", dns_events, LOOKUP_REQUIRED)
-    for rule in rules:
-        if isinstance(rule, EventRule):
-            outputs[rule.name] = ((lambda df, r=rule: r.apply(df, clock)),
-                                  sinks("dns_alerts", rule.name, cache=False, date_column="window_start"))
+    outputs |= _event_outputs(rules, "dns_alerts", sinks, clock)
+
+    def decode(fields):
+        return decode_lookups(wire, fields=fields)
+
     queries = [start_query(decoded, FanOutSink(outputs),
                            os.path.join(checkpoint_root, "dns_stateless"),
                            "append", "dns_stateless", trigger)]
+    queries += _start_metrics(metrics, decode, sinks, checkpoint_root, trigger)
     return queries + _start_windowed(
-        [r for r in rules if isinstance(r, WindowRule)], lambda fields: decode_lookups(wire, fields=fields),
+        [r for r in rules if isinstance(r, WindowRule)], decode,
         fused_window_alerts if fuse_windowed else None, "dns_windowed", "dns_alerts", sinks,
         checkpoint_root, clock, trigger)
 

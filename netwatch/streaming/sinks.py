@@ -130,8 +130,10 @@ class JdbcBatchSink:
     and the sink first deletes the rows a previous attempt of the same batch
     of the same writer left, then appends: a replay does not duplicate rows.
     ``writer`` is required then, because batch ids of different queries on
-    one table overlap, and must change with a new checkpoint, where they
-    start again. Delete and append are two transactions, and the delete runs
+    one table overlap. It is stored as ``<writer>@<query id>``: batch ids
+    start again with a new checkpoint, also one at the path of an older one,
+    and the query id, which Spark keeps in the checkpoint, tells the two
+    apart. Delete and append are two transactions, and the delete runs
     on a driver connection: a failure in between leaves the batch missing
     until its replay. Without ``batch_column`` (the original tables have no
     such column) the sink is at-least-once. Empty batches
@@ -155,7 +157,10 @@ class JdbcBatchSink:
     def delete_statement(self) -> str:
         return f"DELETE FROM {self.table} WHERE {self.batch_column} = ? AND writer = ?"
 
-    def _delete_batch(self, df: DataFrame, batch_id: int) -> None:
+    def writer_of(self, df: DataFrame) -> str:
+        return f"{self.writer}@{current_run(df)}"
+
+    def _delete_batch(self, df: DataFrame, batch_id: int, writer: str) -> None:
         jvm = df.sparkSession.sparkContext._jvm
         props = jvm.java.util.Properties()
         for key, value in self.properties.items():
@@ -167,18 +172,20 @@ class JdbcBatchSink:
         try:
             stmt = conn.prepareStatement(self.delete_statement())
             stmt.setLong(1, batch_id)
-            stmt.setString(2, self.writer)
+            stmt.setString(2, writer)
             stmt.executeUpdate()
             stmt.close()
         finally:
             conn.close()
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
+        writer = self.writer_of(df)
+
         def write(frame: DataFrame) -> None:
             if self.batch_column:
-                self._delete_batch(frame, batch_id)
+                self._delete_batch(frame, batch_id, writer)
                 frame = (frame.withColumn(self.batch_column, F.lit(batch_id).cast("long"))
-                         .withColumn("writer", F.lit(self.writer)))
+                         .withColumn("writer", F.lit(writer)))
             options = dict(self.properties)
             if self.num_partitions:
                 options["numPartitions"] = str(self.num_partitions)

@@ -28,14 +28,14 @@ def test_jdbc_sink_deletes_then_appends_with_batch_columns(spark, monkeypatch):
     calls = []
     sink = JdbcBatchSink("jdbc:x://db/y", "bgp_alerts", {"user": "u", "driver": "D"},
                          batch_column="batch_id", writer="route_flap", num_partitions=4)
-    monkeypatch.setattr(sink, "_delete_batch", lambda df, batch_id: calls.append(("delete", batch_id)))
+    monkeypatch.setattr(sink, "_delete_batch", lambda df, batch_id, writer: calls.append(("delete", batch_id, writer)))
 
     def fake_jdbc(self, url, table, mode=None, properties=None):
         calls.append(("append", table, mode, sorted(self._df.columns), properties))
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
     sink(spark.range(3).withColumnRenamed("id", "event_count"), 7)
-    assert calls[0] == ("delete", 7)
+    assert calls[0] == ("delete", 7, "route_flap@direct")
     kind, table, mode, columns, props = calls[1]
     assert (kind, table, mode) == ("append", "bgp_alerts", "append")
     assert columns == ["batch_id", "event_count", "writer"]
@@ -47,10 +47,33 @@ def test_jdbc_batch_column_needs_a_writer():
         JdbcBatchSink("jdbc:x", "t", {}, batch_column="batch_id")
 
 
-def test_jdbc_sinks_name_table_writer_and_run():
-    make = jdbc_sinks("jdbc:x://db/y", {"user": "u"}, "batch_id", num_partitions=3, run="@ck1")
+def test_jdbc_sinks_name_table_and_writer():
+    make = jdbc_sinks("jdbc:x://db/y", {"user": "u"}, "batch_id", num_partitions=3)
     sink = make("bgp_alerts", "route_flap", mode="append", date_column="window_start", rebalance=True)
-    assert (sink.table, sink.writer, sink.num_partitions) == ("bgp_alerts", "route_flap@ck1", 3)
+    assert (sink.table, sink.writer, sink.num_partitions) == ("bgp_alerts", "route_flap", 3)
+
+
+def test_jdbc_writer_differs_between_checkpoints_at_one_path(spark, workdir, monkeypatch):
+    """A checkpoint folder made anew at the same path starts again at batch
+    0: its deletes must not name the rows of the older one."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from netwatch.streaming import run_until_drained, start_query
+
+    deletes, writers = [], []
+    monkeypatch.setattr(JdbcBatchSink, "_delete_batch",
+                        lambda self, df, batch_id, writer: deletes.append((batch_id, writer)))
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, **options: writers.append(
+        self._df.select("writer").distinct().collect()[0][0]))
+    spark.range(5).write.parquet(os.path.join(workdir, "in"))
+    checkpoint = os.path.join(workdir, "ck")
+    for _ in range(2):
+        stream = spark.readStream.schema("id long").parquet(os.path.join(workdir, "in"))
+        sink = jdbc_sinks("jdbc:x", {}, "batch_id")("t", "w")
+        run_until_drained([start_query(stream, sink, checkpoint, trigger={"availableNow": True})])
+        os.rename(checkpoint, checkpoint + f".{len(deletes)}")
+    assert [b for b, _ in deletes] == [0, 0]
+    assert len({w for _, w in deletes}) == 2 and writers == [w for _, w in deletes]
+    assert all(w.startswith("w@") for w in writers)
 
 
 def _dns_history(spark, rows):
@@ -79,7 +102,7 @@ def test_update_rows_are_known_by_their_mode_not_their_writer(spark):
 def test_unwritten_tables_are_empty_views_and_damage_raises(spark, workdir):
     names = register_tables(spark, workdir)
     assert names == ["routing_events", "dns_events", "bgp_alerts", "current_bgp_alerts", "dns_alerts",
-                     "current_dns_alerts"]
+                     "current_dns_alerts", "aggregated_metrics"]
     for name in names:
         assert spark.sql(f"SELECT * FROM {name}").count() == 0
     for name, schema in TABLE_SCHEMAS.items():
