@@ -12,10 +12,10 @@ total wins. A narrow margin between the two smallest totals is a rejection.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +33,10 @@ MIN_MARGIN = 0.02
 # Bits of difference that count as one unit in the score.
 BITS_PER_UNIT = 16.0
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters with their combining marks; numerals such as a half or a Roman
+# eight are no letters.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+MIN_CONTENT = 8       # bytes: zstandard takes no smaller dictionary
 
 
 def held_out(folds: int, out: int) -> Column:
@@ -48,7 +51,8 @@ def letters(text: str | None) -> bytes:
 
 def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """language -> raw content, the languages with most labelled documents
-    first. The content is from the ``sample_docs`` labelled documents
+    first. A language whose documents hold fewer than ``MIN_CONTENT`` bytes of
+    letters has no dictionary and is not learned. The content is from the ``sample_docs`` labelled documents
     of each language that a hash of the id puts first; documents within
     ``SAMPLE_CHARS`` characters come before others."""
     outside = (~F.length("text").between(*SAMPLE_CHARS)).cast("int")
@@ -66,7 +70,7 @@ def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int
         # A share for each document, so that a few long ones do not fill it.
         share = max(256, size // len(texts))
         joined = b" ".join([t[:share] for t in texts if t])[:size]
-        if len(joined) >= 8:
+        if len(joined) >= MIN_CONTENT:
             out[lang] = joined
     return out
 

@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, batch, materialise, slices, table
+from .common import as_bytes, batch, materialise, slices, small, table
 from .components import components
 
 SEED = 42
@@ -184,39 +184,45 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     columns are ignored; an empty table gives an empty result.
     """
     rows = materialise(fingerprints(docs, shingle_words), "simhash")
-    # A fingerprint's node is the smallest document that has it; a document
-    # id under several fingerprints is one node, linked by the edges below.
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    known = materialise(distinct.filter("node IS NOT NULL"), "simhash_distinct")
-    several = (rows.filter("doc_id IS NOT NULL").groupBy("doc_id")
-               .agg(F.min("fp").alias("x"), F.max("fp").alias("y"))
-               .filter("x <> y").select("doc_id"))
-    again = (rows.join(several, "doc_id", "left_semi").join(known, "fp")
-             .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    found = components(links(known, max_bits).unionByName(again), "simhash_edges")
-    owner = materialise(
-        known.join(found, "node", "left")
-        .select("fp", F.coalesce("component", "node").alias("component_id")), "simhash_owner")
-    return rows.join(owner, "fp", "left").select(
+    return _with_components(rows, max_bits).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _with_components(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (doc_id, fp and more) with ``component_id``."""
+    # The nodes are the fingerprints themselves, so that one whose rows have
+    # no id links its neighbours all the same. A document id under several
+    # fingerprints ties them to the smallest of them.
+    known = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_distinct")
+    several = (rows.filter("doc_id IS NOT NULL").groupBy("doc_id")
+               .agg(F.min("fp").alias("x"), F.max("fp").alias("y")).filter("x <> y").select("doc_id", "x"))
+    again = rows.select("doc_id", "fp").join(several, "doc_id").select(F.col("fp").alias("a"), F.col("x").alias("b"))
+    found = components(links(known.select(F.col("fp").alias("node"), "fp"), max_bits).unionByName(again),
+                       "simhash_edges")
+    owner = materialise(known.join(found, F.col("fp") == F.col("node"), "left")
+                        .select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash_owner")
+    # Written, so that the join may split the rows of a very large component.
+    least = materialise(owner.groupBy("component").agg(F.min("least").alias("component_id")), "simhash_least")
+    return rows.join(owner.join(least, "component").select("fp", "component_id"), "fp", "left")
+
+
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents that stay: of each component the one with the smallest
     ``doc_id``. Rows repeated under that id are one document: one row stays,
     the one whose text hashes lowest. Rows with a null ``doc_id`` cannot be
-    told apart from others and stay. All columns come back unchanged."""
-    found = near_duplicates(docs, shingle_words, max_bits).filter("doc_id = component_id")
-    stay = found.select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"].cast("long") == F.col("__stay"), "left")
-    kept = kept.filter(F.col("__stay").isNotNull() | docs["doc_id"].isNull()).drop("__stay")
-    return _one_row_per_id(kept)
-
+    told apart from others and stay. All columns come back unchanged.
 
-def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return (docs.withColumn("__row", F.row_number().over(order))
-            .filter("__row = 1 OR doc_id IS NULL").drop("__row"))
+    Ids with one row, usually all, take part in one semi-join; only rows of
+    repeated ids are grouped, as partial minima first.
+    """
+    found = near_duplicates(docs, shingle_words, max_bits).filter("doc_id = component_id")
+    stay = materialise(found.groupBy(F.col("doc_id").alias("__stay")).agg(F.count("*").alias("__n")), "simhash_stay")
+    own = docs["doc_id"].cast("long")
+    once = docs.join(small(stay.filter("__n = 1")), own == F.col("__stay"), "left_semi")
+    again = docs.join(small(stay.filter("__n > 1")), own == F.col("__stay"), "left_semi")
+    again = (again.groupBy(own.alias("__stay"))
+             .agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("__row")).select("__row.*"))
+    return once.unionByName(docs.filter(docs["doc_id"].isNull())).unionByName(again)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

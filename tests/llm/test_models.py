@@ -42,6 +42,56 @@ def test_language_edges(make_docs, edge_rows):
     assert None not in li.dictionaries(docs)
 
 
+def test_language_without_letters(make_docs):
+    contents = {"en": b"the quick brown fox jumps over the lazy dog", "fr": "où est passée la bibliothèque".encode()}
+    rows = [(i, t) for i, t in enumerate(["½ ² Ⅷ ①", "123 _ 4", "\u0301\u0302", "", None, "½a", "ª", "漢"])]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.predict(make_docs(rows), contents).collect()}
+    assert all(got[i] == ("und", 0.0) for i in range(5))
+    assert all(got[i][0] != "und" for i in (5, 6, 7))
+    assert li.letters("cafe\u0301 X2Y ½z") == "cafe\u0301 x y z".encode()
+
+
+def test_language_against_plain_sizes(make_docs, spark):
+    """Sizes by fresh compressors, pieces and words cut by hand."""
+    import unicodedata
+    import zstandard
+
+    contents = li.dictionaries(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert len(contents) > 1
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:60]
+    texts += ["Été ½ " * 900, "x" * 5000, "The end."]
+    got = {r.doc_id: r for r in li.predict(make_docs(list(enumerate(texts))), contents).collect()}
+    for i, text in enumerate(texts):
+        word, clean = "", []
+        for c in (text or "").lower() + " ":
+            kind = unicodedata.category(c)[0]
+            if kind == "L" or kind == "M" and word:
+                word += c
+            elif word:
+                clean.append(word)
+                word = ""
+        data = " ".join(clean).encode()
+        if not data:
+            assert got[i].lang_pred == "und"
+            continue
+        sizes = {}
+        for lang, content in contents.items():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            total, at = 0, 0
+            while at < len(data):
+                end = min(at + 2048, len(data))
+                if end < len(data) and b" " in data[at:end]:
+                    end = data.rindex(b" ", at, end) + 1
+                coder = zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False,
+                                                 write_checksum=False, write_dict_id=False)
+                total += len(coder.compress(data[at:end]))
+                at = end
+            sizes[lang] = total
+        assert got[i].lang_pred == min(sizes, key=lambda k: (sizes[k], list(contents).index(k)))
+        weight = {k: 2.718281828459045 ** ((min(sizes.values()) - v) / 2) for k, v in sizes.items()}
+        assert abs(got[i].score - 1 / sum(weight.values())) < 1e-9
+
+
 def test_equal_sizes_go_to_the_first_language():
     same = {"b": b"some raw content here", "a": b"some raw content here"}
     assert li.Classifier(same)("some words")[0] == "b"

@@ -122,3 +122,40 @@ def test_keep_one_keeps_columns_and_rows_without_id(make_docs, spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 3), (False, 9), (True, None)]
     assert keep_one(docs.limit(0)).collect() == []
+
+
+def spread_prints(count, bits=3, seed=5):
+    """Texts and their fingerprints: each of the rest within ``bits`` of the
+    one before, the ends of the chain farther apart."""
+    rng = random.Random(seed)
+    words = [rng.choice("abcdefgh") + str(rng.randrange(400)) for _ in range(1500)]
+    chain, prints = [" ".join(words)], [slow_print(" ".join(words))]
+    while len(chain) < count:
+        own = list(words)
+        for _ in range(rng.randint(1, 6)):
+            own[rng.randrange(len(own))] = f"z{rng.randrange(10**6)}"
+        here = slow_print(" ".join(own))
+        if 0 < (here ^ prints[-1]).bit_count() <= bits and all((here ^ p).bit_count() > bits for p in prints[:-1]):
+            chain.append(" ".join(own))
+            prints.append(here)
+            words = own
+    return chain
+
+
+def test_rows_without_an_id_link_their_neighbours(make_docs):
+    a, bridge, b = spread_prints(3)
+    rows = [(9, a), (None, bridge), (5, b)]
+    assert brute(rows) != brute([r for r in rows if r[0] is not None])
+    got = sorted(map(tuple, near_duplicates(make_docs(rows)).collect()), key=str)
+    assert got == brute(rows)
+    assert {c for _, _, c in got} == {5}
+    # A group without any id has no component id; copies of a bridge change nothing.
+    rows = [(None, a), (None, bridge), (None, bridge), (7, "something else")]
+    assert sorted(map(tuple, near_duplicates(make_docs(rows)).collect()), key=str) == brute(rows)
+    kept = keep_one(make_docs([(9, a), (None, bridge), (5, b), (5, b), (5, "x y z")])).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 5]
+
+
+def test_keep_one_has_no_window(make_docs):
+    plan = keep_one(make_docs(near_rows()))._jdf.queryExecution().toString()
+    assert "Window" not in plan
