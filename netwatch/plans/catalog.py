@@ -48,7 +48,7 @@ from netwatch.operators import (
     within_known,
 )
 from netwatch.plans import CLOCK
-from netwatch.schemas import SINK_PARTITIONS, TABLE_SCHEMAS
+from netwatch.schemas import DNS_ALERTS_SCHEMA, DNS_EVENTS_SCHEMA, SINK_PARTITIONS, TABLE_SCHEMAS
 from netwatch.session import fresh_dir, remove_dir
 from netwatch.sources import (
     ROUTING_REQUIRED,
@@ -65,6 +65,7 @@ from netwatch.sources import (
     split_rejects,
     wire_file_stream,
 )
+from netwatch.streaming.rolling import latest_alerts_view, series_view
 from netwatch.streaming.runner import (
     progress_summary,
     run_until_drained,
@@ -291,11 +292,12 @@ def _stage_slices(frames: DataFrame, run: str, order: Sequence[int]) -> str:
     return path
 
 
-def _run_stream(spark, root, kind, build, order=None, join=None):
+def _run_stream(spark, root, kind, build, order=None, join=None, view=None):
     """Stage the wire frames (in time slices when ``order`` is given), run
     ``build(decoded) -> (frame, mode, name)`` to completion with
     availableNow, and read its table back. ``join`` is applied to every
-    micro-batch and may add ``known_prefix``. Returns table and query; the
+    micro-batch and may add ``known_prefix``. ``view(run folder, table path)``
+    is returned in place of the table. Returns table and query; the
     staged frames and the checkpoint are removed."""
     run = fresh_dir(spark, "runs")
     frames = routing_wire(_routing(spark, root)) if kind == BGP else lookup_wire(_lookups(spark, root))
@@ -312,7 +314,8 @@ def _run_stream(spark, root, kind, build, order=None, join=None):
     run_until_drained([query])
     for path in (wire_path, checkpoint):
         remove_dir(spark, path)
-    return read_table(spark, table, schema), query
+    rows = read_table(spark, table, schema)
+    return (rows, query) if view is None else (view(run, table), query)
 
 
 def _plain(table: DataFrame) -> DataFrame:
@@ -335,6 +338,29 @@ def q_stream_nxdomain_history(spark, root):
     return _plain(history)
 
 
+def _rolled(spark, view):
+    """Settled batches folded into the state, the newest read on top."""
+    if not view.advance(spark):
+        raise RuntimeError("no settled batch")
+    return _wall_clock(view.read(spark))
+
+
+def q_stream_latest_snapshot(spark, root):
+    """The latest row per alert from a state that is carried along."""
+    rule = nxdomain_storm_rule(threshold=3)
+    rows, _ = _run_stream(
+        spark, root, DNS, lambda d: (rule.apply(d, CLOCK), rule.output_mode, rule.name), order=range(SLICES),
+        view=lambda run, table: _rolled(spark, latest_alerts_view(table, DNS_ALERTS_SCHEMA, os.path.join(run, "state"), DNS)))
+    return rows.drop("run", "batch_id")
+
+
+def q_stream_series_rollup(spark, root):
+    """Events per timestamp from partial counts; the first slice comes last."""
+    return _run_stream(
+        spark, root, DNS, lambda d: (dns_events(d), "append", "archive"), order=[*range(1, SLICES), 0],
+        view=lambda run, table: _rolled(spark, series_view(table, DNS_EVENTS_SCHEMA, os.path.join(run, "state"))))[0]
+
+
 def q_stream_late_rows(spark, root):
     """The first slice arrives last: the rule drops its groups behind the
     watermark. ``late_groups`` is how many it dropped."""
@@ -441,6 +467,8 @@ QUERIES: dict[str, Query] = {
     "stream_dns_alerts": _monitor_alerts(DNS),
     "stream_dns_alerts_fused": _monitor_alerts(DNS, fuse_windowed=True),
     "stream_nxdomain_history": q_stream_nxdomain_history,
+    "stream_latest_snapshot": q_stream_latest_snapshot,
+    "stream_series_rollup": q_stream_series_rollup,
     "stream_late_rows": q_stream_late_rows,
     "stream_archive": q_stream_archive,
     "stream_dns_archive": q_stream_dns_archive,

@@ -267,6 +267,10 @@ SQL: dict[str, str] = {
       "FROM bgp_fx WHERE event_id % 10 = 3 UNION ALL "
       "SELECT concat('{\"event_type\":\"', event_type, '\",\"med\":', med, '}'), 'missing prefix', event_time "
       "FROM bgp_fx WHERE event_id % 10 = 7",
+    "stream_latest_snapshot": _with(DNS_FX, _sliding("storm", STORM_WHERE, 3, "NXDOMAIN_STORM", "HIGH"))
+    + "SELECT * FROM storm",
+    "stream_series_rollup": _with(DNS_FX, DNS_EVENTS)
+    + "SELECT timestamp AS time, count(*) AS event_count FROM dns_events GROUP BY timestamp",
     # Slice by slice, every window that gained rows and is over the
     # threshold is emitted with its count so far.
     "stream_nxdomain_history": _with(DNS_FX, _sliced("dns_fx"))
