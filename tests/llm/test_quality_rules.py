@@ -53,13 +53,27 @@ def test_junk_goes_and_clean_stays(make_docs):
         assert [found[d][c] for c in q._COUNTS] == slow_counts(text)
 
 
+def resolutions(rows):
+    """Variance of each coordinate that the size of a text alone gives."""
+    chars = np.array([0.25 / (r.word_chars + 40) for r in rows])
+    words = np.array([0.25 / (r.n_words + 10) for r in rows])
+    return np.array([chars, words, 8 * words, words, chars, chars]).T
+
+
+def own_distances(x, sizes, typical, centre, cov):
+    coarser = np.maximum(0, sizes - typical)
+    y = (x - centre) / np.sqrt(1 + coarser / np.diag(cov))
+    return np.einsum("ij,jk,ik->i", y, np.linalg.inv(cov), y)
+
+
 def test_estimate_matches_concentration_steps_in_numpy(make_docs):
     """One site: the same steps on arrays give nearly the same distances
     (quantiles differ by the sketch's accuracy)."""
     rows = [(d, t, "en", "a") for d, t, lang, _ in documents(700) if lang == "en"]
-    stats = q.statistics(make_docs(rows)).filter("NOT base_failed")
-    x = np.array([[r[f"x{i}"] for i in range(q.DIMENSIONS)] for r in stats.orderBy("doc_id").collect()])
-    floors = np.diag(np.square(q.FLOORS))
+    stats = q.statistics(make_docs(rows)).filter("NOT base_failed").orderBy("doc_id").collect()
+    x = np.array([[r[f"x{i}"] for i in range(q.DIMENSIONS)] for r in stats])
+    sizes = resolutions(stats)
+    floors = np.diag(sizes.mean(axis=0))
     quart = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
     centre, cov = quart[1], np.diag(((quart[2] - quart[0]) / 1.349) ** 2) + floors
     inner = q._quantile(1 - q.COVERAGE, q.DIMENSIONS)
@@ -68,11 +82,52 @@ def test_estimate_matches_concentration_steps_in_numpy(make_docs):
         d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
         core = x[d2 <= np.quantile(d2, q.COVERAGE)]
         centre, cov = core.mean(axis=0), np.cov(core.T, bias=True) * scale + floors
-    d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+    d2 = own_distances(x, sizes, sizes.mean(axis=0), centre, cov)
     found = [r.distance for r in q.quality_rules(make_docs(rows)).filter("NOT base_failed").orderBy("doc_id").collect()]
     assert np.allclose(found, d2, rtol=0.1, atol=0.3)
 
 
+def test_shrinkage_by_formula(make_docs):
+    """Site and language: n / (n + prior) of the own estimate, the mixture's
+    covariance. Without a prior every site stands alone."""
+    docs = make_docs([r for r in documents(300) if r[0] % 20 > 1])
+    stats = q.statistics(docs).cache()
+    alone = {(r.lang, r.source): r for r in q.estimates(stats, prior=0).collect()}
+    found = {(r.lang, r.source): r for r in q.estimates(stats, prior=30).collect()}
+    up = {}
+    for lang in ("en", "fr"):  # one source only: the site is the language
+        one = stats.filter(stats.lang == lang).withColumn("source", F.lit("x"))
+        up[lang] = q.estimates(one, prior=0).first()
+    top = q.estimates(stats.withColumn("lang", F.lit("x")).withColumn("source", F.lit("x")), prior=0).first()
+
+    def parts(e):
+        return np.array([e[f"c{i}"] for i in range(6)]), q._matrix([e[f"v{i}{j}"] for i, j in q._PAIRS])
+
+    def mix(own, parent, docs):
+        share, apart = docs / (docs + 30), own[0] - parent[0]
+        return (share * own[0] + (1 - share) * parent[0],
+                share * own[1] + (1 - share) * parent[1] + share * (1 - share) * np.outer(apart, apart))
+
+    assert len(found) == 4
+    for (lang, source), e in found.items():
+        n = stats.filter((stats.lang == lang) & (stats.source == source) & ~stats.base_failed).count()
+        want = mix(parts(alone[lang, source]), mix(parts(up[lang]), parts(top), up[lang].docs), n)
+        assert n == e.docs and np.allclose(parts(e)[0], want[0]) and np.allclose(parts(e)[1], want[1])
+
+
+def test_spread_of_a_site_decides(make_docs):
+    """The same text is usual at a site of code and an outlier among news."""
+    rng = random.Random(8)
+    rows = []
+    for d in range(600):
+        words = ["".join(rng.choice("aeiourstln") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(80, 160))]
+        if d % 3 == 0 or d >= 590:
+            words = [w + rng.choice("<>&|") if rng.random() < 0.25 else w for w in words]
+        rows.append((d, " ".join(words), "en", "code" if d % 3 == 0 else "news"))
+    kept = {r.doc_id for r in q.quality_rules(make_docs(rows)).filter("kept").collect()}
+    assert kept == {d for d, *_ in rows if d % 3 == 0 or d < 590}
+
+
 def test_chi_square_tail():
     assert abs(q._upper_tail(q._quantile(0.01, 6), 6) - 0.01) < 1e-9
     assert abs(q._quantile(0.05, 2) - 5.991464547) < 1e-6
