@@ -30,6 +30,7 @@ from netwatch.operators.rules import (
 from netwatch.operators.metrics import lookup_metrics, routing_metrics
 from netwatch.session import build_session, shared_root
 from netwatch.sources.wire import BGP_TOPIC, DNS_TOPIC, kafka_stream, wire_file_stream
+from netwatch.streaming.committed import committed_sinks
 from netwatch.streaming.runner import (
     await_any,
     jdbc_sinks,
@@ -66,6 +67,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--metrics", action="store_true", help="also fill the table aggregated_metrics")
     p.add_argument("--alert-topics", action="store_true",
                    help="also send alerts to the topics bgp_alerts / dns_alerts (needs --bootstrap)")
+    p.add_argument("--committed", action="store_true",
+                   help="parquet tables with a list of committed batches (compact_days, vacuum)")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
     rules = p.add_argument_group("rule parameters (defaults: each rule's own)")
@@ -83,6 +86,8 @@ def parse_args(argv=None) -> argparse.Namespace:
         p.error("--alert-topics needs --bootstrap")
     if bool(args.tables) == bool(args.jdbc_url):
         p.error("name either --tables or --jdbc-url")
+    if args.committed and not args.tables:
+        p.error("--committed needs --tables")
     try:
         args.rules = build_rules(args)
     except (KeyError, ValueError) as error:
@@ -131,6 +136,8 @@ def main(argv=None) -> None:
     sinks = None
     if args.jdbc_url:
         sinks = jdbc_sinks(args.jdbc_url, _pairs(args.jdbc_property), args.jdbc_batch_column)
+    elif args.committed:
+        sinks = committed_sinks(args.tables)
     if args.alert_topics:
         sinks = topic_sinks(kafka_publisher(args.bootstrap), sinks or parquet_sinks(args.tables))
     metrics = None

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from netwatch.operators.rules import BGP, DNS
 from netwatch.schemas import TABLE_SCHEMAS, stored
+from netwatch.sources.manifest import is_committed, read_committed
 
 
 def event_series(events: DataFrame, time_column: str = "timestamp") -> DataFrame:
@@ -46,7 +47,10 @@ def recent_alerts(alerts: DataFrame, kind: str, n: int = 20) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A sink table with its folder columns, by its declared schema. A table
-    nothing was written to yet is empty; a damaged one raises."""
+    nothing was written to yet is empty; a damaged one raises. Of a table
+    with a list of committed batches, those are read."""
+    if is_committed(spark, path):
+        return read_committed(spark, path, schema)
     try:
         return spark.read.schema(stored(schema)).parquet(path)
     except AnalysisException as error:

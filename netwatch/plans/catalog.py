@@ -10,6 +10,8 @@ clock ``CLOCK`` so results are reproducible.
 
 from __future__ import annotations
 
+import datetime
+import functools
 import os
 import time
 from collections.abc import Callable, Sequence
@@ -73,6 +75,7 @@ from netwatch.streaming.runner import (
     start_query,
     start_routing_monitor,
 )
+from netwatch.streaming.committed import CommittedBatchSink, compact_days, vacuum
 from netwatch.streaming.sinks import FanOutSink, ParquetBatchSink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,7 +295,7 @@ def _stage_slices(frames: DataFrame, run: str, order: Sequence[int]) -> str:
     return path
 
 
-def _run_stream(spark, root, kind, build, order=None, join=None, view=None):
+def _run_stream(spark, root, kind, build, order=None, join=None, view=None, sink_of=ParquetBatchSink):
     """Stage the wire frames (in time slices when ``order`` is given), run
     ``build(decoded) -> (frame, mode, name)`` to completion with
     availableNow, and read its table back. ``join`` is applied to every
@@ -305,7 +308,7 @@ def _run_stream(spark, root, kind, build, order=None, join=None, view=None):
     stream = wire_file_stream(spark, wire_path, FILES_PER_SLICE if order else None)
     frame, mode, name = build(decode_routing(stream) if kind == BGP else decode_lookups(stream))
     table, checkpoint = os.path.join(run, "table"), os.path.join(run, "checkpoint")
-    sink = ParquetBatchSink(table, name, mode=mode, cache=join is None)
+    sink = sink_of(table, name, mode=mode, cache=join is None)
     schema = frame.schema
     if join is not None:
         schema = StructType([*schema.fields, StructField("known_prefix", StringType())])
@@ -405,6 +408,20 @@ def q_stream_dns_archive(spark, root):
     return _plain(_run_stream(spark, root, DNS, lambda d: (dns_events(d), "append", "archive"))[0])
 
 
+def q_stream_committed_archive(spark, root):
+    """Batches that count once they are listed; the settled ones compacted
+    into days, the newest read as it is."""
+    def upkeep(run, table):
+        last = read_table(spark, table, DNS_EVENTS_SCHEMA).agg(F.max("event_date")).first()[0]
+        for _ in range(2):
+            compact_days(spark, table, DNS_EVENTS_SCHEMA, last or datetime.date.max)
+        vacuum(spark, table)
+        return _plain(read_table(spark, table, DNS_EVENTS_SCHEMA))
+
+    return _run_stream(spark, root, DNS, lambda d: (dns_events(d), "append", "archive"), order=range(SLICES), view=upkeep,
+                       sink_of=functools.partial(CommittedBatchSink, date_column="timestamp"))[0]
+
+
 def _monitor_alerts(kind, fuse_windowed=False, rules=None, metrics=None):
     """Run the whole monitor of one source (all of its streaming queries in
     one session) and read its alert table back as current alerts."""
@@ -472,4 +489,5 @@ QUERIES: dict[str, Query] = {
     "stream_late_rows": q_stream_late_rows,
     "stream_archive": q_stream_archive,
     "stream_dns_archive": q_stream_dns_archive,
+    "stream_committed_archive": q_stream_committed_archive,
 }

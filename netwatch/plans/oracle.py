@@ -323,4 +323,5 @@ SQL: dict[str, str] = {
     + "SELECT * FROM dns_alerts",
     "stream_archive": _with(BGP_FX, ROUTING_EVENTS) + "SELECT * FROM routing_events",
     "stream_dns_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
+    "stream_committed_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
 }

@@ -83,8 +83,26 @@ def fresh_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(shared_root(spark), "netwatch", *parts, uuid.uuid4().hex)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, whatever that is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing folders or files of a glob pattern, sorted."""
+    path, files = _hadoop(spark, pattern)
+    return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file, which appears as a whole or not at all."""
+    where, files = _hadoop(spark, path)
+    if not files.createNewFile(where):
+        raise FileExistsError(path)
+
 
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a working folder, on whatever file system it lies."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    where, files = _hadoop(spark, path)
+    files.delete(where, True)

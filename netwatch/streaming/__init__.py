@@ -1,5 +1,6 @@
 """Structured Streaming: sinks, query starters, monitors."""
 
+from netwatch.streaming.committed import CommittedBatchSink, committed_sinks, compact_days, vacuum
 from netwatch.streaming.rolling import RollingView, latest_alerts_view, series_view
 from netwatch.streaming.runner import (
     await_any,
@@ -26,10 +27,10 @@ from netwatch.streaming.topics import (
 )
 
 __all__ = [
-    "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "RollingView", "TopicBatchSink", "alert_frames", "await_any",
-    "compact", "folder_publisher", "jdbc_sinks", "kafka_publisher", "latest_alerts_view",
+    "CommittedBatchSink", "FanOutSink", "JdbcBatchSink", "ParquetBatchSink", "RollingView", "TopicBatchSink", "alert_frames", "await_any",
+    "committed_sinks", "compact", "compact_days", "folder_publisher", "jdbc_sinks", "kafka_publisher", "latest_alerts_view",
     "received_alerts", "series_view",
     "parquet_sinks", "progress_summary", "progress_totals",
     "run_until_drained", "start_joined_rule", "start_lookup_monitor", "start_metrics", "start_query",
-    "start_routing_monitor", "start_rule", "topic_sinks",
+    "start_routing_monitor", "start_rule", "topic_sinks", "vacuum",
 ]

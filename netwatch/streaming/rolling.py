@@ -28,20 +28,13 @@ from pyspark.sql.types import StructType
 
 from netwatch.operators.rules import BGP
 from netwatch.schemas import stored
-from netwatch.session import remove_dir
+from netwatch.session import list_paths, remove_dir
 
 _BATCH = re.compile(r"writer=([^/]*)/mode=([^/]*)/run=([^/]*)/batch_id=(\d+)$")
 COVERED = "writer string, mode string, run string, batch_id long"
 Run = tuple[str, str, str]
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Existing folders or files of a glob pattern."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
-    return sorted(status.getPath().toString() for status in found or [])
-
-
 @dataclass(frozen=True)
 class RollingView:
     """``fold`` of ``prepare`` of all rows of the sink table at ``table``.
@@ -58,7 +51,7 @@ class RollingView:
     fold: Callable[[DataFrame], DataFrame]
 
     def _version(self, spark: SparkSession) -> int:
-        done = _folders(spark, os.path.join(self.state, "covered", "v*", "_SUCCESS"))
+        done = list_paths(spark, os.path.join(self.state, "covered", "v*", "_SUCCESS"))
         return max((int(re.search(r"/v(\d+)/_SUCCESS$", p)[1]) for p in done), default=0)
 
     def covered(self, spark: SparkSession) -> dict[Run, int]:
@@ -73,7 +66,7 @@ class RollingView:
         """The batches of each run that the state does not hold, by the
         names of their folders."""
         covered, out = self.covered(spark), {}
-        for path in _folders(spark, os.path.join(self.table, "writer=*", "mode=*", "run=*", "batch_id=*")):
+        for path in list_paths(spark, os.path.join(self.table, "writer=*", "mode=*", "run=*", "batch_id=*")):
             if m := _BATCH.search(path):
                 run, batch = (m[1], m[2], m[3]), int(m[4])
                 if batch > covered.get(run, -1):
