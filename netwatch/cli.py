@@ -69,6 +69,8 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="also send alerts to the topics bgp_alerts / dns_alerts (needs --bootstrap)")
     p.add_argument("--committed", action="store_true",
                    help="parquet tables with a list of committed batches (compact_days, vacuum)")
+    p.add_argument("--staging", metavar="FOLDER",
+                   help="decode each frame once into a table there, from which the other queries stream")
     p.add_argument("--state-partitions", type=int, default=200,
                    help="partitions of the state stores; fixed at the first checkpoint")
     rules = p.add_argument_group("rule parameters (defaults: each rule's own)")
@@ -145,7 +147,8 @@ def main(argv=None) -> None:
         metrics = routing_metrics() if args.monitor == "routing" else lookup_metrics()
     start = start_routing_monitor if args.monitor == "routing" else start_lookup_monitor
     queries = start(wire, args.tables, checkpoints, None, trigger, rules=args.rules,
-                    fuse_windowed=args.fuse_windowed, sinks=sinks, metrics=metrics)
+                    fuse_windowed=args.fuse_windowed, sinks=sinks, metrics=metrics,
+                    staging=args.staging, files_per_trigger=args.max_files_per_trigger)
     if args.once:
         run_until_drained(queries)
     else:

@@ -68,14 +68,16 @@ from netwatch.sources import (
     wire_file_stream,
 )
 from netwatch.streaming.rolling import latest_alerts_view, series_view
+from netwatch.streaming.committed import CommittedBatchSink, compact_days, vacuum
 from netwatch.streaming.runner import (
+    await_any,
     progress_summary,
     run_until_drained,
     start_lookup_monitor,
     start_query,
     start_routing_monitor,
+    start_rule,
 )
-from netwatch.streaming.committed import CommittedBatchSink, compact_days, vacuum
 from netwatch.streaming.sinks import FanOutSink, ParquetBatchSink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,7 +424,24 @@ def q_stream_committed_archive(spark, root):
                        sink_of=functools.partial(CommittedBatchSink, date_column="timestamp"))[0]
 
 
-def _monitor_alerts(kind, fuse_windowed=False, rules=None, metrics=None):
+def q_stream_triggered_storm(spark, root):
+    """The storm rule under a processing-time trigger; ``await_any`` sees its
+    end once all frames are through."""
+    rule, run = nxdomain_storm_rule(), fresh_dir(spark, "runs")
+    wire = _stage_wire(lookup_wire(_lookups(spark, root)), run)
+    table, checkpoint = os.path.join(run, "table"), os.path.join(run, "checkpoint")
+    query = start_rule(decode_lookups(wire_file_stream(spark, wire)), rule,
+                       ParquetBatchSink(table, rule.name, mode=rule.output_mode), checkpoint, CLOCK,
+                       {"processingTime": "1 second"})
+    query.processAllAvailable()
+    query.stop()
+    await_any(spark, [query])
+    for path in (wire, checkpoint):
+        remove_dir(spark, path)
+    return _wall_clock(latest_alerts(read_table(spark, table, DNS_ALERTS_SCHEMA), DNS))
+
+
+def _monitor_alerts(kind, fuse_windowed=False, rules=None, metrics=None, staged=False):
     """Run the whole monitor of one source (all of its streaming queries in
     one session) and read its alert table back as current alerts."""
     def query(spark, root):
@@ -435,8 +454,9 @@ def _monitor_alerts(kind, fuse_windowed=False, rules=None, metrics=None):
             wire, start, name = lookup_wire(_lookups(spark, root)), start_lookup_monitor, "dns_alerts"
         wire = _stage_wire(wire, run)
         run_until_drained(start(wire_file_stream(spark, wire), tables, checkpoints, CLOCK, once,
-                                rules=rules, fuse_windowed=fuse_windowed, metrics=metrics))
-        for path in (wire, checkpoints):
+                                rules=rules, fuse_windowed=fuse_windowed, metrics=metrics,
+                                staging=os.path.join(run, "staged") if staged else None))
+        for path in (wire, checkpoints, os.path.join(run, "staged")):
             remove_dir(spark, path)
         return _wall_clock(current_alerts(
             read_table(spark, os.path.join(tables, name), TABLE_SCHEMAS[name]), kind))
@@ -480,8 +500,11 @@ QUERIES: dict[str, Query] = {
     "stream_windowed_metrics": q_stream_windowed_metrics,
     "stream_path_anomaly": q_stream_path_anomaly,
     "stream_bgp_alerts": _monitor_alerts(BGP),
+    "stream_bgp_alerts_staged": _monitor_alerts(BGP, staged=True),
     "stream_bgp_alerts_fused": _monitor_alerts(BGP, fuse_windowed=True),
     "stream_dns_alerts": _monitor_alerts(DNS),
+    "stream_dns_alerts_staged": _monitor_alerts(DNS, staged=True),
+    "stream_triggered_storm": q_stream_triggered_storm,
     "stream_dns_alerts_fused": _monitor_alerts(DNS, fuse_windowed=True),
     "stream_nxdomain_history": q_stream_nxdomain_history,
     "stream_latest_snapshot": q_stream_latest_snapshot,

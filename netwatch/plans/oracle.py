@@ -325,3 +325,9 @@ SQL: dict[str, str] = {
     "stream_dns_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
     "stream_committed_archive": _with(DNS_FX, DNS_EVENTS) + "SELECT * FROM dns_events",
 }
+# The same results by another way.
+SQL |= {
+    "stream_bgp_alerts_staged": SQL["stream_bgp_alerts"],
+    "stream_dns_alerts_staged": SQL["stream_dns_alerts"],
+    "stream_triggered_storm": SQL["stream_nxdomain_storm"],
+}

@@ -95,6 +95,12 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder and those above it, if need be."""
+    where, files = _hadoop(spark, path)
+    files.mkdirs(where)
+
+
 def create_empty(spark: SparkSession, path: str) -> None:
     """Create an empty file, which appears as a whole or not at all."""
     where, files = _hadoop(spark, path)

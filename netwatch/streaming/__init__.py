@@ -9,12 +9,14 @@ from netwatch.streaming.runner import (
     progress_summary,
     progress_totals,
     run_until_drained,
+    staged_stream,
     start_joined_rule,
     start_lookup_monitor,
     start_metrics,
     start_query,
     start_routing_monitor,
     start_rule,
+    start_staging,
 )
 from netwatch.streaming.sinks import FanOutSink, JdbcBatchSink, ParquetBatchSink, compact
 from netwatch.streaming.topics import (
@@ -31,6 +33,6 @@ __all__ = [
     "committed_sinks", "compact", "compact_days", "folder_publisher", "jdbc_sinks", "kafka_publisher", "latest_alerts_view",
     "received_alerts", "series_view",
     "parquet_sinks", "progress_summary", "progress_totals",
-    "run_until_drained", "start_joined_rule", "start_lookup_monitor", "start_metrics", "start_query",
-    "start_routing_monitor", "start_rule", "topic_sinks", "vacuum",
+    "run_until_drained", "staged_stream", "start_joined_rule", "start_lookup_monitor", "start_metrics", "start_query",
+    "start_routing_monitor", "start_rule", "start_staging", "topic_sinks", "vacuum",
 ]

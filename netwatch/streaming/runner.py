@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from netwatch.operators.alerts import fused_routing_alerts, fused_window_alerts
 from netwatch.operators.archive import dns_events, routing_events
@@ -38,6 +39,7 @@ from netwatch.sources.decode import (
     keep_raw_of_rejects,
     split_rejects,
 )
+from netwatch.session import make_dir
 from netwatch.streaming.sinks import BatchWriter, FanOutSink, JdbcBatchSink, ParquetBatchSink
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
@@ -105,6 +107,49 @@ def start_metrics(decoded: DataFrame, metrics: MetricSet, sink: BatchWriter, che
     return start_query(metrics.apply(decoded), sink, checkpoint, metrics.output_mode, metrics.name, trigger)
 
 
+def start_staging(decoded: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None,
+                  retention: str | None = None) -> StreamingQuery:
+    """Decoded frames as a table that other queries stream from
+    (``staged_stream``).
+
+    The file sink of Structured Streaming lists the files of a batch when it
+    is committed, and its readers take listed files only, so every frame is
+    staged once, whatever is replayed. ``retention`` (as "7d") takes
+    older files off the list, which otherwise grows; the files themselves
+    may be removed once every reader has passed them.
+    """
+    progress_totals(decoded.sparkSession)
+    writer = (decoded.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+              .queryName(os.path.basename(checkpoint)).trigger(**dict(trigger or DEFAULT_TRIGGER)))
+    if retention:
+        writer = writer.option("retention", retention)
+    return writer.start()
+
+
+def staged_stream(spark: SparkSession, path: str, schema: StructType,
+                  files_per_trigger: int | None = None) -> DataFrame:
+    """The staged frames as a stream with ``schema``, the one they were
+    decoded to. The folder may be empty yet. A query reads the columns it
+    uses only."""
+    make_dir(spark, path)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def _decode_once(decoded: DataFrame, root: str, name: str, checkpoint_root: str, trigger,
+                 files_per_trigger: int | None) -> tuple[DataFrame, list[StreamingQuery]]:
+    """Start the staging of a monitor: what its other queries read, and the
+    query. With ``availableNow`` the others would end before there is
+    anything staged, so it is run to its end first."""
+    path = os.path.join(root, name)
+    query = start_staging(decoded, path, os.path.join(checkpoint_root, name), trigger)
+    if (trigger or {}).get("availableNow"):
+        run_until_drained([query])
+    return staged_stream(decoded.sparkSession, path, decoded.schema, files_per_trigger), [query]
+
+
 def _alert_sink(sinks: SinkFactory, table: str, writer: str, mode: str) -> BatchWriter:
     """Alerts of a stateful query: few rows over many state partitions, so
     merged by size before they are written."""
@@ -155,7 +200,9 @@ def start_routing_monitor(wire: DataFrame, table_root: str | None, checkpoint_ro
                           rules: list[WindowRule | EventRule] | None = None,
                           fuse_windowed: bool = False,
                           sinks: SinkFactory | None = None,
-                          metrics: MetricSet | None = None) -> list[StreamingQuery]:
+                          metrics: MetricSet | None = None,
+                          staging: str | None = None,
+                          files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Archive (+ dead letters), the routing rules, metrics on request.
 
     Tables: ``routing_events``, ``routing_rejects`` (malformed frames and
@@ -168,17 +215,25 @@ def start_routing_monitor(wire: DataFrame, table_root: str | None, checkpoint_ro
     ``aggregated_metrics``. With ``fuse_windowed``
     all rules are one query (writer ``bgp_windowed``), and rules that cannot
     be fused raise; see ``fused_routing_alerts``.
+
+    By default every query reads and decodes the source itself, as in the
+    original deployment. With a ``staging`` folder one more query decodes
+    each frame once into ``<staging>/routing_decoded``, and the others
+    stream from there, ``files_per_trigger`` files at a time.
     """
     sinks = sinks or parquet_sinks(table_root)
     decoded = keep_raw_of_rejects(decode_routing(wire, keep_raw=True), ROUTING_REQUIRED)
     rules = rules or [route_flap_rule(), as_hijack_rule()]
     outputs = _stateless_outputs(sinks, "routing_events", "routing_rejects", routing_events, ROUTING_REQUIRED)
     outputs |= _event_outputs(rules, "bgp_alerts", sinks, clock)
+    queries = []
+    if staging:
+        decoded, queries = _decode_once(decoded, staging, "routing_decoded", checkpoint_root, trigger, files_per_trigger)
 
     def decode(fields):
-        return decode_routing(wire, fields=fields)
+        return decoded.drop("raw_value") if staging else decode_routing(wire, fields=fields)
 
-    queries = [start_query(decoded, FanOutSink(outputs), os.path.join(checkpoint_root, "routing_stateless"),
+    queries += [start_query(decoded, FanOutSink(outputs), os.path.join(checkpoint_root, "routing_stateless"),
                            "append", "routing_stateless", trigger)]
     queries += _start_metrics(metrics, decode, sinks, checkpoint_root, trigger)
     return queries + _start_windowed(
@@ -193,7 +248,9 @@ def start_lookup_monitor(wire: DataFrame, table_root: str | None, checkpoint_roo
                          rules: list[WindowRule | EventRule] | None = None,
                          fuse_windowed: bool = False,
                          sinks: SinkFactory | None = None,
-                         metrics: MetricSet | None = None) -> list[StreamingQuery]:
+                         metrics: MetricSet | None = None,
+                         staging: str | None = None,
+                         files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Archive (+ dead letters), tunneling, the windowed lookup rules, and
     metrics on request (``metrics=lookup_metrics()``).
 
@@ -203,17 +260,21 @@ def start_lookup_monitor(wire: DataFrame, table_root: str | None, checkpoint_roo
     of the source; each windowed rule is its own stateful query, or with
     ``fuse_windowed`` all of them are one query (writer ``dns_windowed``),
     and rules that cannot be fused raise; see ``fused_window_alerts``.
+    ``staging`` (table ``dns_decoded``) is as in ``start_routing_monitor``.
     """
     sinks = sinks or parquet_sinks(table_root)
     decoded = keep_raw_of_rejects(decode_lookups(wire, keep_raw=True), LOOKUP_REQUIRED)
     rules = rules or [nxdomain_storm_rule(), dns_tunneling_rule(), amplification_rule()]
     outputs = _stateless_outputs(sinks, "dns_events", "dns_rejects", dns_events, LOOKUP_REQUIRED)
     outputs |= _event_outputs(rules, "dns_alerts", sinks, clock)
+    queries = []
+    if staging:
+        decoded, queries = _decode_once(decoded, staging, "dns_decoded", checkpoint_root, trigger, files_per_trigger)
 
     def decode(fields):
-        return decode_lookups(wire, fields=fields)
+        return decoded.drop("raw_value") if staging else decode_lookups(wire, fields=fields)
 
-    queries = [start_query(decoded, FanOutSink(outputs),
+    queries += [start_query(decoded, FanOutSink(outputs),
                            os.path.join(checkpoint_root, "dns_stateless"),
                            "append", "dns_stateless", trigger)]
     queries += _start_metrics(metrics, decode, sinks, checkpoint_root, trigger)
