@@ -38,6 +38,15 @@ BUDGET_SHARE = 1.0
 LANGUAGE_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.18, "es": 0.14}
 OTHER_WEIGHT = 0.05
 DOMAINS = 4
+# The registered query's targets, on every level and within two epochs. Some
+# domains, languages and sources cannot absorb their share of it, so their
+# shortage goes to siblings, and that of a whole domain to the other domains.
+TARGETS = {
+    "domain": {"domain0": 0.20, "domain1": 0.10, "domain2": 0.10, "domain3": 0.60},
+    "lang": {"en": 0.40, "de": 0.18, "fr": 0.17, "es": 0.25},
+    "source": {"src0": 1.0, "src1": 1.0, "src2": 1.0, "src3": 1.0},
+}
+TARGET_EPOCHS = 2
 _PATH = ["domain", "lang", "source"]
 
 
@@ -186,4 +195,4 @@ def mixed_documents(docs: DataFrame, budget_share: float = BUDGET_SHARE,
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents"), weights=TARGETS, max_epochs=TARGET_EPOCHS)

@@ -37,7 +37,7 @@ def _pour(source: str, parent: str) -> str:
   FROM (
     SELECT *, (budget - coalesce(sum(lim) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
       / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS quotient
-    FROM (SELECT *, supply * 4.0::DOUBLE AS lim FROM ({source}))
+    FROM (SELECT *, supply * 2.0::DOUBLE AS lim FROM ({source}))
     WINDOW o AS ({by} ORDER BY lim / weight, name))"""
 
 
@@ -49,15 +49,18 @@ WITH s AS (
       CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens
     FROM documents) WHERE n_tokens > 0
 ), domains AS ({_pour('''
-  SELECT domain, domain AS name, sum(n_tokens) AS supply, sum(n_tokens)::DOUBLE AS weight,
+  SELECT domain, domain AS name, sum(n_tokens) AS supply,
+    CASE domain WHEN 'domain0' THEN 0.20 WHEN 'domain1' THEN 0.10 WHEN 'domain2' THEN 0.10 WHEN 'domain3' THEN 0.60
+      ELSE 0.05 END::DOUBLE AS weight,
     (SELECT sum(n_tokens) FROM s)::DOUBLE AS budget FROM s GROUP BY domain''', '')}
 ), langs AS ({_pour('''
   SELECT domain, lang, lang AS name, n.supply, given AS budget,
-    CASE lang WHEN 'en' THEN 0.50 WHEN 'de' THEN 0.18 WHEN 'fr' THEN 0.18 WHEN 'es' THEN 0.14 ELSE 0.05 END::DOUBLE AS weight
+    CASE lang WHEN 'en' THEN 0.40 WHEN 'de' THEN 0.18 WHEN 'fr' THEN 0.17 WHEN 'es' THEN 0.25 ELSE 0.05 END::DOUBLE AS weight
   FROM (SELECT domain, lang, sum(n_tokens) AS supply FROM s GROUP BY domain, lang) n
   JOIN (SELECT domain, given FROM domains) USING (domain)''', 'domain')}
 ), leaves AS ({_pour('''
-  SELECT n.domain, n.lang, source, source AS name, n.supply, given AS budget, n.supply::DOUBLE AS weight
+  SELECT n.domain, n.lang, source, source AS name, n.supply, given AS budget,
+    CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN 1.0 ELSE 0.05 END::DOUBLE AS weight
   FROM (SELECT domain, lang, source, sum(n_tokens) AS supply FROM s GROUP BY domain, lang, source) n
   JOIN (SELECT domain, lang, given FROM langs) u ON n.domain = u.domain AND n.lang IS NOT DISTINCT FROM u.lang''',
   'domain, lang')}

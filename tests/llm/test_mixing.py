@@ -101,3 +101,21 @@ def test_documents_keep_their_columns(make_docs, edge_rows):
         found[str(r.doc_id)] += 1
     assert found == counts and counts
     assert mx.mix(docs.limit(0)).collect() == [] and mx.mixed_documents(docs.limit(0)).collect() == []
+
+
+def test_the_query_fills_a_domain_a_language_and_a_source(spark):
+    """On the tables: nodes of every level reach their limit while their
+    parent does not, so that shortages go to siblings, then to the next level."""
+    sized = mx._sized(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), mx.source_domain())
+    leaves = sized.groupBy("domain", "lang", "source").agg(F.sum("n_tokens").alias("supply"))
+    budgets = mx.leaf_budgets(leaves, F.col("supply") * 1.0, mx.TARGETS, max_epochs=mx.TARGET_EPOCHS).collect()
+    limit, given = defaultdict(float), defaultdict(float)
+    for r in budgets:
+        for path in ((), (r.domain,), (r.domain, r.lang), (r.domain, r.lang, r.source)):
+            limit[path] += mx.TARGET_EPOCHS * r.supply
+            given[path] += r.budget
+    full = {p for p in limit if given[p] > limit[p] - 1e-3}
+    assert all(given[p] < limit[p] + 1e-3 for p in limit)
+    assert given[()] == pytest.approx(limit[()] / mx.TARGET_EPOCHS)
+    for depth in (1, 2, 3):
+        assert [p for p in full if len(p) == depth and p[:-1] not in full], depth
