@@ -154,6 +154,38 @@ def test_toxicity_of_texts_not_trained_on(make_docs, spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out.values())
 
 
+def ranked(pairs):
+    """Share of pairs of a 1 and a 0 in which the 1 scores higher."""
+    ones, zeros = [s for s, y in pairs if y], [s for s, y in pairs if not y]
+    return sum((a > b) + (a == b) / 2 for a in ones for b in zeros) / (len(ones) * len(zeros))
+
+
+def rude_rows(n, seed=5):
+    """Texts of made-up words, most of them rare; every sixth has a few rude ones."""
+    import random
+
+    rng = random.Random(seed)
+    syllables = [a + b for a in "bdklmnrst" for b in ("a", "en", "i", "or", "u")]
+    rude = ["morkel", "tanshik", "sudrin", "nellask", "bakorim"]
+    rows = []
+    for d in range(n):
+        words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(60, 300))]
+        for _ in range(max(2, len(words) // 60) if d % 6 == 0 else 0):
+            words[rng.randrange(len(words))] = rng.choice(rude)
+        rows.append((d, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("marked", [1, 0])
+def test_toxicity_ranks_label_1_above_label_0(make_docs, spark, marked):
+    """With few labels, also when it is label 0 that has words of its own."""
+    rows = rude_rows(240)
+    labels = [(d, marked if d % 6 == 0 else 1 - marked) for d, _ in rows]
+    frame = spark.createDataFrame([x for x in labels if x[0] % 5], "doc_id long, label int")
+    out = {r.doc_id: r.score for r in tx.score(make_docs(rows), frame).collect()}
+    assert ranked([(out[d], y) for d, y in labels if d % 5 == 0]) > 0.95
+
+
 def test_model_matches_the_formulas(make_docs, spark):
     rows = [(1, "abab aba"), (2, "abc"), (3, "ab b"), (4, None)]
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "doc_id long, label int")
