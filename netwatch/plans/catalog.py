@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from netwatch.functions.strings import name_length, shannon_entropy
 from netwatch.functions.hashing import pseudonymise
@@ -273,6 +273,13 @@ SLICES = 4
 FILES_PER_SLICE = 4
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """Events dealt to all cores: a few MB of them are one split, but many
+    times that as frames, and most of the time goes into making these."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores)
+
+
 def _stage_wire(frames: DataFrame, run: str) -> str:
     path = os.path.join(run, "wire")
     began = time.perf_counter()
@@ -284,15 +291,20 @@ def _stage_wire(frames: DataFrame, run: str) -> str:
 def _stage_slices(frames: DataFrame, run: str, order: Sequence[int]) -> str:
     """Frames cut by time into ``SLICES`` equal spans, written one after the
     other in ``order``, each as ``FILES_PER_SLICE`` files: a file stream that
-    reads so many files per trigger gets a slice per batch."""
-    path = os.path.join(run, "wire")
+    reads so many files per trigger gets a slice per batch. Frames are made
+    once, into a folder per slice; the files of a slice come from there."""
+    path, made = os.path.join(run, "wire"), os.path.join(run, "frames")
     began = time.perf_counter()
     at = F.unix_micros("timestamp")
     low, high = frames.agg(F.min(at), F.max(at)).first()
+    starts = [low + (high - low) * i // SLICES for i in range(1, SLICES)]
+    slice_ = sum(((at >= start).cast("int") for start in starts), F.lit(0))
+    frames.filter(at.isNotNull()).withColumn("slice", slice_).write.partitionBy("slice").parquet(made)
+    kept = frames.sparkSession.read.schema(StructType([*frames.schema.fields, StructField("slice", IntegerType())])).parquet(made)
     for k in order:
-        start, end = (low + (high - low) * i // SLICES for i in (k, k + 1))
-        part = frames.filter((at >= start) & ((at < end) | (F.lit(k == SLICES - 1) & (at == end))))
+        part = kept.filter(F.col("slice") == k).drop("slice")
         part.repartitionByRange(FILES_PER_SLICE, "offset").write.mode("append").parquet(path)
+    remove_dir(frames.sparkSession, made)
     STAGING_SECONDS.append(time.perf_counter() - began)
     return path
 
@@ -305,7 +317,8 @@ def _run_stream(spark, root, kind, build, order=None, join=None, view=None, sink
     is returned in place of the table. Returns table and query; the
     staged frames and the checkpoint are removed."""
     run = fresh_dir(spark, "runs")
-    frames = routing_wire(_routing(spark, root)) if kind == BGP else lookup_wire(_lookups(spark, root))
+    events = _spread(_events(spark, root))
+    frames = routing_wire(routing_fixture(events)) if kind == BGP else lookup_wire(lookup_fixture(events))
     wire_path = _stage_wire(frames, run) if order is None else _stage_slices(frames, run, order)
     stream = wire_file_stream(spark, wire_path, FILES_PER_SLICE if order else None)
     frame, mode, name = build(decode_routing(stream) if kind == BGP else decode_lookups(stream))

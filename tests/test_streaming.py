@@ -491,3 +491,40 @@ def test_rule_on_a_stream_of_typed_events_with_wall_clock_time(spark, workdir):
     expected = rule.apply(routing, CLOCK).filter(F.col("window_end") <= F.lit(horizon))
     assert got.count() == expected.count() > 0
     assert got.exceptAll(expected).count() == 0
+
+
+def test_frames_of_slices_are_made_once(spark, workdir):
+    from netwatch.plans import catalog
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def value(offset):
+        made.add(1)
+        return str(offset).encode()
+
+    seconds = F.when(F.col("id") != 7, F.col("id") * 13 % 1000)
+    frames = spark.range(1000).select(
+        F.lit(b"k").alias("key"), value("id").alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"), F.timestamp_seconds(seconds).alias("timestamp"), F.lit(0).alias("timestampType"))
+    rows = sorted(map(tuple, frames.filter("timestamp IS NOT NULL").collect()))
+    made.value = 0
+    path = catalog._stage_slices(frames, workdir, [1, 2, 3, 0])
+    assert made.value == 999
+    staged = spark.read.parquet(path).select(*frames.columns, F.input_file_name().alias("file"))
+    assert sorted(tuple(r)[:-1] for r in staged.collect()) == rows
+    written = {}
+    for r in staged.collect():
+        written.setdefault(os.path.getmtime(r.file.removeprefix("file://")), set()).add(int(r.timestamp.timestamp()) * 4 // 1000)
+    order = [k for at in sorted(written) for k in written[at]]
+    assert list(dict.fromkeys(order)) == [1, 2, 3, 0] and len(written) >= 4
+
+
+def test_events_are_dealt_to_all_cores(spark):
+    from netwatch.plans import catalog
+
+    cores = spark.sparkContext.defaultParallelism
+    events = spark.range(100, numPartitions=1)
+    assert catalog._spread(events).rdd.getNumPartitions() == cores and catalog._spread(events).count() == 100
+    many = spark.range(100, numPartitions=cores + 1)
+    assert catalog._spread(many) is many
