@@ -24,6 +24,20 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(encoder(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_latin_texts_are_cut_into_pieces():
+    """Every character below 256 in any order; a word is merged once
+    whatever mark follows it."""
+    rng = random.Random(4)
+    encoder = to.ChunkEncoder(to.TOKENIZER)
+    common = [" ", " ", "\n", "'", "a", "s", "ll", "7", "."]
+    for _ in range(4000):
+        text = "".join(rng.choice([*common, chr(rng.randrange(256))]) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encoder(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.clear()
+    encoder(" zorkel zorkel. zorkel, zorkel;\n zorkel!")
+    assert set(encoder) == {" zorkel", ".", ",", ";", "\n", "!"}
+
+
 def test_round_trip(spark, make_docs, edge_rows):
     rows = [(d, t) for d, t in enumerate(odd_texts(2500, 2), 100)] + [r[:2] for r in edge_rows]
     random.Random(3).shuffle(rows)
