@@ -212,13 +212,14 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     the one whose text hashes lowest. Rows with a null ``doc_id`` cannot be
     told apart from others and stay. All columns come back unchanged.
 
-    Ids with one row, usually all, take part in one semi-join; only rows of
+    Ids with one row, usually all, take part in one semi-join, shuffled at
+    every size: the ids that stay grow with the corpus. Only rows of
     repeated ids are grouped, as partial minima first.
     """
     found = near_duplicates(docs, shingle_words, max_bits).filter("doc_id = component_id")
     stay = materialise(found.groupBy(F.col("doc_id").alias("__stay")).agg(F.count("*").alias("__n")), "simhash_stay")
     own = docs["doc_id"].cast("long")
-    once = docs.join(small(stay.filter("__n = 1")), own == F.col("__stay"), "left_semi")
+    once = docs.join(stay.filter("__n = 1").hint("merge"), own == F.col("__stay"), "left_semi")
     again = docs.join(small(stay.filter("__n > 1")), own == F.col("__stay"), "left_semi")
     again = (again.groupBy(own.alias("__stay"))
              .agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("__row")).select("__row.*"))

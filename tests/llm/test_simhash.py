@@ -124,6 +124,14 @@ def test_keep_one_keeps_columns_and_rows_without_id(make_docs, spark):
     assert keep_one(docs.limit(0)).collect() == []
 
 
+def test_keep_one_joins_the_same_way_at_every_size(make_docs):
+    """A join that is sent to the workers while the corpus is small would
+    say nothing about what a large one needs."""
+    kept = keep_one(make_docs([(d, f"{d}a {d}b {d}c {d}d {d}e") for d in range(40)]))
+    assert kept.count() == 40
+    assert "SortMergeJoin" in kept._jdf.queryExecution().sparkPlan().toString()
+
+
 def spread_prints(count, bits=3, seed=5):
     """Texts and their fingerprints: each of the rest within ``bits`` of the
     one before, the ends of the chain farther apart."""
